@@ -1,16 +1,17 @@
 """Equi-joins that survive hot keys on either side.
 
 When the planner's own size estimate puts the right side under the broadcast threshold, a plain join is
-returned and the left side is never shuffled. Otherwise keys holding more than ``share`` of a side's rows are
+returned and the left side is never shuffled. Otherwise keys holding more than ``SHARE`` of a side's rows are
 found first (a count with map-side combine over the key columns only) and only those keys are salted: their
 rows are spread over ``n`` slices on the side where they are hot, and copied once per slice on the other side.
-At most ``1 / share`` keys can pass that test, so the list of hot keys has a fixed bound and is safe to
+At most ``1 / SHARE`` keys can pass that test, so the list of hot keys has a fixed bound and is safe to
 broadcast whatever the size of the data. No row is dropped, so the result is exactly the plain join's.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,21 +26,22 @@ def fits_broadcast(df: DataFrame) -> bool:
     return int(str(estimate)) <= threshold
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = SHARE) -> DataFrame:
-    """Keys with more than ``share`` of the rows, and the number of slices that brings each slice under it."""
-    rows = df.select(*keys).na.drop(how="any")
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    limit = F.greatest(rows.agg((F.count(F.lit(1)) * F.lit(share)).alias("t")).scalar(), F.lit(1.0))
-    return counts.filter(F.col("_n") > limit).select(
-        *keys, F.ceil(F.col("_n") / limit).cast("int").alias("_slices")
-    )
+def key_hash(df: DataFrame, keys: Sequence[str]) -> Column:
+    """64-bit hash of the keys; equal keys hash equally, so negative zero is made plain zero first."""
+    floats = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
+    return F.xxhash64(*[F.col(k) + F.lit(0.0) if k in floats else F.col(k) for k in keys])
+
 
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = SHARE) -> DataFrame:
+    """Hashes of keys with more than ``share`` of the rows, and how many slices bring each slice under it.
 
-def _any_null(keys: Sequence[str]) -> Column:
-    test = F.lit(False)
-    for k in keys:
-        test = test | F.col(k).isNull()
-    return test
+    Two keys with one hash are counted together, which at worst slices a key that is not hot.
+    """
+    hashed = df.select(*keys).na.drop(how="any").select(key_hash(df, keys).alias("_hot"))
+    counts = hashed.groupBy("_hot").agg(F.count(F.lit(1)).alias("_n"))
+    # The total is summed from the same counts, so their shuffle is made once and reused.
+    limit = counts.agg(F.greatest(F.sum("_n") * F.lit(share), F.lit(1.0)).alias("limit")).scalar()
+    return counts.select("_hot", F.ceil(F.col("_n") / limit).cast("int").alias("_slices")).filter("_slices > 1")
 
 
 def skew_join(
@@ -50,65 +52,84 @@ def skew_join(
     share: float = SHARE,
     force_salting: bool = False,
     bound: DataFrame | None = None,
+    right_unique: bool = False,
 ) -> DataFrame:
     """Inner or left equi-join on ``(left column, right column)`` pairs; both sides' columns are kept.
 
-    Column names of the two sides must differ. ``bound`` names a frame that ``right`` can never outgrow, row for
-    row; it stands in for the size check where the planner multiplies up the estimate of a derived ``right``.
+    Column names of the two sides must differ and paired keys must have one type. ``bound`` names a frame that
+    ``right`` can never outgrow, row for row; it stands in for the size check where the planner multiplies up
+    the estimate of a derived ``right``. ``right_unique`` says that no key repeats on the right, which then
+    needs no search for hot keys.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-    lkeys, rkeys = [a for a, _ in on], [b for _, b in on]
+    if any(left.schema[a].dataType != right.schema[b].dataType for a, b in on):
+        raise ValueError(f"paired keys differ in type: {list(on)}")
     match = [F.col(a) == F.col(b) for a, b in on]
     if not force_salting:
         if fits_broadcast(right):
             return left.join(right, match, how)
         if bound is not None and fits_broadcast(bound):
             return left.join(F.broadcast(right), match, how)
+    return _salted_join(left, right, on, match, how, share, right_unique)
 
-    # Hot keys of both sides in one short list: how many slices the key is cut into on each side.
-    hot_left = hot_keys(left, lkeys, share).toDF(*[f"_h{i}" for i in range(len(on))], "_cut_left")
-    hot_right = hot_keys(right, rkeys, share).toDF(*[f"_h{i}" for i in range(len(on))], "_cut_right")
-    names = [f"_h{i}" for i in range(len(on))]
-    hot = (
-        hot_left.withColumn("_cut_right", F.lit(None).cast("int"))
-        .unionByName(hot_right.withColumn("_cut_left", F.lit(None).cast("int")))
-        .groupBy(*names)
-        .agg(F.max("_cut_left").alias("_cut_left"), F.max("_cut_right").alias("_cut_right"))
-    )
 
-    def with_cuts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-        found = df.join(F.broadcast(hot), [F.col(k) == F.col(h) for k, h in zip(keys, names)], "left")
-        return found.drop(*names).withColumns(
-            {
-                "_cut_left": F.coalesce(F.col("_cut_left"), F.lit(1)),
-                "_cut_right": F.coalesce(F.col("_cut_right"), F.lit(1)),
-            }
+def _salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[tuple[str, str]],
+    match: list[Column],
+    how: str,
+    share: float,
+    right_unique: bool,
+) -> DataFrame:
+    lkeys, rkeys = [a for a, _ in on], [b for _, b in on]
+
+    # One short list: into how many slices a key is cut on either side.
+    hot = hot_keys(left, lkeys, share).select("_hot", F.col("_slices").alias("_cut_left"), F.lit(1).alias("_cut_right"))
+    if not right_unique:
+        hot_right = hot_keys(right, rkeys, share)
+        hot = (
+            hot.unionByName(hot_right.select("_hot", F.lit(1).alias("_cut_left"), F.col("_slices").alias("_cut_right")))
+            .groupBy("_hot")
+            .agg(F.max("_cut_left").alias("_cut_left"), F.max("_cut_right").alias("_cut_right"))
         )
 
-    def slice_of(cuts: str, columns: Sequence[str]) -> Column:
-        return F.pmod(F.xxhash64(*columns), F.col(cuts)).cast("int")
+    def with_cuts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        marked = df.withColumn("_key", key_hash(df, keys))
+        return marked.join(F.broadcast(hot), F.col("_key") == F.col("_hot"), "left").drop("_hot")
+
+    def one_slice(cuts: str, columns: Sequence[str]) -> Column:
+        spread = F.pmod(F.xxhash64(*columns), F.col(cuts).cast("long"))
+        return F.when(F.col(cuts) > 1, spread).otherwise(F.lit(0).cast("long"))
 
     def all_slices(cuts: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.col(cuts) - 1))  # one copy of the row per slice
+        several = F.sequence(F.lit(0).cast("long"), F.col(cuts).cast("long") - 1)
+        return F.explode(F.when(F.col(cuts) > 1, several).otherwise(F.array(F.lit(0).cast("long"))))
+
+    def salted(left_slice: str, right_slice: str) -> Column:
+        # Exclusive-or keeps the slices of one key apart; different keys are told apart by the match itself.
+        slot = F.col(left_slice) * F.lit(1 << 32) + F.col(right_slice)
+        return F.col("_key").bitwiseXOR(slot)
 
     # Null keys never match; in a left join they are spread by row content instead of meeting in one task.
-    slices = F.when(_any_null(lkeys), F.hash(*left.columns))
-    salted_left = with_cuts(left, lkeys).withColumn(
-        "_sl", slices.otherwise(slice_of("_cut_left", left.columns))
-    )
-    salted_left = salted_left.withColumn("_sr", all_slices("_cut_right"))
-    salted_right = with_cuts(right.na.drop(how="any", subset=list(rkeys)), rkeys)
-    salted_right = (
-        salted_right.withColumn("_tr", slice_of("_cut_right", right.columns))
-        .withColumn("_tl", all_slices("_cut_left"))
-        .drop("_cut_left", "_cut_right")
-        .withColumn("_hit", F.lit(True))
-    )
-    joined = salted_left.join(
-        salted_right, [F.col("_sl") == F.col("_tl"), F.col("_sr") == F.col("_tr"), *match], how
-    )
-    if how == "left":
+    no_key = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in lkeys])
+    rows = with_cuts(left, lkeys).withColumn("_ls", one_slice("_cut_left", left.columns))
+    if right_unique:
+        rows = rows.withColumn("_rs", F.lit(0).cast("long"))
+    else:
+        rows = rows.withColumn("_rs", all_slices("_cut_right"))
+    lsalt = F.when(no_key, F.xxhash64(*left.columns)).otherwise(salted("_ls", "_rs"))
+    rows = rows.select(*left.columns, lsalt.alias("_lsalt"), F.col("_cut_right"))
+
+    others = with_cuts(right.na.drop(how="any", subset=rkeys), rkeys)
+    others = others.withColumn("_rs", one_slice("_cut_right", right.columns))
+    others = others.withColumn("_ls", all_slices("_cut_left"))
+    others = others.select(*right.columns, salted("_ls", "_rs").alias("_rsalt"))
+
+    # The salt goes first: a sort by it settles nearly every comparison on one number.
+    joined = rows.join(others, [F.col("_lsalt") == F.col("_rsalt"), *match], how)
+    if how == "left" and not right_unique:
         # A key cut on the right side certainly has a match in some slice; its empty slices are not results.
-        joined = joined.filter(F.col("_hit") | (F.col("_cut_right") == 1))
+        joined = joined.filter(F.col("_rsalt").isNotNull() | F.coalesce(F.col("_cut_right") == 1, F.lit(True)))
     return joined.select(*left.columns, *right.columns)

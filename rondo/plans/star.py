@@ -60,13 +60,13 @@ def lookup_first_match(plays: DataFrame, songs: DataFrame, **skew) -> DataFrame:
     known = songs_dim(songs).select("song_id", "title", "artist_id", "duration")
     named = artists_dim(songs).select(F.col("artist_id").alias("_artist"), "name")
     # Both dimensions have at most one row per catalogue row, and so has their join.
-    candidates = skew_join(known, named, [("artist_id", "_artist")], "inner", bound=songs, **skew)
+    candidates = skew_join(known, named, [("artist_id", "_artist")], "inner", bound=songs, right_unique=True, **skew)
     one = (
         candidates.groupBy("title", "name", "duration")
         .agg(F.min(F.struct("song_id", "artist_id")).alias("_hit"))
         .select("title", F.col("name").alias("artist_name"), "duration", "_hit.song_id", "_hit.artist_id")
     )
-    return skew_join(plays, one, [TITLE, ARTIST, LENGTH], "left", bound=songs, **skew)
+    return skew_join(plays, one, [TITLE, ARTIST, LENGTH], "left", bound=songs, right_unique=True, **skew)
 
 
 def _play_columns(start_time: Column, key: Column | None = None) -> list[Column]:
@@ -237,4 +237,4 @@ def time_from_songplays(songplays: DataFrame, distinct: bool = False) -> DataFra
 def join_time(songplays: DataFrame, time: DataFrame, **skew) -> DataFrame:
     """Year and month by joining the time table, as an equivalent of deriving them from start_time."""
     parts = time.select(F.col("start_time").alias("_at"), "year", "month")
-    return skew_join(songplays, parts, [("start_time", "_at")], "inner", **skew).drop("_at")
+    return skew_join(songplays, parts, [("start_time", "_at")], "inner", right_unique=True, **skew).drop("_at")

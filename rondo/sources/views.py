@@ -52,7 +52,9 @@ def staging_events(spark: SparkSession, sf_dir: str, columns: Sequence[str] | No
             }
         )
         slot = F.coalesce(minute_number("_ts"), F.lit(-(1 << 40)))
-        events = number_within(keyed, ["_owner", "_day"], slot, ["_ts", "event_id"], "itemInSession")
+        events = number_within(
+            keyed, ["_owner", "_day"], slot, ["_ts", "event_id"], "itemInSession", hot_on=["_owner"]
+        )
     if need & FROM_PART:
         part = table(spark, sf_dir, "part")
         size = part.agg(F.count(F.lit(1)).alias("n")).scalar()
@@ -65,10 +67,10 @@ def staging_events(spark: SparkSession, sf_dir: str, columns: Sequence[str] | No
         )
     if need & (FROM_CUSTOMER | FROM_NATION):
         customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
-        events = skew_join(events, customer, [("_user", "c_custkey")], "left")
+        events = skew_join(events, customer, [("_user", "c_custkey")], "left", right_unique=True)
     if need & FROM_NATION:
         nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-        events = skew_join(events, nation, [("c_nationkey", "n_nationkey")], "left")
+        events = skew_join(events, nation, [("c_nationkey", "n_nationkey")], "left", right_unique=True)
 
     is_play = F.col("page") == "NextSong"
     logged_out = F.col("event_id") % 97 == 0
