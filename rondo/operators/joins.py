@@ -32,13 +32,14 @@ def key_hash(df: DataFrame, keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) + F.lit(0.0) if k in floats else F.col(k) for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = SHARE) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = SHARE, nulls: bool = False) -> DataFrame:
     """Hashes of keys with more than ``share`` of the rows, and how many slices bring each slice under it.
 
-    Two keys with one hash are counted together, which at worst slices a key that is not hot.
+    Two keys with one hash are counted together, which at worst slices a key that is not hot. Keys holding a
+    null count only with ``nulls``.
     """
-    hashed = df.select(*keys).na.drop(how="any").select(key_hash(df, keys).alias("_hot"))
-    counts = hashed.groupBy("_hot").agg(F.count(F.lit(1)).alias("_n"))
+    rows = df.select(*keys) if nulls else df.select(*keys).na.drop(how="any")
+    counts = rows.select(key_hash(df, keys).alias("_hot")).groupBy("_hot").agg(F.count(F.lit(1)).alias("_n"))
     # The total is summed from the same counts, so their shuffle is made once and reused.
     limit = counts.agg(F.greatest(F.sum("_n") * F.lit(share), F.lit(1.0)).alias("limit")).scalar()
     return counts.select("_hot", F.ceil(F.col("_n") / limit).cast("int").alias("_slices")).filter("_slices > 1")

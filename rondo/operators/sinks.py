@@ -5,15 +5,30 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from rondo.operators.joins import hot_keys, key_hash
 
-def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite") -> None:
+
+def write_partitioned(
+    df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite", tasks: int | None = None
+) -> None:
     """Parquet in one folder per value of ``by``.
 
-    The rebalance hint gathers each folder's rows into few files and lets AQE split a folder that outgrows the
-    advisory partition size, so neither many small files nor one huge task result.
+    By default the rebalance hint gathers each folder's rows into few files and lets AQE split a folder that
+    outgrows the advisory partition size. That sizes tasks by bytes, so thousands of tiny folders would be
+    written by one task after the other; ``tasks`` spreads the folders over that many tasks instead, and cuts
+    the folders that hold more than a task's share of the rows into slices.
     """
-    df.hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path)
+    if tasks is None:
+        placed = df.hint("rebalance", *by)
+    else:
+        marked = df.withColumn("_folder", key_hash(df, by))
+        hot = F.broadcast(hot_keys(df, by, share=1.0 / tasks, nulls=True))
+        marked = marked.join(hot, F.col("_folder") == F.col("_hot"), "left")
+        slot = F.when(F.col("_slices") > 1, F.pmod(F.xxhash64(*df.columns), F.col("_slices").cast("long")))
+        placed = marked.repartition(tasks, "_folder", F.coalesce(slot, F.lit(0))).select(*df.columns)
+    placed.write.mode(mode).partitionBy(*by).parquet(path)
 
 
 def write_plain(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -14,7 +14,7 @@ from rondo.plans.query_tables import events_denormalised, music_log, session_son
 from rondo.plans.star import next_song
 from rondo.queries.base import query
 from rondo.schemas import EVENT_CSV, LOG, LOG_WITH_ID, SONG
-from rondo.session import scratch_path
+from rondo.session import scratch_path, shuffle_tasks
 from rondo.sources import files
 from rondo.sources.views import staging_events, staging_songs
 
@@ -179,7 +179,7 @@ def scan_date_path(spark: SparkSession, sf: str) -> DataFrame:
 def scan_parquet_partitions(spark: SparkSession, sf: str) -> DataFrame:
     """Partition columns come back from the folder names."""
     path = scratch_path(spark, "songs-by-year")
-    write_partitioned(staging_songs(spark, sf), path, ["year", "artist_id"])
+    write_partitioned(staging_songs(spark, sf), path, ["year", "artist_id"], tasks=shuffle_tasks(spark))
     return files.read_partitioned(spark, path, "*/*", SONG)
 
 

@@ -16,7 +16,7 @@ from rondo.queries.base import query
 from rondo.queries.scans import denormalised_as_csv
 from rondo.queries.tables import PLAY, QUESTION_SQL, USER, USERS_DISTINCT_SQL, distinct_join
 from rondo.schemas import STAR, TABLE_ORDER
-from rondo.session import scratch_path
+from rondo.session import scratch_path, shuffle_tasks
 from rondo.sources.files import read_denormalised, read_partitioned, read_table
 from rondo.sources.views import staging_events, staging_songs
 
@@ -44,7 +44,7 @@ def sink_parquet_partitioned(spark: SparkSession, sf: str) -> DataFrame:
 def sink_songs_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     """Songs by year and artist."""
     path = scratch_path(spark, "songs")
-    write_partitioned(star.songs_distinct(staging_songs(spark, sf)), path, ["year", "artist_id"])
+    write_partitioned(star.songs_distinct(staging_songs(spark, sf)), path, ["year", "artist_id"], tasks=shuffle_tasks(spark))
     return read_partitioned(spark, path).select(*STAR["songs"].names)
 
 

@@ -35,3 +35,8 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the scratch folder. Nothing is created; writers create it."""
     return f"{scratch_root(spark)}/rondo/{label}-{uuid.uuid4().hex}"
+
+
+def shuffle_tasks(spark: SparkSession) -> int:
+    """The session's starting number of shuffle partitions."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -17,8 +17,8 @@ from rondo.schemas import DENORMALISED, EVENT_CSV, LOG, SONG, TEXT_WIDTH
 
 Paths = str | Sequence[str]
 
-# Quoting of the event CSV files: doubled quotes inside a quoted field.
-CSV_QUOTING = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8", "multiLine": "false"}
+# Quoting of the event CSV files: doubled quotes inside a quoted field. A malformed record stops the read.
+CSV_QUOTING = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8", "mode": "FAILFAST"}
 
 
 def read_json(
@@ -55,22 +55,28 @@ def read_tree(spark: SparkSession, path: Paths, schema: StructType) -> DataFrame
     return read_json(spark, path, schema, recursive=True, file_glob="*.json")
 
 
-def read_csv(spark: SparkSession, path: Paths, schema: StructType, recursive: bool = True) -> DataFrame:
-    """CSV files with a header each, concatenated."""
-    reader = spark.read.schema(schema).options(**CSV_QUOTING)
+def read_csv(
+    spark: SparkSession, path: Paths, schema: StructType, recursive: bool = True, multi_line: bool = False
+) -> DataFrame:
+    """CSV files with a header each, concatenated.
+
+    A large file is read by many tasks. A line break inside a quoted field then stops the read as malformed;
+    ``multi_line`` accepts such fields at the price of one task per file.
+    """
+    reader = spark.read.schema(schema).options(**CSV_QUOTING).option("multiLine", multi_line)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     return reader.csv(path if isinstance(path, str) else list(path))
 
 
-def read_event_csv(spark: SparkSession, path: Paths) -> DataFrame:
+def read_event_csv(spark: SparkSession, path: Paths, **kw) -> DataFrame:
     """The event CSV files, all fields as text."""
-    return read_csv(spark, path, EVENT_CSV)
+    return read_csv(spark, path, EVENT_CSV, **kw)
 
 
-def read_denormalised(spark: SparkSession, path: Paths) -> DataFrame:
+def read_denormalised(spark: SparkSession, path: Paths, **kw) -> DataFrame:
     """The eleven-column CSV; an empty quoted field reads as null."""
-    return blank_to_null(read_csv(spark, path, DENORMALISED))
+    return blank_to_null(read_csv(spark, path, DENORMALISED, **kw))
 
 
 def day_path(base: str, day: date, pattern: str = "%Y/%m/%d") -> str:
@@ -116,10 +122,10 @@ def stage(
     paths = [path] if isinstance(path, str) else list(path)
     if day is not None:
         paths = [day_path(p, day, day_pattern) for p in paths]
-    defaults = {"json": {}, "csv": CSV_QUOTING}
+    defaults = {"json": {"mode": "FAILFAST"}, "csv": CSV_QUOTING}
     if fmt.lower() not in defaults:
         raise ValueError(f"fmt must be one of {sorted(defaults)}")
-    settings = {"mode": "FAILFAST", **defaults[fmt.lower()], **dict(options or {})}
+    settings = {**defaults[fmt.lower()], **dict(options or {})}
     loaded = spark.read.format(fmt.lower()).schema(schema).options(**settings).load(paths)
     if fields is not None:
         loaded = bind_columns(loaded, fields)
