@@ -54,13 +54,15 @@ def skew_join(
     force_salting: bool = False,
     bound: DataFrame | None = None,
     right_unique: bool = False,
+    seen: DataFrame | None = None,
 ) -> DataFrame:
     """Inner or left equi-join on ``(left column, right column)`` pairs; both sides' columns are kept.
 
     Column names of the two sides must differ and paired keys must have one type. ``bound`` names a frame that
     ``right`` can never outgrow, row for row; it stands in for the size check where the planner multiplies up
     the estimate of a derived ``right``. ``right_unique`` says that no key repeats on the right, which then
-    needs no search for hot keys.
+    needs no search for hot keys. ``seen`` is a frame to count the left keys in, where one costs less than
+    ``left`` itself; it only guides the slicing.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
@@ -72,7 +74,7 @@ def skew_join(
             return left.join(right, match, how)
         if bound is not None and fits_broadcast(bound):
             return left.join(F.broadcast(right), match, how)
-    return _salted_join(left, right, on, match, how, share, right_unique)
+    return _salted_join(left, right, on, match, how, share, right_unique, left if seen is None else seen)
 
 
 def _salted_join(
@@ -83,17 +85,17 @@ def _salted_join(
     how: str,
     share: float,
     right_unique: bool,
+    seen: DataFrame,
 ) -> DataFrame:
     lkeys, rkeys = [a for a, _ in on], [b for _, b in on]
 
     # One short list: into how many slices a key is cut on either side.
-    hot = hot_keys(left, lkeys, share).select("_hot", F.col("_slices").alias("_cut_left"), F.lit(1).alias("_cut_right"))
+    hot = hot_keys(seen, lkeys, share).withColumnRenamed("_slices", "_cut_left").withColumn("_cut_right", F.lit(1))
     if not right_unique:
-        hot_right = hot_keys(right, rkeys, share)
-        hot = (
-            hot.unionByName(hot_right.select("_hot", F.lit(1).alias("_cut_left"), F.col("_slices").alias("_cut_right")))
-            .groupBy("_hot")
-            .agg(F.max("_cut_left").alias("_cut_left"), F.max("_cut_right").alias("_cut_right"))
+        hot_right = hot_keys(right, rkeys, share).withColumnRenamed("_slices", "_cut_right")
+        both = hot.unionByName(hot_right.withColumn("_cut_left", F.lit(1)))
+        hot = both.groupBy("_hot").agg(
+            F.max("_cut_left").alias("_cut_left"), F.max("_cut_right").alias("_cut_right")
         )
 
     def with_cuts(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -27,11 +27,11 @@ def check_unique_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
 def check_foreign_key(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child values without a parent row, with their number of rows. A null value passes.
 
-    The child is counted per value first, so a hot value meets the parent as one row.
+    The child is counted per value and the parent reduced to its values first, so a hot value meets as one row.
     """
     values = child.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("key"))
     counts = values.agg(F.count(F.lit(1)).alias("n_rows"))
-    known = parent.select(F.col(parent_column).alias("key"))
+    known = parent.select(F.col(parent_column).alias("key")).distinct()
     return counts.join(known, "key", "left_anti")
 
 

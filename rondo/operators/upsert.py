@@ -14,12 +14,18 @@ from pyspark.sql import functions as F
 from rondo.operators.reduce import first_per_key, last_per_key
 
 
+def _without(rows: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key is not among the others'; a null is a key value like any other, so reloads stay idempotent."""
+    known = others.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+    return rows.join(known, [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys], "left_anti")
+
+
 def insert_ignore(
     new: DataFrame, keys: Sequence[str], order: Sequence[str], target: DataFrame | None = None
 ) -> DataFrame:
     """The first new row of every key not yet in ``target``; append the result to the target."""
     first = first_per_key(new, keys, order)
-    return first if target is None else first.join(target.select(*keys), list(keys), "left_anti")
+    return first if target is None else _without(first, target, keys)
 
 
 def upsert_ignore(
@@ -72,11 +78,11 @@ def upsert_update(
     state = key_state(new, keys, order, keep, update).select(*columns)
     if target is None:
         return state
-    renamed = state.toDF(*[c if c in keys else f"_new_{c}" for c in columns]).withColumn("_fresh", F.lit(True))
-    merged = target.withColumn("_stored", F.lit(True)).join(renamed, list(keys), "full")
+    renamed = state.toDF(*[f"_new_{c}" for c in columns]).withColumn("_fresh", F.lit(True))
+    same = [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys]
+    merged = target.withColumn("_stored", F.lit(True)).join(renamed, same, "full")
     return merged.select(
-        *keys,
-        *[F.when(F.col("_stored"), F.col(c)).otherwise(F.col(f"_new_{c}")).alias(c) for c in keep],
+        *[F.when(F.col("_stored"), F.col(c)).otherwise(F.col(f"_new_{c}")).alias(c) for c in [*keys, *keep]],
         *[F.when(F.col("_fresh"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in update],
     )
 
@@ -88,5 +94,5 @@ def upsert_last_write(
     last = last_per_key(new, keys, order)
     if target is None:
         return last
-    kept = target.join(last.select(*keys), list(keys), "left_anti")
+    kept = _without(target, last, keys)
     return kept.unionByName(last.select(*target.columns))

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from rondo.operators.layout import create_tables
 from rondo.operators.quality import require_non_empty
-from rondo.operators.sinks import append_rows, load_rows
+from rondo.operators.sinks import append_rows, load_rows, write_partitioned, write_plain
 from rondo.plans import star
-from rondo.schemas import LOG_WITH_ID, SONG, STAR, TABLE_ORDER
-from rondo.sources.files import stage
+from rondo.schemas import LOG, LOG_WITH_ID, SONG, STAR, TABLE_ORDER
+from rondo.session import scratch_path, shuffle_tasks
+from rondo.sources.files import read_partitioned, stage
 
 Builder = Callable[[], DataFrame]
 
@@ -78,3 +79,33 @@ def run_pipeline(
 
 def _time_as_text(time: DataFrame) -> DataFrame:
     return time.withColumn("weekday", time["weekday"].cast("string"))
+
+
+def run_lake(
+    spark: SparkSession,
+    log_path: str,
+    song_path: str,
+    out: str,
+    songs_by: Sequence[str] = ("year", "artist_id"),
+) -> dict[str, str]:
+    """Write the star schema as parquet folders and return their paths.
+
+    Songs are partitioned by ``songs_by``, time and songplays by year and month. The artists and users folders
+    must not exist yet; the others are replaced. Both inputs are parsed once, into parquet under the shared
+    scratch folder. Songplays come from a title join with the songs as written.
+    """
+    parsed = scratch_path(spark, "parsed")
+    write_plain(stage(spark, log_path, LOG, clean_text=False), f"{parsed}/log")
+    write_plain(stage(spark, song_path, SONG, clean_text=False), f"{parsed}/songs")
+    events, catalogue = spark.read.parquet(f"{parsed}/log"), spark.read.parquet(f"{parsed}/songs")
+
+    paths = {name: f"{out.rstrip('/')}/{name}" for name in TABLE_ORDER}
+    tasks = shuffle_tasks(spark)
+    write_partitioned(star.songs_distinct(catalogue), paths["songs"], songs_by, tasks=tasks)
+    write_plain(star.artists_distinct(catalogue), paths["artists"])
+    write_plain(star.users_distinct(events), paths["users"])
+    time = star.time_nextsong(events, weekday_style="short")
+    write_partitioned(time, paths["time"], ["year", "month"])
+    songs = read_partitioned(spark, paths["songs"], schema=STAR["songs"])
+    write_partitioned(star.songplays_title_join(events, songs), paths["songplays"], ["year", "month"])
+    return paths

@@ -54,19 +54,30 @@ def match_catalogue(
 def lookup_first_match(plays: DataFrame, songs: DataFrame, **skew) -> DataFrame:
     """At most one song per play: the smallest song_id with the same title, artist and length, or null ids.
 
-    Artist names come from the catalogue's artists, one per artist_id, so the lookup joins songs to artists
-    as the stored tables do.
+    The names matched are those of the artists table, one per artist_id, as in a lookup over stored tables.
     """
-    known = songs_dim(songs).select("song_id", "title", "artist_id", "duration")
-    named = artists_dim(songs).select(F.col("artist_id").alias("_artist"), "name")
-    # Both dimensions have at most one row per catalogue row, and so has their join.
-    candidates = skew_join(known, named, [("artist_id", "_artist")], "inner", bound=songs, right_unique=True, **skew)
+    return lookup_stored(plays, songs_dim(songs), artists_dim(songs), songs, **skew)
+
+
+def lookup_stored(
+    plays: DataFrame, songs: DataFrame, artists: DataFrame, bound: DataFrame | None = None, **skew
+) -> DataFrame:
+    """The lookup over a songs and an artists table, each with one row per id.
+
+    ``bound`` is a frame neither table can outgrow; without one the songs table bounds the lookup.
+    """
+    limit = songs if bound is None else bound
+    known = songs.select("song_id", "title", "artist_id", "duration")
+    named = artists.select(F.col("artist_id").alias("_artist"), "name")
+    candidates = skew_join(
+        known, named, [("artist_id", "_artist")], "inner", bound=limit, right_unique=True, **skew
+    )
     one = (
         candidates.groupBy("title", "name", "duration")
         .agg(F.min(F.struct("song_id", "artist_id")).alias("_hit"))
         .select("title", F.col("name").alias("artist_name"), "duration", "_hit.song_id", "_hit.artist_id")
     )
-    return skew_join(plays, one, [TITLE, ARTIST, LENGTH], "left", bound=songs, right_unique=True, **skew)
+    return skew_join(plays, one, [TITLE, ARTIST, LENGTH], "left", bound=limit, right_unique=True, **skew)
 
 
 def _play_columns(start_time: Column, key: Column | None = None) -> list[Column]:
@@ -183,7 +194,8 @@ def songs_generated_id(songs: DataFrame, stable: bool = True) -> DataFrame:
     return rows.withColumn("song_id", key)
 
 
-def _artists(songs: DataFrame) -> DataFrame:
+def artist_rows(songs: DataFrame) -> DataFrame:
+    """The catalogue's rows in the shape of the artists table."""
     return songs.select(
         "artist_id",
         F.col("artist_name").alias("name"),
@@ -195,13 +207,13 @@ def _artists(songs: DataFrame) -> DataFrame:
 
 def artists_dim(songs: DataFrame) -> DataFrame:
     """First row per artist_id, taken in the order of the remaining columns, nulls first."""
-    rows = _artists(songs).filter(F.col("artist_id").isNotNull())
+    rows = artist_rows(songs).filter(F.col("artist_id").isNotNull())
     return first_per_key(rows, ["artist_id"], ["name", "location", "latitude", "longitude"])
 
 
 def artists_distinct(songs: DataFrame) -> DataFrame:
     """Distinct artist rows; an artist_id repeats when its details differ."""
-    return _artists(songs).distinct()
+    return artist_rows(songs).distinct()
 
 
 def _with_parts(starts: DataFrame, weekday_style: str) -> DataFrame:
@@ -228,10 +240,12 @@ def time_all_events(events: DataFrame) -> DataFrame:
     return _with_parts(starts, "padded")
 
 
-def time_from_songplays(songplays: DataFrame, distinct: bool = False) -> DataFrame:
+def time_from_songplays(
+    songplays: DataFrame, distinct: bool = False, weekday_style: str = "number"
+) -> DataFrame:
     """Calendar of the fact table's start times with weekday as number; repeats are kept unless ``distinct``."""
     starts = songplays.select("start_time")
-    return _with_parts(starts.distinct() if distinct else starts, "number")
+    return _with_parts(starts.distinct() if distinct else starts, weekday_style)
 
 
 def join_time(songplays: DataFrame, time: DataFrame, **skew) -> DataFrame:

@@ -10,13 +10,22 @@ from pyspark.sql import functions as F
 from rondo.operators.layout import create_namespace, drop_namespace
 from rondo.operators.quality import check_foreign_key, check_not_null, check_row_counts, check_unique_key
 from rondo.plans import star
-from rondo.plans.pipeline import load_dimension, load_fact, run_pipeline
+from rondo.plans.pipeline import load_dimension, load_fact, run_lake, run_pipeline
 from rondo.queries.base import query
 from rondo.queries.columns import LOOKUP_SQL
 from rondo.queries.sinks import NOT_BLANK, SONGS_SQL, STAR_COUNTS_SQL, _database, _read_and_drop
-from rondo.queries.tables import LEFT_MD5_SQL, PLAY, USER, USERS_DISTINCT_SQL, USERS_SQL
-from rondo.schemas import LOG_WITH_ID, NOT_NULL
+from rondo.queries.tables import (
+    LEFT_MD5_SQL,
+    PLAY,
+    SONGPLAYS_LOOKUP_SQL,
+    USER,
+    USERS_DISTINCT_SQL,
+    USERS_SQL,
+    distinct_join,
+)
+from rondo.schemas import LOG, NOT_NULL
 from rondo.session import scratch_path
+from rondo.sources.files import read_partitioned
 from rondo.sources.views import staging_events, staging_songs
 from rondo.streaming.incremental import IncrementalLoad
 
@@ -146,15 +155,33 @@ def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return report
 
 
-def _streamed(spark: SparkSession, sf: str) -> IncrementalLoad:
-    """The log arrives in two deliveries, odd days first, so later files hold earlier plays."""
+@query(
+    "run_lake",
+    f"""SELECT 'songs' AS table_name, count(*) AS n_rows FROM ({SONGS_SQL})
+        UNION ALL SELECT 'artists', count(*) FROM (SELECT DISTINCT artist_id, artist_name, artist_location,
+          artist_latitude, artist_longitude FROM staging_songs)
+        UNION ALL SELECT 'users', count(*) FROM ({USERS_DISTINCT_SQL}{NOT_BLANK})
+        UNION ALL SELECT 'time', count(DISTINCT ts) FROM staging_events WHERE page = 'NextSong'
+        UNION ALL SELECT 'songplays', count(*) FROM ({distinct_join('e.song = s.title')})""",
+)
+def lake(spark: SparkSession, sf: str) -> DataFrame:
+    """From raw JSON files to partitioned parquet folders, counted after reading back."""
+    raw = scratch_path(spark, "raw")
+    staging_events(spark, sf, LOG.names).write.json(f"{raw}/log")
+    staging_songs(spark, sf).write.json(f"{raw}/songs")
+    # One folder per year here; a folder per year and artist is covered by the sink query.
+    paths = run_lake(spark, f"{raw}/log", f"{raw}/songs", scratch_path(spark, "lake"), ["year"])
+    return check_row_counts({name: read_partitioned(spark, path) for name, path in paths.items()}).drop("passed")
+
+
+def _streamed(spark: SparkSession, sf: str, songs: DataFrame | None = None) -> IncrementalLoad:
+    """The log in two deliveries: even days first, then the whole log, so earlier plays come late and some twice."""
     root = scratch_path(spark, "arriving")
-    load = IncrementalLoad(spark, scratch_path(spark, "loaded"))
+    load = IncrementalLoad(spark, scratch_path(spark, "loaded"), songs)
     events = staging_events(spark, sf)
-    even_day = F.col("level") == "paid"
-    events.filter(even_day).write.json(f"{root}/first")
+    events.filter("level = 'paid'").write.json(f"{root}/first")
     load.run(f"{root}/*", files_per_batch=4)
-    events.filter(~even_day).write.json(f"{root}/second")
+    events.write.json(f"{root}/everything")
     load.run(f"{root}/*", files_per_batch=4)
     return load
 
@@ -165,20 +192,7 @@ def incremental_users(spark: SparkSession, sf: str) -> DataFrame:
     return _streamed(spark, sf).users()
 
 
-@query(
-    "incremental_load_songplays",
-    """SELECT md5(concat_ws('|', "sessionId"::VARCHAR, "itemInSession"::VARCHAR, ts::VARCHAR)) AS songplay_id,
-              make_timestamp_ms(ts) AS start_time, TRY_CAST("userId" AS INTEGER) AS user_id, level, artist, song,
-              length, "sessionId" AS session_id, location, "userAgent" AS user_agent
-       FROM staging_events WHERE page = 'NextSong'""",
-)
+@query("incremental_load_songplays", SONGPLAYS_LOOKUP_SQL, LOOKUP_SQL)
 def incremental_songplays(spark: SparkSession, sf: str) -> DataFrame:
-    """Plays loaded by two incremental runs, the first delivery arriving twice."""
-    root = scratch_path(spark, "arriving")
-    load = IncrementalLoad(spark, scratch_path(spark, "loaded"))
-    events = staging_events(spark, sf, LOG_WITH_ID.names)
-    events.filter("level = 'paid'").write.json(f"{root}/first")
-    load.run(f"{root}/*", files_per_batch=4)
-    events.write.json(f"{root}/everything")
-    load.run(f"{root}/*", files_per_batch=4)
-    return load.songplays()
+    """The fact table after two incremental runs equals the batch table."""
+    return _streamed(spark, sf, staging_songs(spark, sf)).songplays()

@@ -25,16 +25,15 @@ def _plays(spark: SparkSession, sf: str, numbered: bool = False) -> DataFrame:
     return staging_events(spark, sf, columns)
 
 
-@query(
-    "songplays_lookup",
-    """SELECT md5(concat_ws('|', e."sessionId"::VARCHAR, e."itemInSession"::VARCHAR, e.ts::VARCHAR)) AS songplay_id,
+SONGPLAYS_LOOKUP_SQL = """SELECT md5(concat_ws('|', e."sessionId"::VARCHAR, e."itemInSession"::VARCHAR, e.ts::VARCHAR)) AS songplay_id,
               make_timestamp_ms(e.ts) AS start_time, TRY_CAST(e."userId" AS INTEGER) AS user_id, e.level,
               l.song_id, l.artist_id, e."sessionId" AS session_id, e.location, e."userAgent" AS user_agent
        FROM staging_events e LEFT JOIN lookup l
        ON e.song = l.title AND e.artist = l.artist_name AND e.length = l.duration
-       WHERE e.page = 'NextSong'""",
-    LOOKUP_SQL,
-)
+       WHERE e.page = 'NextSong'"""
+
+
+@query("songplays_lookup", SONGPLAYS_LOOKUP_SQL, LOOKUP_SQL)
 def songplays_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return star.songplays_lookup(_plays(spark, sf, numbered=True), staging_songs(spark, sf))
 

@@ -44,6 +44,7 @@ def staging_events(spark: SparkSession, sf_dir: str, columns: Sequence[str] | No
         .otherwise("Logout")
         .alias("page"),
     )
+    logged = events
     if "itemInSession" in need:
         keyed = events.withColumns(
             {
@@ -67,7 +68,7 @@ def staging_events(spark: SparkSession, sf_dir: str, columns: Sequence[str] | No
         )
     if need & (FROM_CUSTOMER | FROM_NATION):
         customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
-        events = skew_join(events, customer, [("_user", "c_custkey")], "left", right_unique=True)
+        events = skew_join(events, customer, [("_user", "c_custkey")], "left", right_unique=True, seen=logged)
     if need & FROM_NATION:
         nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
         events = skew_join(events, nation, [("c_nationkey", "n_nationkey")], "left", right_unique=True)

@@ -17,8 +17,8 @@ from rondo.functions.clean import blank_to_null, to_int
 from rondo.functions.keys import natural_key
 from rondo.functions.timeparts import ms_to_timestamp
 from rondo.operators.upsert import insert_ignore, key_state, merge_states
-from rondo.plans.star import next_song
-from rondo.schemas import LOG_WITH_ID
+from rondo.plans.star import lookup_first_match, next_song, time_from_songplays
+from rondo.schemas import LOG_WITH_ID, STAR
 
 ORDER = ["ts", "event_id"]
 KEEP = ["first_name", "last_name", "gender"]
@@ -46,16 +46,20 @@ def _users(plays: DataFrame) -> DataFrame:
     return key_state(rows, ["user_id"], ORDER, KEEP, UPDATE)
 
 
-def _plays(plays: DataFrame) -> DataFrame:
+def _plays(plays: DataFrame, songs: DataFrame | None) -> DataFrame:
+    if songs is None:
+        nothing = F.lit(None).cast("string")
+        matched = plays.withColumns({"song_id": nothing, "artist_id": nothing})
+    else:
+        matched = lookup_first_match(plays, songs)
     start = ms_to_timestamp("ts")
-    return plays.select(
+    return matched.select(
         natural_key(F.col("sessionId"), F.col("itemInSession"), F.col("ts")).alias("songplay_id"),
         start.alias("start_time"),
         to_int("userId").alias("user_id"),
         "level",
-        "artist",
-        "song",
-        "length",
+        "song_id",
+        "artist_id",
         F.col("sessionId").alias("session_id"),
         "location",
         F.col("userAgent").alias("user_agent"),
@@ -65,11 +69,15 @@ def _plays(plays: DataFrame) -> DataFrame:
 
 
 class IncrementalLoad:
-    """Songplays (keep-first) and users (level of the last play) kept under ``target``."""
+    """Songplays (keep-first) and users (level of the last play) kept under ``target``.
 
-    def __init__(self, spark: SparkSession, target: str):
+    Plays are matched with ``songs``, the staged catalogue as it is when they are loaded.
+    """
+
+    def __init__(self, spark: SparkSession, target: str, songs: DataFrame | None = None):
         self.spark = spark
         self.target = target.rstrip("/")
+        self.songs = songs
 
     def _slot(self, batch_id: int) -> str:
         return f"{self.target}/users/slot={batch_id % 2}"
@@ -79,7 +87,7 @@ class IncrementalLoad:
         plays = next_song(blank_to_null(batch)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             self._load_users(_users(plays), batch_id)
-            self._load_plays(_plays(plays), batch_id)
+            self._load_plays(_plays(plays, self.songs), batch_id)
         finally:
             plays.unpersist()
 
@@ -124,5 +132,9 @@ class IncrementalLoad:
         return state.filter(F.col("batch_id") == latest).select("user_id", *KEEP, *UPDATE)
 
     def songplays(self) -> DataFrame:
-        """All plays loaded so far, without a catalogue match."""
-        return self.spark.read.parquet(f"{self.target}/songplays").drop("batch_id", "day", *ORDER)
+        """All plays loaded so far."""
+        return self.spark.read.parquet(f"{self.target}/songplays").select(*STAR["songplays"].names)
+
+    def time(self) -> DataFrame:
+        """Calendar of the plays loaded so far."""
+        return time_from_songplays(self.songplays(), distinct=True, weekday_style="full")

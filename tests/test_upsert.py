@@ -61,6 +61,15 @@ def test_last_write_replaces_whole_rows(spark, rows):
     assert rows(upsert_last_write(new, ["k"], ORDER, once)) == rows(once)
 
 
+def test_a_null_key_is_loaded_once(spark):
+    new = spark.createDataFrame(NEW, SCHEMA)
+    once = insert_ignore(new, ["k"], ORDER)
+    assert insert_ignore(new, ["k"], ORDER, once).count() == 0
+    assert upsert_last_write(new, ["k"], ORDER, once).count() == 3
+    users = upsert_update(new, ["k"], ORDER, ["level"])
+    assert upsert_update(new, ["k"], ORDER, ["level"], users).count() == 3
+
+
 def test_states_merge_in_any_sequence(spark, rows):
     keep, update = ["name"], ["level"]
     parts = [NEW[0:2], NEW[2:3], NEW[3:5]]
