@@ -58,7 +58,8 @@ def skew_join(
 ) -> DataFrame:
     """Inner or left equi-join on ``(left column, right column)`` pairs; both sides' columns are kept.
 
-    Column names of the two sides must differ and paired keys must have one type. ``bound`` names a frame that
+    Column names of the two sides must differ and paired keys must have one type. Select the needed columns
+    first: hot rows are spread by a hash of the whole row, which would keep unused columns alive. ``bound`` names a frame that
     ``right`` can never outgrow, row for row; it stands in for the size check where the planner multiplies up
     the estimate of a derived ``right``. ``right_unique`` says that no key repeats on the right, which then
     needs no search for hot keys. ``seen`` is a frame to count the left keys in, where one costs less than
@@ -90,10 +91,10 @@ def _salted_join(
     lkeys, rkeys = [a for a, _ in on], [b for _, b in on]
 
     # One short list: into how many slices a key is cut on either side.
-    hot = hot_keys(seen, lkeys, share).withColumnRenamed("_slices", "_cut_left").withColumn("_cut_right", F.lit(1))
+    hot = hot_keys(seen, lkeys, share).withColumnRenamed("_slices", "_cut_left")
     if not right_unique:
         hot_right = hot_keys(right, rkeys, share).withColumnRenamed("_slices", "_cut_right")
-        both = hot.unionByName(hot_right.withColumn("_cut_left", F.lit(1)))
+        both = hot.unionByName(hot_right, allowMissingColumns=True)
         hot = both.groupBy("_hot").agg(
             F.max("_cut_left").alias("_cut_left"), F.max("_cut_right").alias("_cut_right")
         )
@@ -117,16 +118,15 @@ def _salted_join(
 
     # Null keys never match; in a left join they are spread by row content instead of meeting in one task.
     no_key = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in lkeys])
+    zero = F.lit(0).cast("long")
     rows = with_cuts(left, lkeys).withColumn("_ls", one_slice("_cut_left", left.columns))
-    if right_unique:
-        rows = rows.withColumn("_rs", F.lit(0).cast("long"))
-    else:
-        rows = rows.withColumn("_rs", all_slices("_cut_right"))
+    rows = rows.withColumn("_rs", zero if right_unique else all_slices("_cut_right"))
     lsalt = F.when(no_key, F.xxhash64(*left.columns)).otherwise(salted("_ls", "_rs"))
-    rows = rows.select(*left.columns, lsalt.alias("_lsalt"), F.col("_cut_right"))
+    several = F.lit(False) if right_unique else F.coalesce(F.col("_cut_right") > 1, F.lit(False))
+    rows = rows.select(*left.columns, lsalt.alias("_lsalt"), several.alias("_several"))
 
     others = with_cuts(right.na.drop(how="any", subset=rkeys), rkeys)
-    others = others.withColumn("_rs", one_slice("_cut_right", right.columns))
+    others = others.withColumn("_rs", zero if right_unique else one_slice("_cut_right", right.columns))
     others = others.withColumn("_ls", all_slices("_cut_left"))
     others = others.select(*right.columns, salted("_ls", "_rs").alias("_rsalt"))
 
@@ -134,5 +134,5 @@ def _salted_join(
     joined = rows.join(others, [F.col("_lsalt") == F.col("_rsalt"), *match], how)
     if how == "left" and not right_unique:
         # A key cut on the right side certainly has a match in some slice; its empty slices are not results.
-        joined = joined.filter(F.col("_rsalt").isNotNull() | F.coalesce(F.col("_cut_right") == 1, F.lit(True)))
+        joined = joined.filter(F.col("_rsalt").isNotNull() | ~F.col("_several"))
     return joined.select(*left.columns, *right.columns)

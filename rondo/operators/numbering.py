@@ -1,6 +1,7 @@
 """Row numbers that do not need one task to see a whole group.
 
-``number_within`` cuts only hot groups into time slots: rows are numbered inside a slot, and the counts of the
+``number_within`` uses a plain window on a table small enough to broadcast, which one task could hold whole.
+Beyond that size it cuts hot groups, and only those, into time slots: rows are numbered inside a slot, and the counts of the
 earlier slots, made with map-side combine, are added. A group's window therefore runs over its slots, whose
 number is bounded by the calendar, while its rows stay spread over as many tasks as it has slots.
 
@@ -15,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rondo.operators.joins import hot_keys, key_hash
+from rondo.operators.joins import fits_broadcast, hot_keys, key_hash
 from rondo.session import scratch_path
 
 
@@ -32,6 +33,9 @@ def number_within(
     ``slot`` is a whole number that must rise with ``order``; neither it nor the group columns may be null.
     ``hot_on`` names the group columns whose frequency shows a hot group, where some of them are enough.
     """
+    if fits_broadcast(df):
+        plain = Window.partitionBy(*group).orderBy(*order)
+        return df.withColumn(name, (F.row_number().over(plain) - 1).cast("long"))
     keys = list(hot_on or group)
     marked = df.withColumn("_group", key_hash(df, keys))
     marked = marked.join(F.broadcast(hot_keys(df, keys)), F.col("_group") == F.col("_hot"), "left")

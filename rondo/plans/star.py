@@ -94,9 +94,17 @@ def _play_columns(start_time: Column, key: Column | None = None) -> list[Column]
     return columns if key is None else [key.alias("songplay_id"), *columns]
 
 
+# What a play needs from the log, besides the keys of its catalogue match.
+_LOGGED = ["ts", "userId", "level", "sessionId", "location", "userAgent"]
+
+
+def _plays(events: DataFrame, *more: str) -> DataFrame:
+    return next_song(events).select(*_LOGGED, *more)
+
+
 def songplays_lookup(events: DataFrame, songs: DataFrame, grain: str = "timestamp", **skew) -> DataFrame:
     """Every play once, with the ids of its first matching song or null. ``grain="day"`` keeps the date only."""
-    plays = lookup_first_match(next_song(events), songs, **skew)
+    plays = lookup_first_match(_plays(events, "itemInSession", "song", "artist", "length"), songs, **skew)
     start = ms_to_timestamp("ts")
     key = natural_key(F.col("sessionId"), F.col("itemInSession"), F.col("ts"))
     return plays.select(*_play_columns(start.cast("date") if grain == "day" else start, key))
@@ -113,16 +121,15 @@ _RAW = ["ts", "userId", "level", "song_id", "artist_id", "sessionId", "location"
 
 def songplays_inner(events: DataFrame, songs: DataFrame, **skew) -> DataFrame:
     """Plays whose title and artist are in the catalogue, as distinct rows."""
-    matched = match_catalogue(
-        next_song(events), songs, (TITLE, ARTIST), "inner", distinct_songs=True, **skew
-    )
+    plays = _plays(events, "song", "artist")
+    matched = match_catalogue(plays, songs, (TITLE, ARTIST), "inner", distinct_songs=True, **skew)
     rows = matched.select(*_RAW).distinct()
     return rows.select(*_play_columns(ms_to_timestamp("ts"), _row_key()))
 
 
 def songplays_title_join(events: DataFrame, songs: DataFrame, **skew) -> DataFrame:
     """Plays whose title alone is in the catalogue, as distinct rows with year and month to partition by."""
-    matched = match_catalogue(next_song(events), songs, (TITLE,), "inner", distinct_songs=True, **skew)
+    matched = match_catalogue(_plays(events, "song"), songs, (TITLE,), "inner", distinct_songs=True, **skew)
     rows = matched.select(*_RAW).distinct()
     built = rows.select(*_play_columns(ms_to_timestamp("ts"), _row_key()))
     return built.withColumns({"year": F.year("start_time"), "month": F.month("start_time")})
@@ -133,7 +140,7 @@ def songplays_left_md5(events: DataFrame, songs: DataFrame, whole_seconds: bool
 
     The id repeats when two songs match or two plays share session and second.
     """
-    timed = next_song(events).withColumn("start_time", ms_to_second("ts"))
+    timed = _plays(events, "song", "artist", "length").withColumn("start_time", ms_to_second("ts"))
     matched = match_catalogue(timed, songs, how="left", whole_seconds=whole_seconds, **skew)
     start = F.col("start_time")
     return matched.select(*_play_columns(start, session_second_key(F.col("sessionId"), start)))
@@ -190,7 +197,7 @@ def songs_generated_id(songs: DataFrame, stable: bool = True) -> DataFrame:
     """
     columns = ["title", "artist_id", "year", "duration"]
     rows = distinct_rows(songs, columns)
-    key = F.xxhash64(*columns) if stable else F.monotonically_increasing_id()
+    key = natural_key(*[F.col(c) for c in columns]) if stable else F.monotonically_increasing_id()
     return rows.withColumn("song_id", key)
 
 

@@ -152,16 +152,21 @@ def songs_distinct(spark: SparkSession, sf: str) -> DataFrame:
     return star.songs_distinct(staging_songs(spark, sf))
 
 
-@query("songs_generated_id")
+@query(
+    "songs_generated_id",
+    """SELECT title, artist_id, year, duration,
+              md5(concat_ws('|', title, artist_id, year::VARCHAR, duration::VARCHAR)) AS song_id
+       FROM (SELECT DISTINCT title, artist_id, year, duration FROM staging_songs)""",
+)
 def songs_generated_id(spark: SparkSession, sf: str) -> DataFrame:
-    """The id is a Spark hash of the row, so there is no SQL equivalent."""
+    """Distinct songs with a hash of the row as id."""
     return star.songs_generated_id(staging_songs(spark, sf))
 
 
-@query("songs_without_id", "SELECT DISTINCT title, artist_id, year, duration FROM staging_songs")
-def songs_without_id(spark: SparkSession, sf: str) -> DataFrame:
-    """The rows that get a generated id."""
-    return star.songs_generated_id(staging_songs(spark, sf)).drop("song_id")
+@query("songs_generated_number")
+def songs_generated_number(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct songs with a unique but unstable number as id, which has no SQL equivalent."""
+    return star.songs_generated_id(staging_songs(spark, sf), stable=False)
 
 
 @query(

@@ -2,16 +2,21 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from rondo.operators import numbering
 from rondo.operators.numbering import identity_ids, number_within
 
 
-def test_numbers_within_hot_and_cold_groups(spark):
+@pytest.mark.parametrize("sliced", [True, False])
+def test_numbers_within_hot_and_cold_groups(spark, monkeypatch, sliced):
+    monkeypatch.setattr(numbering, "fits_broadcast", lambda df: not sliced)
     rng = random.Random(3)
     data = [(i, 0 if rng.random() < 0.5 else rng.randrange(400), rng.randrange(10_000)) for i in range(3000)]
     df = spark.createDataFrame(data, "id int, g int, t int")
     got = number_within(df, ["g"], F.expr("t div 60"), ["t", "id"], "n")
+    assert ("_slot" in got._jdf.queryExecution().optimizedPlan().toString()) == sliced
     seen: dict[int, int] = {}
     want = {}
     for i, g, t in sorted(data, key=lambda r: (r[2], r[0])):
