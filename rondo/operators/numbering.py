@@ -1,9 +1,9 @@
 """Row numbers that do not need one task to see a whole group.
 
 ``number_within`` uses a plain window on a table small enough to broadcast, which one task could hold whole.
-Beyond that size it cuts hot groups, and only those, into time slots: rows are numbered inside a slot, and the counts of the
-earlier slots, made with map-side combine, are added. A group's window therefore runs over its slots, whose
-number is bounded by the calendar, while its rows stay spread over as many tasks as it has slots.
+Beyond that size it cuts hot groups, and only those, into time slots: rows are numbered inside a slot, and the
+counts of the earlier slots, made with map-side combine, are added. A group's window therefore runs over its
+slots, whose number is bounded by the calendar, while its rows stay spread over as many tasks as it has slots.
 
 ``identity_ids`` numbers a whole table: one range shuffle, one write to the shared scratch folder so that the
 placement of rows is fixed even when executors are lost, and one offset per partition.

@@ -180,9 +180,9 @@ def _streamed(spark: SparkSession, sf: str, songs: DataFrame | None = None) -> I
     load = IncrementalLoad(spark, scratch_path(spark, "loaded"), songs)
     events = staging_events(spark, sf)
     events.filter("level = 'paid'").write.json(f"{root}/first")
-    load.run(f"{root}/*", files_per_batch=4)
+    load.run(f"{root}/*")
     events.write.json(f"{root}/everything")
-    load.run(f"{root}/*", files_per_batch=4)
+    load.run(f"{root}/*")
     return load
 
 

@@ -20,6 +20,9 @@ RECOMMENDED = {
 }
 
 
+_own_roots: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a local run without one gets its own."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -27,9 +30,10 @@ def scratch_root(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    own = tempfile.mkdtemp(prefix="rondo-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    application = spark.sparkContext.applicationId
+    if application not in _own_roots:
+        _own_roots[application] = tempfile.mkdtemp(prefix="rondo-")
+    return _own_roots[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

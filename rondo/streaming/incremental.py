@@ -11,11 +11,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.storagelevel import StorageLevel
 
 from rondo.functions.clean import blank_to_null, to_int
 from rondo.functions.keys import natural_key
 from rondo.functions.timeparts import ms_to_timestamp
+from rondo.operators.sinks import write_partitioned
 from rondo.operators.upsert import insert_ignore, key_state, merge_states
 from rondo.plans.star import lookup_first_match, next_song, time_from_songplays
 from rondo.schemas import LOG_WITH_ID, STAR
@@ -83,13 +83,16 @@ class IncrementalLoad:
         return f"{self.target}/users/slot={batch_id % 2}"
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """Load one micro-batch."""
-        plays = next_song(blank_to_null(batch)).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            self._load_users(_users(plays), batch_id)
-            self._load_plays(_plays(plays, self.songs), batch_id)
-        finally:
-            plays.unpersist()
+        """Load one micro-batch.
+
+        Its plays are first stored, so the raw files are parsed once and each later step reads its own columns.
+        """
+        staged = f"{self.target}/_staged/slot={batch_id % 2}"
+        parsed = next_song(blank_to_null(batch))
+        parsed.write.mode("overwrite").parquet(staged)
+        plays = self.spark.read.schema(parsed.schema).parquet(staged)
+        self._load_users(_users(plays), batch_id)
+        self._load_plays(plays, batch_id)
 
     def _load_users(self, state: DataFrame, batch_id: int) -> None:
         old = _stored(self.spark, self._slot(batch_id - 1)) if batch_id else None
@@ -97,17 +100,16 @@ class IncrementalLoad:
             state = merge_states(old.drop("batch_id"), state, ["user_id"], KEEP, UPDATE)
         state.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(self._slot(batch_id))
 
-    def _load_plays(self, rows: DataFrame, batch_id: int) -> None:
+    def _load_plays(self, plays: DataFrame, batch_id: int) -> None:
         earlier = _stored(self.spark, f"{self.target}/songplays")
         if earlier is not None:
             # The id includes the time of play, so an earlier row with the same id lies in the same day and only
             # the days of this batch are read back. Their list is bounded by the calendar.
-            days = [r.day for r in rows.select("day").distinct().collect()]
+            day = ms_to_timestamp("ts").cast("date").alias("day")
+            days = [r.day for r in plays.select(day).distinct().collect()]
             earlier = earlier.filter((F.col("batch_id") < batch_id) & F.col("day").isin(days))
-        fresh = insert_ignore(rows, ["songplay_id", "day"], ORDER, earlier)
-        fresh.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(
-            f"{self.target}/songplays/batch_id={batch_id}"
-        )
+        fresh = insert_ignore(_plays(plays, self.songs), ["songplay_id", "day"], ORDER, earlier)
+        write_partitioned(fresh, f"{self.target}/songplays/batch_id={batch_id}", ["day"])
 
     def run(self, log_path: str, schema: StructType = LOG_WITH_ID, files_per_batch: int = 1000) -> None:
         """Load every file not yet loaded, then stop."""
