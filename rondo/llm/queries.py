@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rondo.llm import exact_dedup
+from rondo.llm import exact_dedup, ngram_join
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,3 +41,9 @@ FROM prints WINDOW same AS (PARTITION BY text_sha256)
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one that stays in its place."""
     return exact_dedup.mark(_table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose sets of 3-word shingles overlap by 90 % or more."""
+    return ngram_join.link_groups(_table(spark, sf_dir, "documents"), shingle=3, num=90, den=100)
