@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rondo.llm import exact_dedup, ngram_join
+from rondo.llm import exact_dedup, ngram_join, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,3 +47,9 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose sets of 3-word shingles overlap by 90 % or more."""
     return ngram_join.link_groups(_table(spark, sf_dir, "documents"), shingle=3, num=90, den=100)
+
+
+@_query()
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score."""
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))

@@ -32,6 +32,11 @@ with np.errstate(over="ignore"):
     _BYTE = mix((np.arange(256, dtype=_U) + _U(1)) * _U(_BASE))
 _BYTE[65:91] = _BYTE[97:123]
 _BYTE[_SPACE] = 0
+#: Letters by case, digits as one class, all other bytes as they are.
+_SHAPE = np.arange(256, dtype=np.uint32)
+_SHAPE[97:123] = _SHAPE[128:256] = ord("a")
+_SHAPE[65:91] = ord("A")
+_SHAPE[48:58] = ord("9")
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -43,7 +48,7 @@ def _power(base: int, n: int) -> np.ndarray:
     return _powers[base][:n]
 
 
-def _hash_slice(data: np.ndarray, breaks: np.ndarray, prefixes: tuple[int, ...]):
+def _hash_slice(data: np.ndarray, breaks: np.ndarray, prefixes: tuple[int, ...], endings: bool):
     """Starts and hashes of the words of ``data``; a word also ends at each of ``breaks``."""
     word = ~_SPACE[data]
     first = word.copy()
@@ -56,14 +61,19 @@ def _hash_slice(data: np.ndarray, breaks: np.ndarray, prefixes: tuple[int, ...])
     parts = _BYTE[data] * _power(_BASE, len(data))
     back = _power(_INVERSE, len(data))[starts]
     hashes = mix(np.add.reduceat(parts, starts) * back + _U(1))
-    if not prefixes:
+    if not prefixes and not endings:
         return starts, hashes, []
     # Bytes past a word's end must add nothing: the length of a word is its bytes up to the next space or break.
     ends = np.append(starts[1:], len(data))
     gaps = np.add.reduceat(word.astype(np.int64), starts)
     lengths = np.minimum(gaps, ends - starts)
     out, total = [], np.zeros(len(starts), _U)
-    for i in range(max(prefixes)):
+    if endings:
+        last, code = starts + lengths - 1, np.zeros(len(starts), np.uint32)
+        for i in range(3):
+            code |= np.where(lengths > i, _SHAPE[data[np.maximum(last - i, 0)]], 0).astype(np.uint32) << np.uint32(8 * i)
+        out.append((lengths > 0, mix(code.astype(_U) + _U(_BASE))))
+    for i in range(max(prefixes, default=0)):
         inside = lengths > i
         total[inside] += parts[starts[inside] + i]
         if i + 1 in prefixes:
@@ -99,14 +109,20 @@ def _slices(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, i
         i = j
 
 
-def word_hashes(texts: pa.Array, prefixes: tuple[int, ...] = ()) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
-    """(index, hashes of its words in order, hashes of their proper prefixes) of each text, one after the other."""
+def word_hashes(
+    texts: pa.Array, prefixes: tuple[int, ...] = (), endings: bool = False
+) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
+    """(index, hashes of its words in order, hashes of more features) of each text, one after the other.
+
+    The features are the words' proper prefixes of the given lengths in bytes and, with ``endings``, the shape of each
+    word's last three bytes.
+    """
     data, offsets = _buffers(texts)
     held: list[tuple[np.ndarray, list[np.ndarray]]] = []
     with np.errstate(over="ignore"):
         for i, j, start, stop in _slices(data, offsets):
             breaks = offsets[i + 1 : j] - start if j > i else np.zeros(0, np.int64)
-            starts, hashes, extra = _hash_slice(data[start:stop], breaks, prefixes)
+            starts, hashes, extra = _hash_slice(data[start:stop], breaks, prefixes, endings)
             if j == i:  # a piece; the text goes on
                 held.append((hashes, [h[ok] for ok, h in extra]))
                 continue
