@@ -3,19 +3,27 @@
 A document is the set of its distinct word shingles. Per size band, its sketch is a row of 64-bit words: every shingle
 XORs its hash into the one word its upper bits select. Two sets that differ in d shingles differ in at most d words, so
 the words that differ bound the symmetric difference from below. A band bounds the symmetric difference of the pairs it
-has to find by D and uses more than D words: any such pair has an equal word (pigeonhole), and documents are joined on
-(band, position, word). Every candidate is verified on the whole texts.
+has to find by D and uses more than D words, so by the pigeonhole principle any such pair has equal words, and documents
+are joined on (band, position, word). Every candidate is verified on the whole texts.
 
-Empty words say nothing, and are left out: if either document of a pair has more than D filled words, the pair meets in
-a filled one. Only documents with D filled words or fewer send their empty words as well.
+Which words to join on: a document with F filled words shares at least F - D of them with a partner, so it is enough
+that both send their D + 1 rarest filled words, by one order of all words. Words nobody else has are the rarest, so a
+document that was changed a lot sends none, and the words a large group has in common are sent by few of its members.
+A document with D filled words or fewer sends all its words, the empty ones too.
 
-No group is ever expanded into its pairs. Equal texts are one class from the start. In a first round each class is
-verified against one partner, the first class of the word it shares most often; that joins nearly all of every group of
-near copies. In a second round all pairs that share a word and lie in different groups are verified, so no link
-between groups is missed. Memory is bounded by one shuffle bucket, whose number follows the data.
+Candidates are then compared by a second parity sketch, in which every shingle flips one of about as many bits as the
+set has members: its Hamming distance, too, bounds the symmetric difference from below, and leaves few wrong pairs.
+Only those are verified on the texts.
 
-Defined cases: null and empty texts have an empty set, and are linked with nothing, not even each other. Rows that share
-an id are one node. Rows with a null id are linked with nothing. Extra columns are ignored. An empty table gives an empty result.
+No group is ever expanded into its pairs. Equal texts are one class from the start. In a first round each class is
+verified against one partner at most, in a second round each two groups that share a word against each other once; that
+joins nearly all of what belongs together. In the last round all pairs that share a word and pass the sketches, but lie in
+different groups, are verified, so no link between groups is missed. Lists of classes that share a word are cut into
+blocks, and blocks are compared in tasks of their own. Memory is bounded by one shuffle bucket, whose number follows the
+data, and two blocks.
+
+Defined cases: null and empty texts have an empty set, and are linked with nothing, not even each other. An id
+names one document: of rows that share an id but not the text, one is compared. Rows with a null id are linked with nothing. Extra columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,8 +45,10 @@ from rondo.llm.words import mix, shingle_sets
 _U = np.uint64
 #: Sketch words in one shuffle bucket, about; 16 bytes each.
 BUCKET = 1_000_000
-#: Members of one candidate list; a longer one is cut into several that share their first member.
-LIST = 4096
+#: Members of one block of a candidate list, about.
+BLOCK = 4096
+#: Sketch words for each shingle of a band's largest set, as a fraction, or D + 1 and a tenth more if those are more.
+WORDS = 3, 10
 
 
 def bands(num: int, den: int, largest: int) -> list[int]:
@@ -60,9 +70,13 @@ def _edges(count: int) -> np.ndarray:
     return np.array([i * (1 << 64) // count for i in range(1, count)], _U)
 
 
-def sketch_keys(hashes: np.ndarray, num: int, den: int, lows: list[int]) -> np.ndarray:
-    """Join keys of one set: a hash of (band, position, word) for its band as it is and for the one below."""
-    size, out = len(hashes), []
+def sketch_keys(hashes: np.ndarray, num: int, den: int, lows: list[int]) -> tuple[np.ndarray, list[int]]:
+    """Join keys of one set: a hash of (band, position, word) for its band and for the one below.
+
+    The last bit of a key is that of its band. Also, by that bit, how many keys more than all must be sent (below zero:
+    fewer).
+    """
+    size, out, more = len(hashes), [], [0, 0]
     own = bisect_right(lows, size) - 1
     for band in (own, own - 1):
         if band < 0:
@@ -73,109 +87,244 @@ def sketch_keys(hashes: np.ndarray, num: int, den: int, lows: list[int]) -> np.n
             continue  # too large for any partner in the band below
         most = difference(size, partner, num, den)
         least = difference(top, top * den // num, num, den) + 1
-        count = least + (1 + least // 10 if least > 1 else 0)
+        count = max(least + (1 + least // 10 if least > 1 else 0), top * WORDS[0] // WORDS[1])
         cuts = np.searchsorted(hashes, _edges(count))
         running = np.append(_U(0), np.bitwise_xor.accumulate(mix(hashes)))
         at = np.concatenate(([0], cuts, [size]))
         words = running[at[1:]] ^ running[at[:-1]]
         filled = at[1:] > at[:-1]
         place = np.arange(count, dtype=_U) + _U(band << 32)
-        keys = mix(words ^ mix(place + _U(1)))
-        out.append(keys[filled] if int(filled.sum()) > most else keys)
-    return np.concatenate(out)
+        keys = (mix(words ^ mix(place + _U(1))) & ~_U(1)) | _U(band & 1)
+        more[band & 1] = most + 1 - int(filled.sum())
+        out.append(keys if more[band & 1] > 0 else keys[filled])
+    return np.concatenate(out), more
 
 
-def _sketch(num: int, den: int, size: int, buckets: int):
-    """Keys of every class packed by shuffle bucket, and per batch one row without keys that carries the set sizes."""
-    schema = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("ids", pa.binary())])
+_PACKED = "bucket int, kind int, a binary, b binary, c binary, d binary"
+_KEYS, _SETS = 0, 1
+_EMPTY = np.zeros(0, np.int64)
+
+
+def _bits(size: int) -> int:
+    """Bits in the second sketch of a set of this size."""
+    return max(64, 1 << int(size).bit_length())
+
+
+def _flip(hashes: np.ndarray) -> bytes:
+    bits = _bits(len(hashes))
+    flips = np.bincount((mix(hashes ^ _U(0x5851F42D4C957F2D)) & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
+    names = ["bucket", "kind", "a", "b", "c", "d"]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-    def table(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    def packed(keys: list[np.ndarray], owners: list[np.ndarray]) -> pa.RecordBatch:
-        every, who = np.concatenate(keys), np.concatenate(owners)
-        to = (every % _U(buckets)).astype(np.int32)
-        order = np.argsort(to, kind="stable")
-        every, who, to = every[order], who[order], to[order]
-        marks = np.flatnonzero(np.diff(to)) + 1
-        starts, stops = np.append(0, marks), np.append(marks, len(to))
-        return table([(int(to[s]), every[s:e].tobytes(), who[s:e].tobytes()) for s, e in zip(starts, stops)])
+def _packed(kind: int, buckets: int, by: np.ndarray, columns: list[np.ndarray], sketches: list[bytes] | None = None):
+    """The columns' values and the sketches, a row for each bucket that ``by`` names."""
+    if not len(by):
+        return
+    to = (mix(by.view(_U)) % _U(buckets)).astype(np.int32)
+    order = np.argsort(to, kind="stable")
+    columns, to = [c[order] if len(c) else c for c in columns], to[order]
+    marks = np.flatnonzero(np.diff(to)) + 1
+    spans = list(zip(np.append(0, marks), np.append(marks, len(to))))
+    bits = lambda s, e: b"".join(sketches[i] for i in order[s:e]) if sketches else b""
+    for at in range(0, len(spans), 1000):
+        part = spans[at : at + 1000]
+        yield _rows([(int(to[s]), kind, *(c[s:e].tobytes() for c in columns), bits(s, e)) for s, e in part])
+
+
+def _cut(sketches: bytes, sizes: np.ndarray) -> list[bytes]:
+    lengths = np.array([_bits(n) // 8 for n in sizes], np.int64)
+    ends = np.cumsum(lengths)
+    return [sketches[e - n : e] for e, n in zip(ends, lengths)]
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[int, list]]:
+    """The columns and sketches of each bucket, by kind; the input is ordered by bucket."""
+    at, held = None, {}
+
+    def joined() -> dict[int, list]:
+        return {k: [*(np.concatenate(c) for c in list(zip(*p))[:3]), b"".join(x[3] for x in p)] for k, p in held.items()}
+
+    for batch in batches:
+        for bucket, kind, *columns, sketches in zip(*(batch.column(i).to_pylist() for i in range(6))):
+            if bucket != at and held:
+                yield joined()
+                held = {}
+            at = bucket
+            held.setdefault(kind, []).append([*(np.frombuffer(c, np.int64) for c in columns), sketches])
+    if held:
+        yield joined()
+
+
+def _sketch(num: int, den: int, size: int, buckets: int):
+    """Keys of every class (key, id, -) by key, and by id (id, set size, words to send beyond all in two bands; sketch)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lows = bands(num, den, 1 << 12)
         for batch in batches:
             ids = batch.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
-            sizes = np.zeros(len(ids), np.int64)
+            sizes, more, sketches = np.zeros(len(ids), np.int64), np.zeros((len(ids), 2), np.int32), []
             keys, owners, held = [], [], 0
+
+            def so_far() -> Iterator[pa.RecordBatch]:
+                every = np.concatenate(keys)  # noqa: B023
+                return _packed(_KEYS, buckets, every, [every, np.concatenate(owners), _EMPTY])  # noqa: B023
+
             for i, hashes in enumerate(shingle_sets(batch.column("text"), size)):
                 sizes[i] = len(hashes)
+                sketches.append(_flip(hashes))
                 if not len(hashes):
                     continue
                 if len(hashes) >= lows[-3]:
                     lows = bands(num, den, 2 * len(hashes))
                 with np.errstate(over="ignore"):
-                    keys.append(sketch_keys(hashes, num, den, lows))
-                owners.append(np.full(len(keys[-1]), ids[i]))
-                held += len(keys[-1])
+                    own, more[i] = sketch_keys(hashes, num, den, lows)
+                keys.append(own.view(np.int64))
+                owners.append(np.full(len(own), ids[i]))
+                held += len(own)
                 if held >= BUCKET:
-                    yield packed(keys, owners)
+                    yield from so_far()
                     keys, owners, held = [], [], 0
             if held:
-                yield packed(keys, owners)
-            if len(ids):
-                yield table([(int(ids[0]) % buckets, b"", np.concatenate([ids, sizes]).tobytes())])
+                yield from so_far()
+            counts = np.ascontiguousarray(more).view(np.int64).ravel()
+            yield from _packed(_SETS, buckets, ids, [ids, sizes, counts], sketches)
 
     return run
 
 
-_LISTS = "key long, weight long, ids array<long>, sizes array<long>"
+def _shared(buckets: int):
+    """Keys that two classes or more have (key, id, how many have it) by id; sets pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in _by_bucket(batches):
+            if _SETS in found:
+                *columns, sketches = found[_SETS]
+                yield from _packed(_SETS, buckets, columns[0], columns, _cut(sketches, columns[1]))
+            if _KEYS not in found:
+                continue
+            keys, ids, _, _ = found[_KEYS]
+            order = np.lexsort((ids, keys))
+            keys, ids = keys[order], ids[order]
+            new = np.append(True, (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1]))
+            keys, ids = keys[new], ids[new]
+            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            run = np.diff(np.append(first, len(keys)))
+            times = np.repeat(run, run)
+            some = times > 1
+            yield from _packed(_KEYS, buckets, ids[some], [keys[some], ids[some], times[some]])
+
+    return run
+
 
+_SENT = "key long, part int, id long, n long, alone long, bits binary"
 
-def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words that two classes or more share, each with its members in order; equal lists once, with a weight.
 
-    Rows without keys pass as lists of weight 0 that carry ids and sizes. Input comes ordered by bucket.
+def _rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each key a class sends: (key, part of the key's list, id, set size, how many keys are its own, sketch).
+
+    Also a row for each class, without a key.
     """
-    items = pa.list_(pa.int64())
-    kind = pa.schema([("key", pa.int64()), ("weight", pa.int64()), ("ids", items), ("sizes", items)])
-
-    def rows(out: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), kind)], schema=kind)
-
-    def shared(parts: list) -> Iterator[pa.RecordBatch]:
-        if not parts:
-            return
-        keys, ids = (np.concatenate(c) for c in zip(*parts))
-        order = np.lexsort((ids, keys))
-        keys, ids = keys[order], ids[order]
-        new = np.append(True, (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1]))
-        keys, ids = keys[new], ids[new]
-        marks = np.append(np.flatnonzero(np.append(True, keys[1:] != keys[:-1])), len(keys))
-        several = np.flatnonzero(np.diff(marks) > 1)
-        found: dict[tuple, list] = {}
-        for s, e in zip(marks[several], marks[several + 1]):
-            key = int(keys[s].view(np.int64))
-            for at in range(s + 1, e, LIST):
-                pick = np.append(ids[s], ids[at : min(e, at + LIST)])
-                # The pieces of a long list belong together by their key; only whole lists may stand for each other.
-                name = (key if e - s > LIST else None, pick.tobytes())
-                found.setdefault(name, [key, 0, pick, None])[1] += 1
-        out = list(found.values())
-        for at in range(0, len(out), 1000):
-            yield rows(out[at : at + 1000])
-
-    at, held = None, []
-    for batch in batches:
-        for bucket, keys, ids in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            if bucket != at:
-                yield from shared(held)
-                at, held = bucket, []
-            values = np.frombuffer(ids, np.int64)
-            if keys:
-                held.append((np.frombuffer(keys, _U), values))
-            else:
-                yield rows([[None, 0, values[: len(values) // 2], values[len(values) // 2 :]]])
-    yield from shared(held)
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    names = ["key", "part", "id", "n", "alone", "bits"]
+    for found in _by_bucket(batches):
+        known, sizes, more, sketches = found[_SETS]
+        none = [pa.nulls(len(known), kind) for kind in kinds]
+        none[2:4] = pa.array(known), pa.array(sizes)
+        yield pa.RecordBatch.from_arrays(none, names)
+        if _KEYS not in found:
+            continue
+        sketches = _cut(sketches, sizes)
+        by = np.argsort(known, kind="stable")
+        known, sizes, more = known[by], sizes[by], more[by].view(np.int32).reshape(-1, 2)
+        keys, ids, times, _ = found[_KEYS]
+        band = keys & 1
+        order = np.lexsort((keys, times, band, ids))
+        keys, ids, band, times = keys[order], ids[order], band[order], times[order]
+        first = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (band[1:] != band[:-1])))
+        run = np.diff(np.append(first, len(keys)))
+        place = np.arange(len(keys)) - np.repeat(first, run)
+        own = np.searchsorted(known, ids[first])
+        beyond = more[own, band[first]].astype(np.int64)
+        sent = np.flatnonzero(place < np.repeat(np.where(beyond > 0, run, run + beyond), run))
+        group = np.repeat(np.arange(len(run)), run)[sent]
+        whose = own[group]
+        parts = (mix(ids[sent].view(_U)) % ((times[sent] - 1) // BLOCK + 1).astype(_U)).astype(np.int32)
+        alone = np.maximum(-beyond, 0)[group]
+        for at in range(0, len(sent), 20_000):
+            cut = slice(at, at + 20_000)
+            bits = [sketches[by[i]] for i in whose[cut]]
+            columns = [keys[sent][cut], parts[cut], ids[sent][cut], sizes[whose][cut], alone[cut], bits]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
+
+
+def _matrix(bits: list[bytes]) -> np.ndarray:
+    """Sketches as rows of 64-bit words, folded to the shortest: folding keeps a parity sketch one."""
+    width = min(map(len, bits), default=8) // 8
+    out = np.empty((len(bits), width), _U)
+    for i, b in enumerate(bits):
+        out[i] = np.bitwise_xor.reduce(np.frombuffer(b, _U).reshape(-1, width), axis=0)
+    return out
+
+
+def _close(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Which pairs of rows may link, by their sizes and sketches."""
+    ok = (np.minimum.outer(n_left, n_right) * den) >= (np.maximum.outer(n_left, n_right) * num)
+    apart = np.zeros(ok.shape, np.int64)
+    for w in range(left.shape[1]):
+        apart += np.bitwise_count(left[:, w, None] ^ right[None, :, w])
+    return ok & (apart <= np.add.outer(n_left, n_right) * (den - num) // (den + num))
+
+
+_PAIRS = "a long, b long, la long, lb long"
+
+
+def _candidates(num: int, den: int, how: str):
+    """Pairs (a, b) of classes in two blocks of one list, of different groups, that may link.
+
+    ``how``: "first": each class with the most central class that it may link with; "once": one pair for every two
+    groups; "all".
+    """
+    names = ["a", "b", "la", "lb"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                same = row["part"] == row["part2"]
+                sides = []
+                for x in ("members", "members2"):
+                    members = sorted(row[x], key=lambda m: (m["alone"], m["id"]))
+                    sides.append([np.array([m[k] for m in members], np.int64) for k in ("id", "label", "n")] + [[m["bits"] for m in members]])
+                both = _matrix(sides[0][3] + sides[1][3])
+                left, right = both[: len(sides[0][3])], both[len(sides[0][3]) :]
+                (ids, labels, sizes, _), (ids2, labels2, sizes2, _) = sides
+                met: set[tuple[int, int]] = set()
+                for at in range(0, len(ids), 512):
+                    cut = slice(at, at + 512)
+                    ok = _close(left[cut], right, sizes[cut], sizes2, num, den)
+                    ok &= labels[cut, None] != labels2[None, :]
+                    if same:
+                        ok &= np.arange(len(ids))[cut, None] > np.arange(len(ids2))[None, :]
+                    if how == "first":
+                        rows = np.flatnonzero(ok.any(1))
+                        i, j = rows + at, ok[rows].argmax(1)
+                    else:
+                        i, j = np.nonzero(ok)
+                        i = i + at
+                    if how == "once" and len(i):
+                        pairs = np.stack([np.minimum(labels[i], labels2[j]), np.maximum(labels[i], labels2[j])], 1)
+                        _, one = np.unique(pairs, axis=0, return_index=True)
+                        one = np.array([k for k in sorted(one) if (key := tuple(pairs[k])) not in met and not met.add(key)], np.int64)
+                        i, j = i[one], j[one]
+                    if len(i):
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (ids[i], ids2[j], labels[i], labels2[j])], names)
+
+    return run
 
 
 def _verify(num: int, den: int, size: int):
@@ -218,45 +367,46 @@ def link_groups(
     marks = stored(exact_dedup.mark(docs, text, doc_id), "marks")
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).where("id IS NOT NULL")
     classes = exact_dedup.dedup(rows, "text", "id")
-    # A word of text takes about six bytes, and a shingle 2.2 * (den - num) / num sketch words in its two bands.
+    # A word of text takes about six bytes; in its two bands a shingle has so many sketch words.
     volume = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(8, int(volume / 6 * 2.2 * (den - num) / num / BUCKET) + 1)
-    packed = classes.mapInArrow(_sketch(num, den, shingle, buckets), "bucket int, keys binary, ids binary")
+    each = 2 * max(1.1 * (den - num) / num, WORDS[0] / WORDS[1])
+    buckets = max(8, int(volume / 6 * each / BUCKET) + 1)
+    # Each step's rows are packed by bucket, and a task holds one bucket at a time.
+    packed = classes.mapInArrow(_sketch(num, den, shingle, buckets), _PACKED)
+    packed = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_shared(buckets), _PACKED)
     packed = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    lists = stored(packed.mapInArrow(_lists, _LISTS), "lists")
-    pairs = F.explode(F.arrays_zip("ids", "sizes")).alias("_s")
-    sizes = lists.where("weight = 0").select(pairs).select(F.col("_s.ids").alias("id"), F.col("_s.sizes").alias("n"))
-    sizes = sizes.groupBy("id").agg(F.max("n").alias("n"))
-    lists = lists.where("weight > 0")
-
-    needed = stored(lists.select(F.explode("ids").alias("id")).distinct(), "needed")
+    sent = stored(packed.mapInArrow(_rarest, _SENT), "sent-words")
+    sizes = sent.where("key IS NULL").groupBy("id").agg(F.max("n").alias("n"))
+    sent = sent.where("key IS NOT NULL")
+    member = F.struct("alone", "id", "n", "bits")
+    # Blocks have a bounded size; one that holds a single class matters only if its list has more.
+    blocks = sent.groupBy("key", "part").agg(F.collect_list(member).alias("members"))
+    several = blocks.groupBy("key").agg(F.sum(F.size("members")).alias("size")).where("size > 1").select("key")
+    blocks = stored(blocks.join(several, "key"), "blocks")
+
+    needed = stored(blocks.select(F.explode("members.id").alias("id")).distinct(), "needed")
     texts = bloom.semi_join(rows, needed, "id", needed.count())
     texts = stored(texts.dropDuplicates(["id", "text"]), "texts")
-    shared = lists.select(F.col("ids")[0].alias("b"), F.explode(F.slice("ids", 2, LIST)).alias("a"), "weight")
-    shared = shared.groupBy("a", "b").agg(F.sum("weight").alias("w"))
-    first = shared.groupBy("a").agg(F.max_by("b", F.struct("w", -F.col("b"))).alias("b"))
-    first = stored(first, "first-pairs")
-    joined = components(_linked(first, texts, num, den, shingle))
-    joined = joined.select(F.col("node").alias("id"), F.col("root").alias("label"))
-    labels = needed.join(joined, "id", "left").select("id", F.coalesce("label", "id").alias("label"))
-    labels = stored(labels.join(sizes, "id"), "labels")
-
-    members = lists.select("key", F.explode("ids").alias("id")).join(labels, "id")
-    parts = members.groupBy("key").agg(F.min("label").alias("_l"), F.max("label").alias("_h")).where("_l < _h")
-    members = stored(members.join(parts.select("key"), "key"), "mixed")
-    kinds = members.select("key", "label").distinct()
-    two = kinds.select("key", F.col("label").alias("la")).join(kinds.select("key", F.col("label").alias("lb")), "key")
-    side = lambda x: members.select(
-        "key", F.col("label").alias(f"l{x}"), F.col("id").alias(x), F.col("n").alias(f"n{x}")
-    )
-    cross = two.where("la < lb").join(side("a"), ["key", "la"]).join(side("b"), ["key", "lb"])
-    cross = cross.where(F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
-    cross = cross.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), "la", "lb").distinct()
-    cross = stored(cross.join(first, ["a", "b"], "left_anti"), "second-pairs")
-    linked = _linked(cross, texts, num, den, shingle).join(cross, ["a", "b"])
-    merged = components(linked.select(F.col("la").alias("a"), F.col("lb").alias("b")))
-    labels = labels.join(merged.withColumnRenamed("node", "label"), "label", "left")
-    labels = labels.select("id", F.coalesce("root", "label").alias("label"))
+    labels = needed.withColumn("label", F.col("id"))
+    tested = None
+    for how in ("first", "once", "all"):
+        pairs = _paired(blocks, labels, how != "first").mapInArrow(_candidates(num, den, how), _PAIRS)
+        if how == "first":
+            found = pairs.groupBy("a", "b", "la", "lb").count()
+            pairs = found.groupBy("a").agg(F.max_by(F.struct("b", "la", "lb"), F.struct("count", -F.col("b"))).alias("_best"))
+            pairs = pairs.select("a", "_best.*")
+        low, high = F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")
+        pairs = pairs.select(high, low, F.least("la", "lb").alias("la"), F.greatest("la", "lb").alias("lb")).distinct()
+        if how == "once":
+            pairs = pairs.groupBy("la", "lb").agg(F.min(F.struct("b", "a")).alias("_one")).select("la", "lb", "_one.*")
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = stored(pairs, f"pairs-{how}")
+        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
+        linked = _linked(pairs, texts, num, den, shingle).join(pairs, ["a", "b"])
+        merged = components(linked.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+        labels = labels.join(merged.withColumnRenamed("node", "label"), "label", "left")
+        labels = stored(labels.select("id", F.coalesce("root", "label").alias("label")), "labels")
 
     nodes = sizes.join(labels, "id", "left").select(
         F.col("id").alias("class_id"), F.col("n").alias("n_shingles"), F.coalesce("label", "id").alias("component_id")
@@ -268,6 +418,21 @@ def link_groups(
     )
 
 
+def _paired(blocks: DataFrame, labels: DataFrame, mixed: bool) -> DataFrame:
+    """Every two blocks of a list, a block with itself included, with the labels of their members.
+
+    With ``mixed`` only lists whose members are of two groups or more.
+    """
+    rows = blocks.select("key", "part", F.explode("members").alias("_m")).select("key", "part", "_m.*").join(labels, "id")
+    if mixed:
+        several = rows.groupBy("key").agg(F.min("label").alias("_l"), F.max("label").alias("_h")).where("_l < _h")
+        rows = rows.join(several.select("key"), "key")
+    member = F.struct("alone", "id", "n", "bits", "label")
+    whole = stored(rows.groupBy("key", "part").agg(F.collect_list(member).alias("members")), "labelled")
+    other = whole.select("key", F.col("part").alias("part2"), F.col("members").alias("members2"))
+    return whole.join(other, "key").where("part <= part2")
+
+
 def drop_near_copies(
     docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:

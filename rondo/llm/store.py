@@ -1,8 +1,10 @@
-"""Intermediate tables in the shared scratch folder."""
+"""Intermediate tables in the shared scratch folder, and the package's place for Python workers."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+
+from pyspark.sql import DataFrame, SparkSession
 
 from rondo.session import scratch_path
 
@@ -12,3 +14,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver found it, where it isn't installed for them."""
+    home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if home not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(x for x in (known, home) if x)
