@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rondo.llm import exact_dedup, ngram_join, toxicity
+from rondo.llm import exact_dedup, ngram_join, packing, toxicity
+from rondo.llm.store import share_code
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +27,7 @@ def _query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    share_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -53,3 +56,9 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity score."""
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query()
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in training sequences of 4096 tokens."""
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
