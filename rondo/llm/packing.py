@@ -15,7 +15,9 @@ columns are ignored. An empty table gives an empty result.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
+from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
 
@@ -23,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from rondo.llm.store import stored
 
@@ -30,6 +33,12 @@ END = 1
 #: Words whose tokens a task remembers before it starts afresh, and characters of a text it splits at once.
 WORDS, SEGMENT = 300_000, 1 << 20
 
+#: A word of letters before this one is one pre-token, and so is one of these after it.
+LATIN_END, STOPS = "\u0250", ",.;:!?"
+#: Byte-level vocabularies write a byte as a printable character: itself, or the next free one from 256 on.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+
 Pattern = tuple[int, tuple[tuple[int, int], ...]]  # sequences, then (length, pieces of it in each)
 
 
@@ -58,18 +67,31 @@ def _tokenise(path: str, capacity: int):
         tokenizer = Tokenizer.from_file(path)
         known: dict[str, bytes] = {"": b""}
 
+        def packed(ids: list[int]) -> bytes:
+            return np.array(ids, "<u4").tobytes()
+
+        def ids_of(word: str) -> bytes:
+            """The word's tokens; Latin words, with a stop after them or not, skip the tokenizer's slow outer layers."""
+            plain = (word if word.isascii() else unicodedata.normalize("NFC", word)).lower()
+            stem, stop = (plain[:-1], plain[-1]) if plain[-1] in STOPS else (plain, "")
+            if not stem.isalpha() or max(stem) >= LATIN_END:
+                return packed(tokenizer.encode(word, add_special_tokens=False).ids)
+            if stem not in known:
+                known[stem] = packed([t.id for t in tokenizer.model.tokenize(stem.encode().decode("latin-1").translate(BYTES))])
+            if stop and stop not in known:
+                known[stop] = packed(tokenizer.encode(stop, add_special_tokens=False).ids)
+            return known[stem] + known[stop]
+
         def encoded(text: str) -> Iterator[bytes]:
             # The tokenizer drops white space and never looks across it, so words can be encoded one by one.
             for part in _segments(text):
                 words = part.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-                new = [w for w in set(words) if w not in known]
-                if new:
-                    if len(known) + len(new) > WORDS:
-                        known.clear()
-                        known[""] = b""
-                        new = [w for w in set(words) if w]
-                    for word, got in zip(new, tokenizer.encode_batch(new, add_special_tokens=False)):
-                        known[word] = np.array(got.ids, "<u4").tobytes()
+                if len(known) > WORDS:
+                    known.clear()
+                    known[""] = b""
+                for word in set(words):
+                    if word not in known:
+                        known[word] = ids_of(word)
                 yield b"".join(map(known.__getitem__, words))
 
         for batch in batches:
@@ -87,35 +109,42 @@ def _tokenise(path: str, capacity: int):
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[Pattern]:
     """Best-fit decreasing, on counts: equal sequences are filled together."""
-    open_: dict[int, list[list]] = {}  # room -> [sequences, filling]
+    groups: list[list[list]] = [[] for _ in range(capacity + 1)]  # by room: [sequences, filling]
+    rooms: list[int] = []  # those with a group, in order
+
+    def put(room: int, sequences: int, filling: tuple) -> None:
+        if not groups[room]:
+            insort(rooms, room)
+        groups[room].append([sequences, filling])
+
     for length in sorted(counts, reverse=True):
         left, per_new = counts[length], capacity // length
         while left:
-            room = min((r for r in open_ if r >= length), default=None)
-            if room is None:
-                whole = left // per_new
+            at = bisect_left(rooms, length)
+            if at == len(rooms):
+                whole, rest = divmod(left, per_new)
                 if whole:
-                    open_.setdefault(capacity - per_new * length, []).append([whole, {length: per_new}])
-                if rest := left % per_new:
-                    open_.setdefault(capacity - rest * length, []).append([1, {length: rest}])
+                    put(capacity - per_new * length, whole, ((length, per_new),))
+                if rest:
+                    put(capacity - rest * length, 1, ((length, rest),))
                 break
-            groups = open_[room]
-            group = groups.pop()
-            if not groups:
-                del open_[room]
+            room = rooms[at]
+            sequences, filling = groups[room].pop()
+            if not groups[room]:
+                del rooms[at]
             each = room // length
-            whole = min(group[0], left // each)
-            if whole:
-                open_.setdefault(room - each * length, []).append([whole, {**group[1], length: each}])
+            whole = min(sequences, left // each)
             left -= whole * each
-            if whole < group[0]:
+            if whole:
+                put(room - each * length, whole, (*filling, (length, each)))
+            if whole < sequences:
                 some = min(left, each)
                 if some:
-                    open_.setdefault(room - some * length, []).append([1, {**group[1], length: some}])
+                    put(room - some * length, 1, (*filling, (length, some)))
                     left -= some
-                if same := group[0] - whole - bool(some):
-                    open_.setdefault(room, []).append([same, group[1]])
-    return [(n, tuple(sorted(filling.items(), reverse=True))) for groups in open_.values() for n, filling in groups]
+                if same := sequences - whole - bool(some):
+                    put(room, same, filling)
+    return [(n, filling) for own in groups for n, filling in own]
 
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
@@ -180,7 +209,10 @@ def fillings(largest: int, counts: dict[int, int], capacity: int, limit: int) ->
 
 
 def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 3000, steps: int = 400) -> list[Pattern]:
-    """The best packing found: best-fit decreasing, or better ones from branch and bound within ``nodes`` nodes."""
+    """The best packing found: best-fit decreasing, or better ones from branch and bound.
+
+    ``nodes`` bounds the search; a node counts once and again for every 100 lengths it has left.
+    """
     counts = {int(x): int(n) for x, n in counts.items() if n}
     best = best_fit(counts, capacity)
     least = lower_bound(counts, capacity)
@@ -189,8 +221,8 @@ def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 3000, ste
     # Depth first, each entry a state still to look at: what is left, the patterns so far, sequences and waste so far.
     stack = [(counts, [], 0, 0)] if fewest > least else []
     while stack and nodes > 0 and fewest > least:
-        nodes -= 1
         left, patterns, used, waste = stack.pop()
+        nodes -= 1 + len(left) // 100
         if waste > (fewest - 1) * capacity - total:
             continue
         if not left:
@@ -252,7 +284,7 @@ def _deal(places: tuple[np.ndarray, ...]):
 
 def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     """Add sequence_id and offset to a stored table of pieces that has doc_id, piece, ids_crc32 and length."""
-    schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
+    schema = StructType([*pieces.schema, StructField("sequence_id", LongType()), StructField("offset", LongType())])
     # At most ``capacity`` rows: the search needs nothing else.
     counts = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}
     if not counts:
