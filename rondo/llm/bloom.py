@@ -65,11 +65,15 @@ def _id_hash(name: str) -> Column:
     return F.xxhash64(F.lit(7), F.col(name))
 
 
+def thin(df: DataFrame, ids: DataFrame, name: str, count: int) -> DataFrame:
+    """Rows of ``df`` whose id may be in ``ids``, a column of that name; nothing is shuffled but the filter."""
+    words = words_for(count)
+    return probe(df, _id_hash(name), words, members(ids, _id_hash(name), words)).where("_maybe").drop("_maybe")
+
+
 def semi_join(df: DataFrame, ids: DataFrame, name: str, count: int) -> DataFrame:
     """Rows of ``df`` whose id is in ``ids``; only rows the filter lets through are shuffled."""
-    words = words_for(count)
-    probed = probe(df, _id_hash(name), words, members(ids, _id_hash(name), words))
-    return probed.where("_maybe").drop("_maybe").join(ids.select(name).distinct(), name, "left_semi")
+    return thin(df, ids, name, count).join(ids.select(name).distinct(), name, "left_semi")
 
 
 def anti_join(df: DataFrame, ids: DataFrame, name: str, count: int) -> DataFrame:

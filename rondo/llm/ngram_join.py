@@ -48,7 +48,7 @@ BUCKET = 1_000_000
 #: Members of one block of a candidate list, about.
 BLOCK = 4096
 #: Sketch words for each shingle of a band's largest set, as a fraction, or D + 1 and a tenth more if those are more.
-WORDS = 3, 10
+WORDS = 1, 5
 
 
 def bands(num: int, den: int, largest: int) -> list[int]:
@@ -332,28 +332,33 @@ def _verify(num: int, den: int, size: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_id, last = None, None
         for batch in batches:
-            out = []
-            lefts = shingle_sets(batch.column("a_text"), size)
-            for a, b, text, left in zip(batch.column("a"), batch.column("b"), batch.column("b_text"), lefts):
-                if b.as_py() != last_id:
-                    last_id, last = b.as_py(), next(shingle_sets(pa.array([text.as_py()]), size))
-                both = len(np.intersect1d(left, last, assume_unique=True))
-                if len(left) and den * both >= num * (len(left) + len(last) - both):
-                    out.append((a.as_py(), last_id))
+            a, b = (batch.column(c).to_numpy() for c in "ab")
+            _, first, of = np.unique(b, return_index=True, return_inverse=True)
+            order = np.argsort(of, kind="stable")
+            rights = shingle_sets(batch.column("b_text").take(pa.array(first)), size)
+            lefts = shingle_sets(batch.column("a_text").take(pa.array(order)), size)
+            at, right, out = -1, None, []
+            for i, left in zip(order, lefts):
+                if of[i] != at:
+                    at, right = of[i], next(rights)
+                both = len(np.intersect1d(left, right, assume_unique=True))
+                if len(left) and den * both >= num * (len(left) + len(right) - both):
+                    out.append(i)
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(a[out]), pa.array(b[out])], schema=schema)
 
     return run
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, num: int, den: int, size: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) that are links; the larger id's text moves to the smaller one's."""
+    """Those of the stored ``pairs`` (a, b) that are links; the text of a moves to that of b."""
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("a_text"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("b_text"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b")
-    return both.select("a", "b", "a_text", "b_text").mapInArrow(_verify(num, den, size), "a long, b long")
+    count = pairs.count()
+    both = pairs.select("a", "b").join(bloom.thin(left, pairs, "a", count), "a")
+    both = both.join(bloom.thin(right, pairs, "b", count), "b").select("a", "b", "a_text", "b_text")
+    return both.mapInArrow(_verify(num, den, size), "a long, b long")
 
 
 def link_groups(
@@ -386,11 +391,11 @@ def link_groups(
 
     needed = stored(blocks.select(F.explode("members.id").alias("id")).distinct(), "needed")
     texts = bloom.semi_join(rows, needed, "id", needed.count())
-    texts = stored(texts.dropDuplicates(["id", "text"]), "texts")
+    texts = stored(texts.dropDuplicates(["id"]), "texts")
     labels = needed.withColumn("label", F.col("id"))
     tested = None
     for how in ("first", "once", "all"):
-        pairs = _paired(blocks, labels, how != "first").mapInArrow(_candidates(num, den, how), _PAIRS)
+        pairs = _paired(blocks, None if how == "first" else labels).mapInArrow(_candidates(num, den, how), _PAIRS)
         if how == "first":
             found = pairs.groupBy("a", "b", "la", "lb").count()
             pairs = found.groupBy("a").agg(F.max_by(F.struct("b", "la", "lb"), F.struct("count", -F.col("b"))).alias("_best"))
@@ -418,17 +423,21 @@ def link_groups(
     )
 
 
-def _paired(blocks: DataFrame, labels: DataFrame, mixed: bool) -> DataFrame:
+def _paired(blocks: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Every two blocks of a list, a block with itself included, with the labels of their members.
 
-    With ``mixed`` only lists whose members are of two groups or more.
+    Without ``labels`` every class is its own group; with them only lists that members of two groups share are left.
     """
-    rows = blocks.select("key", "part", F.explode("members").alias("_m")).select("key", "part", "_m.*").join(labels, "id")
-    if mixed:
-        several = rows.groupBy("key").agg(F.min("label").alias("_l"), F.max("label").alias("_h")).where("_l < _h")
-        rows = rows.join(several.select("key"), "key")
-    member = F.struct("alone", "id", "n", "bits", "label")
-    whole = stored(rows.groupBy("key", "part").agg(F.collect_list(member).alias("members")), "labelled")
+    if labels is None:
+        label = F.transform("members", lambda m: m.withField("label", m["id"]))
+        whole = blocks.withColumn("members", label)
+    else:
+        ids = blocks.select("key", F.explode("members.id").alias("id")).join(labels, "id")
+        several = ids.groupBy("key").agg(F.min("label").alias("_l"), F.max("label").alias("_h")).where("_l < _h")
+        rows = blocks.join(several.select("key"), "key").select("key", "part", F.explode("members").alias("_m"))
+        rows = rows.select("key", "part", "_m.*").join(labels, "id")
+        member = F.struct("alone", "id", "n", "bits", "label")
+        whole = stored(rows.groupBy("key", "part").agg(F.collect_list(member).alias("members")), "labelled")
     other = whole.select("key", F.col("part").alias("part2"), F.col("members").alias("members2"))
     return whole.join(other, "key").where("part <= part2")
 
