@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rondo.llm import exact_dedup, ngram_join, packing, toxicity
+from rondo.llm import exact_dedup, ngram_join, packing, sharding, toxicity, url_filter
 from rondo.llm.store import share_code
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,3 +62,40 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in training sequences of 4096 tokens."""
     return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_query()
+def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard and place among 24 shards of near equal bytes."""
+    return sharding.shard(_table(spark, sf_dir, "documents"), 24)
+
+
+def _url_sql() -> str:
+    bounded = lambda term: f"regexp_matches(u, '(^|[^a-z0-9]){term}([^a-z0-9]|$)')"
+    strict = " + ".join(f"CAST({bounded(t)} AS INTEGER)" for t in url_filter.STRICT)
+    soft = " + ".join(f"{w} * CAST({bounded(t)} AS INTEGER)" for t, w in url_filter.SOFT.items())
+    rules = sorted(url_filter.RULES, key=lambda r: -len(r[0] + r[1]))
+    fits = [(f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')", h + p, v) for h, p, v in rules]
+    return f"""
+WITH parts AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest,
+         CASE WHEN strpos(url, '://') > 0 THEN lower(url) ELSE '' END AS u
+  FROM pages),
+split AS (
+  SELECT page_id, u,
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM parts),
+hits AS (
+  SELECT page_id, host, path, CAST({strict} AS INTEGER) AS strict_hits, CAST({soft} AS INTEGER) AS soft_weight FROM split)
+SELECT page_id, host, path, CASE {" ".join(f"WHEN {c} THEN '{r}'" for c, r, _ in fits)} END AS rule,
+       CASE {" ".join(f"WHEN {c} THEN '{v}'" for c, _, v in fits)}
+            WHEN strict_hits > 0 OR soft_weight >= 2 THEN 'block' ELSE 'allow' END AS verdict,
+       strict_hits, soft_weight
+FROM hits"""
+
+
+@_query(_url_sql())
+def op8_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page judged by its URL."""
+    return url_filter.judge(_table(spark, sf_dir, "pages"))
