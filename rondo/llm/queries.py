@@ -6,8 +6,19 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from rondo.llm import exact_dedup, ngram_join, packing, sharding, toxicity, url_filter
+from pyspark.sql import functions as F
+
+from rondo.llm import (
+    exact_dedup,
+    ngram_join,
+    packing,
+    quality,
+    sharding,
+    token_counts,
+    topk_search,
+    toxicity,
+    url_filter,
+)
 from rondo.llm.store import share_code
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,3 +110,37 @@ FROM hits"""
 def op8_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page judged by its URL."""
     return url_filter.judge(_table(spark, sf_dir, "pages"))
+
+
+@_query()
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's number of tokens under a unigram vocabulary."""
+    pieces = token_counts.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), pieces)
+
+
+@_query()
+def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's expected grade: 0 poor, 1 sound but toxic, 2 sound."""
+    labels = _table(spark, sf_dir, "labels")
+    grade = F.when(F.col("quality") == 1, F.when(F.col("toxic") == 1, 1).otherwise(2)).when(F.col("quality") == 0, 0)
+    return quality.grade_documents(_table(spark, sf_dir, "documents"), labels.withColumn("grade", grade), least=1)
+
+
+@_query(
+    """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+)
+def op1_threshold_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector with all others."""
+    return topk_search.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
