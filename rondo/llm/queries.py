@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rondo.llm import (
     exact_dedup,
+    mixing,
     ngram_join,
     packing,
     quality,
@@ -144,3 +145,9 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 def op1_threshold_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best inner products of every fiftieth vector with all others."""
     return topk_search.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@_query()
+def op5_raked_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's cell, its probability under the target weights, and whether it is drawn."""
+    return mixing.plan(_table(spark, sf_dir, "documents"), mixing.TARGETS, mixing.columns_of(), keep=0.5)
