@@ -15,9 +15,9 @@ Candidates are then compared by a second parity sketch, in which every shingle f
 set has members: its Hamming distance, too, bounds the symmetric difference from below, and leaves few wrong pairs.
 Only those are verified on the texts.
 
-No group is ever expanded into its pairs. Equal texts are one class from the start. In a first round each class is
-verified against one partner at most, in a second round each two groups that share a word against each other once; that
-joins nearly all of what belongs together. In the last round all pairs that share a word and pass the sketches, but lie in
+No group is ever expanded into its pairs. Equal texts are one class from the start. In the first rounds each group, at
+first a class, is verified against one other group by one pair; groups at least halve in number each time, and nearly all
+of what belongs together is joined. In the last round all pairs that share a word and pass the sketches, but lie in
 different groups, are verified, so no link between groups is missed. Lists of classes that share a word are cut into
 blocks, and blocks are compared in tasks of their own. Memory is bounded by one shuffle bucket, whose number follows the
 data, and two blocks.
@@ -45,6 +45,8 @@ from rondo.llm.words import mix, shingle_sets
 _U = np.uint64
 #: Sketch words in one shuffle bucket, about; 16 bytes each.
 BUCKET = 1_000_000
+#: Rounds that verify one pair for each group, before all pairs left are verified.
+ROUNDS = 3
 #: Members of one block of a candidate list, about.
 BLOCK = 4096
 #: Sketch words for each shingle of a band's largest set, as a fraction, or D + 1 and a tenth more if those are more.
@@ -287,8 +289,7 @@ _PAIRS = "a long, b long, la long, lb long"
 def _candidates(num: int, den: int, how: str):
     """Pairs (a, b) of classes in two blocks of one list, of different groups, that may link.
 
-    ``how``: "first": each class with the most central class that it may link with; "once": one pair for every two
-    groups; "all".
+    ``how``: "each": one pair for each group that isn't the most central; "all".
     """
     names = ["a", "b", "la", "lb"]
 
@@ -303,24 +304,20 @@ def _candidates(num: int, den: int, how: str):
                 both = _matrix(sides[0][3] + sides[1][3])
                 left, right = both[: len(sides[0][3])], both[len(sides[0][3]) :]
                 (ids, labels, sizes, _), (ids2, labels2, sizes2, _) = sides
-                met: set[tuple[int, int]] = set()
+                met: set[int] = set()
                 for at in range(0, len(ids), 512):
                     cut = slice(at, at + 512)
                     ok = _close(left[cut], right, sizes[cut], sizes2, num, den)
                     ok &= labels[cut, None] != labels2[None, :]
                     if same:
                         ok &= np.arange(len(ids))[cut, None] > np.arange(len(ids2))[None, :]
-                    if how == "first":
-                        rows = np.flatnonzero(ok.any(1))
-                        i, j = rows + at, ok[rows].argmax(1)
-                    else:
+                    if how == "all":
                         i, j = np.nonzero(ok)
                         i = i + at
-                    if how == "once" and len(i):
-                        pairs = np.stack([np.minimum(labels[i], labels2[j]), np.maximum(labels[i], labels2[j])], 1)
-                        _, one = np.unique(pairs, axis=0, return_index=True)
-                        one = np.array([k for k in sorted(one) if (key := tuple(pairs[k])) not in met and not met.add(key)], np.int64)
-                        i, j = i[one], j[one]
+                    else:
+                        rows = np.flatnonzero(ok.any(1))
+                        rows = np.array([r for r in rows if (x := int(labels[r + at])) not in met and not met.add(x)], np.int64)
+                        i, j = rows + at, ok[rows].argmax(1)
                     if len(i):
                         yield pa.RecordBatch.from_arrays([pa.array(c) for c in (ids[i], ids2[j], labels[i], labels2[j])], names)
 
@@ -394,16 +391,15 @@ def link_groups(
     texts = stored(texts.dropDuplicates(["id"]), "texts")
     labels = needed.withColumn("label", F.col("id"))
     tested = None
-    for how in ("first", "once", "all"):
-        pairs = _paired(blocks, None if how == "first" else labels).mapInArrow(_candidates(num, den, how), _PAIRS)
-        if how == "first":
+    for how in [*["each"] * ROUNDS, "all"]:
+        pairs = _paired(blocks, None if tested is None else labels).mapInArrow(_candidates(num, den, how), _PAIRS)
+        if how == "each":
+            # A group's pair that most of its words speak for.
             found = pairs.groupBy("a", "b", "la", "lb").count()
-            pairs = found.groupBy("a").agg(F.max_by(F.struct("b", "la", "lb"), F.struct("count", -F.col("b"))).alias("_best"))
-            pairs = pairs.select("a", "_best.*")
+            best = F.max_by(F.struct("a", "b", "lb"), F.struct("count", -F.col("b"), -F.col("a"))).alias("_best")
+            pairs = found.groupBy("la").agg(best).select("la", "_best.*")
         low, high = F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")
         pairs = pairs.select(high, low, F.least("la", "lb").alias("la"), F.greatest("la", "lb").alias("lb")).distinct()
-        if how == "once":
-            pairs = pairs.groupBy("la", "lb").agg(F.min(F.struct("b", "a")).alias("_one")).select("la", "lb", "_one.*")
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, f"pairs-{how}")
