@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 import unicodedata
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
@@ -31,10 +32,10 @@ from rondo.llm.store import stored
 
 END = 1
 #: Words whose tokens a task remembers before it starts afresh, and characters of a text it splits at once.
-WORDS, SEGMENT = 300_000, 1 << 20
+WORDS, SEGMENT = 600_000, 1 << 20
 
-#: A word of letters before this one is one pre-token, and so is one of these after it.
-LATIN_END, STOPS = "\u0250", ",.;:!?"
+#: Letters before this one alone are one pre-token, and so are any number of these signs after them.
+LATIN_END, SIGNS = "\u0250", "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Byte-level vocabularies write a byte as a printable character: itself, or the next free one from 256 on.
 _PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
 BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
@@ -55,43 +56,52 @@ def _segments(text: str) -> Iterator[str]:
     yield text[at:]
 
 
-def _tokenise(path: str, capacity: int):
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
-    )
+class Tokens(dict):
+    """The token ids of words as packed bytes, each word encoded when it is first asked for."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        known: dict[str, bytes] = {"": b""}
+        self.tokenizer = Tokenizer.from_file(path)
+
+    def __missing__(self, word: str) -> bytes:
+        """Latin words, with signs after them or not, skip the tokenizer's slow outer layers."""
+        plain = (word if word.isascii() else unicodedata.normalize("NFC", word)).lower()
+        stem = plain.rstrip(SIGNS)
+        if stem.isalpha() and (stem.isascii() or max(stem) < LATIN_END):
+            if stem == word:
+                letters = stem if stem.isascii() else stem.encode().decode("latin-1").translate(BYTES)
+                ids = array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+            else:
+                ids = self[stem] + self[plain[len(stem) :]]
+        else:
+            ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        self[word] = ids
+        return ids
+
+
+#: One per tokenizer and Python worker, which keeps it from task to task.
+_tokens: dict[str, Tokens] = {}
 
-        def packed(ids: list[int]) -> bytes:
-            return np.array(ids, "<u4").tobytes()
 
-        def ids_of(word: str) -> bytes:
-            """The word's tokens; Latin words, with a stop after them or not, skip the tokenizer's slow outer layers."""
-            plain = (word if word.isascii() else unicodedata.normalize("NFC", word)).lower()
-            stem, stop = (plain[:-1], plain[-1]) if plain[-1] in STOPS else (plain, "")
-            if not stem.isalpha() or max(stem) >= LATIN_END:
-                return packed(tokenizer.encode(word, add_special_tokens=False).ids)
-            if stem not in known:
-                known[stem] = packed([t.id for t in tokenizer.model.tokenize(stem.encode().decode("latin-1").translate(BYTES))])
-            if stop and stop not in known:
-                known[stop] = packed(tokenizer.encode(stop, add_special_tokens=False).ids)
-            return known[stem] + known[stop]
+def _tokenise(path: str, capacity: int):
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if path not in _tokens:
+            _tokens[path] = Tokens(path)
+        known = _tokens[path]
 
         def encoded(text: str) -> Iterator[bytes]:
             # The tokenizer drops white space and never looks across it, so words can be encoded one by one.
             for part in _segments(text):
-                words = part.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
                 if len(known) > WORDS:
                     known.clear()
-                    known[""] = b""
-                for word in set(words):
-                    if word not in known:
-                        known[word] = ids_of(word)
+                words = part.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
                 yield b"".join(map(known.__getitem__, words))
 
         for batch in batches:
