@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +29,11 @@ def truncate_text(
     return df.withColumns({c: F.substring(F.col(c), 1, width) for c in names})
 
 
+def count_cut(df: DataFrame, widths: Mapping[str, int]) -> DataFrame:
+    """One row: per column, how many values are longer than its width."""
+    return df.agg(*[F.count_if(F.length(F.col(c)) > w).alias(f"{c}_cut") for c, w in widths.items()])
+
+
 def to_int(name: str) -> Column:
     """Text to int; text that is no whole number gives null instead of an error."""
     return F.expr(f"try_cast(`{name}` AS INT)")

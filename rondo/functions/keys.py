@@ -20,5 +20,13 @@ def session_second_key(session: Column, start_time: Column) -> Column:
 
 
 def natural_key(*parts: Column) -> Column:
-    r"""md5 of the parts joined by ``|``, with ``\N`` for null so that nulls keep their place."""
-    return F.md5(F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("\\N")) for p in parts]))
+    r"""md5 of the parts joined by ``|``, with ``\N`` for null so that nulls keep their place.
+
+    A backslash or bar inside a part gets a backslash in front, so different parts never join to one text.
+    """
+
+    def escaped(part: Column) -> Column:
+        text = F.replace(part.cast("string"), F.lit("\\"), F.lit("\\\\"))
+        return F.replace(text, F.lit("|"), F.lit("\\|"))
+
+    return F.md5(F.concat_ws("|", *[F.coalesce(escaped(p), F.lit("\\N")) for p in parts]))

@@ -1,11 +1,11 @@
 """Equi-joins that survive hot keys on either side.
 
-When the planner's own size estimate puts the right side under the broadcast threshold, a plain join is
-returned and the left side is never shuffled. Otherwise keys holding more than ``SHARE`` of a side's rows are
-found first (a count with map-side combine over the key columns only) and only those keys are salted: their
-rows are spread over ``n`` slices on the side where they are hot, and copied once per slice on the other side.
-At most ``1 / SHARE`` keys can pass that test, so the list of hot keys has a fixed bound and is safe to
-broadcast whatever the size of the data. No row is dropped, so the result is exactly the plain join's.
+By default a join is left to the planner, which broadcasts a small right side and, with adaptive execution, splits
+the tasks of a hot key. ``salt`` asks for more: keys with more rows than one task should take are found by a count
+with map-side combine over the key columns only, and just those keys are salted. Their rows are spread over
+slices on the side where they are hot, and copied once per slice on the other side. The list of hot keys has at most
+``MOST`` entries per side, so it is safe to broadcast, and it is looked up by the keys themselves. No row is
+dropped, so the result is exactly the plain join's.
 """
 
 from __future__ import annotations
@@ -16,33 +16,24 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SHARE = 1.0 / 256
+#: Rows of one key that one task takes, and the most keys a list of hot ones holds.
+ROWS_PER_TASK = 1_000_000
+MOST = 20_000
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the planner's estimate of ``df`` is under the session's broadcast threshold."""
-    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(estimate)) <= threshold
+def hot_keys(df: DataFrame, keys: Sequence[str], rows: float = ROWS_PER_TASK, nulls: bool = False) -> DataFrame:
+    """Keys with more than ``rows`` rows, and how many slices bring each slice under that.
 
-
-def key_hash(df: DataFrame, keys: Sequence[str]) -> Column:
-    """64-bit hash of the keys; equal keys hash equally, so negative zero is made plain zero first."""
-    floats = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
-    return F.xxhash64(*[F.col(k) + F.lit(0.0) if k in floats else F.col(k) for k in keys])
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = SHARE, nulls: bool = False) -> DataFrame:
-    """Hashes of keys with more than ``share`` of the rows, and how many slices bring each slice under it.
-
-    Two keys with one hash are counted together, which at worst slices a key that is not hot. Keys holding a
-    null count only with ``nulls``.
+    The limit is raised where more than ``MOST`` keys could pass it. Keys holding a null count only with ``nulls``.
+    A ``rows`` below one is a share of all rows.
     """
-    rows = df.select(*keys) if nulls else df.select(*keys).na.drop(how="any")
-    counts = rows.select(key_hash(df, keys).alias("_hot")).groupBy("_hot").agg(F.count(F.lit(1)).alias("_n"))
+    picked = df.select(*keys) if nulls else df.select(*keys).na.drop(how="any")
+    counts = picked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     # The total is summed from the same counts, so their shuffle is made once and reused.
-    limit = counts.agg(F.greatest(F.sum("_n") * F.lit(share), F.lit(1.0)).alias("limit")).scalar()
-    return counts.select("_hot", F.ceil(F.col("_n") / limit).cast("int").alias("_slices")).filter("_slices > 1")
+    total = F.sum("_n")
+    asked = total * F.lit(float(rows)) if rows < 1 else F.lit(float(rows))
+    limit = counts.agg(F.greatest(asked, total / MOST, F.lit(1.0)).alias("limit")).scalar()
+    return counts.select(*keys, F.ceil(F.col("_n") / limit).cast("int").alias("_slices")).filter("_slices > 1")
 
 
 def skew_join(
@@ -50,32 +41,28 @@ def skew_join(
     right: DataFrame,
     on: Sequence[tuple[str, str]],
     how: str = "inner",
-    share: float = SHARE,
-    force_salting: bool = False,
-    bound: DataFrame | None = None,
+    salt: bool = False,
+    rows: float = ROWS_PER_TASK,
     right_unique: bool = False,
-    seen: DataFrame | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Inner or left equi-join on ``(left column, right column)`` pairs; both sides' columns are kept.
 
-    Column names of the two sides must differ and paired keys must have one type. Select the needed columns
-    first: hot rows are spread by a hash of the whole row, which would keep unused columns alive. ``bound`` names a frame that
-    ``right`` can never outgrow, row for row; it stands in for the size check where the planner multiplies up
-    the estimate of a derived ``right``. ``right_unique`` says that no key repeats on the right, which then
-    needs no search for hot keys. ``seen`` is a frame to count the left keys in, where one costs less than
-    ``left`` itself; it only guides the slicing.
+    Column names of the two sides must differ and paired keys must have one type. With ``salt``, select the needed
+    columns first: hot rows are spread by a hash of the whole row, which would keep unused columns alive.
+    ``right_unique`` says that no key repeats on the right, which then needs no search for hot keys. ``hot`` is a list
+    from ``hot_keys`` under the left column names, where one was made already for the left side or a frame it comes from.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     if any(left.schema[a].dataType != right.schema[b].dataType for a, b in on):
         raise ValueError(f"paired keys differ in type: {list(on)}")
     match = [F.col(a) == F.col(b) for a, b in on]
-    if not force_salting:
-        if fits_broadcast(right):
-            return left.join(right, match, how)
-        if bound is not None and fits_broadcast(bound):
-            return left.join(F.broadcast(right), match, how)
-    return _salted_join(left, right, on, match, how, share, right_unique, left if seen is None else seen)
+    if not salt and hot is None:
+        return left.join(right, match, how)
+    lkeys, rkeys = [a for a, _ in on], [b for _, b in on]
+    hot_left = hot_keys(left, lkeys, rows) if hot is None else hot
+    return _salted_join(left, right, on, match, how, hot_left, None if right_unique else hot_keys(right, rkeys, rows))
 
 
 def _salted_join(
@@ -84,55 +71,52 @@ def _salted_join(
     on: Sequence[tuple[str, str]],
     match: list[Column],
     how: str,
-    share: float,
-    right_unique: bool,
-    seen: DataFrame,
+    hot_left: DataFrame,
+    hot_right: DataFrame | None,
 ) -> DataFrame:
     lkeys, rkeys = [a for a, _ in on], [b for _, b in on]
+    names = [f"_k{i}" for i in range(len(on))]
+
+    def renamed(hot: DataFrame, keys: Sequence[str], cuts: str) -> DataFrame:
+        return hot.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col("_slices").alias(cuts))
 
     # One short list: into how many slices a key is cut on either side.
-    hot = hot_keys(seen, lkeys, share).withColumnRenamed("_slices", "_cut_left")
-    if not right_unique:
-        hot_right = hot_keys(right, rkeys, share).withColumnRenamed("_slices", "_cut_right")
-        both = hot.unionByName(hot_right, allowMissingColumns=True)
-        hot = both.groupBy("_hot").agg(
-            F.max("_cut_left").alias("_cut_left"), F.max("_cut_right").alias("_cut_right")
-        )
+    cut = renamed(hot_left, lkeys, "_cut_left")
+    if hot_right is None:
+        cut = cut.withColumn("_cut_right", F.lit(1))
+    else:
+        both = cut.unionByName(renamed(hot_right, rkeys, "_cut_right"), allowMissingColumns=True)
+        cut = both.groupBy(*names).agg(F.max("_cut_left").alias("_cut_left"), F.max("_cut_right").alias("_cut_right"))
 
     def with_cuts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-        marked = df.withColumn("_key", key_hash(df, keys))
-        return marked.join(F.broadcast(hot), F.col("_key") == F.col("_hot"), "left").drop("_hot")
+        same = [F.col(k) == F.col(n) for k, n in zip(keys, names)]
+        return df.join(F.broadcast(cut), same, "left").drop(*names)
+
+    zero = F.lit(0).cast("long")
 
     def one_slice(cuts: str, columns: Sequence[str]) -> Column:
-        spread = F.pmod(F.xxhash64(*columns), F.col(cuts).cast("long"))
-        return F.when(F.col(cuts) > 1, spread).otherwise(F.lit(0).cast("long"))
+        return F.when(F.col(cuts) > 1, F.pmod(F.xxhash64(*columns), F.col(cuts).cast("long"))).otherwise(zero)
 
     def all_slices(cuts: str) -> Column:
-        several = F.sequence(F.lit(0).cast("long"), F.col(cuts).cast("long") - 1)
-        return F.explode(F.when(F.col(cuts) > 1, several).otherwise(F.array(F.lit(0).cast("long"))))
-
-    def salted(left_slice: str, right_slice: str) -> Column:
-        # Exclusive-or keeps the slices of one key apart; different keys are told apart by the match itself.
-        slot = F.col(left_slice) * F.lit(1 << 32) + F.col(right_slice)
-        return F.col("_key").bitwiseXOR(slot)
+        several = F.sequence(zero, F.col(cuts).cast("long") - 1)
+        return F.explode(F.when(F.col(cuts) > 1, several).otherwise(F.array(zero)))
 
+    slot = F.col("_ls") * F.lit(1 << 32) + F.col("_rs")
     # Null keys never match; in a left join they are spread by row content instead of meeting in one task.
     no_key = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in lkeys])
-    zero = F.lit(0).cast("long")
     rows = with_cuts(left, lkeys).withColumn("_ls", one_slice("_cut_left", left.columns))
-    rows = rows.withColumn("_rs", zero if right_unique else all_slices("_cut_right"))
-    lsalt = F.when(no_key, F.xxhash64(*left.columns)).otherwise(salted("_ls", "_rs"))
-    several = F.lit(False) if right_unique else F.coalesce(F.col("_cut_right") > 1, F.lit(False))
+    rows = rows.withColumn("_rs", all_slices("_cut_right"))
+    lsalt = F.when(no_key, F.xxhash64(*left.columns)).otherwise(slot)
+    several = F.coalesce(F.col("_cut_right") > 1, F.lit(False))
     rows = rows.select(*left.columns, lsalt.alias("_lsalt"), several.alias("_several"))
 
     others = with_cuts(right.na.drop(how="any", subset=rkeys), rkeys)
-    others = others.withColumn("_rs", zero if right_unique else one_slice("_cut_right", right.columns))
-    others = others.withColumn("_ls", all_slices("_cut_left"))
-    others = others.select(*right.columns, salted("_ls", "_rs").alias("_rsalt"))
+    others = others.withColumn("_rs", one_slice("_cut_right", right.columns)).withColumn("_ls", all_slices("_cut_left"))
+    others = others.select(*right.columns, slot.alias("_rsalt"))
 
-    # The salt goes first: a sort by it settles nearly every comparison on one number.
+    # The salt goes first: a sort by it settles many comparisons on one number.
     joined = rows.join(others, [F.col("_lsalt") == F.col("_rsalt"), *match], how)
-    if how == "left" and not right_unique:
-        # A key cut on the right side certainly has a match in some slice; its empty slices are not results.
+    if how == "left" and hot_right is not None:
+        # A key cut on the right side has a match in some slice; its empty slices are not results.
         joined = joined.filter(F.col("_rsalt").isNotNull() | ~F.col("_several"))
     return joined.select(*left.columns, *right.columns)

@@ -1,9 +1,8 @@
 """Row numbers that do not need one task to see a whole group.
 
-``number_within`` uses a plain window on a table small enough to broadcast, which one task could hold whole.
-Beyond that size it cuts hot groups, and only those, into time slots: rows are numbered inside a slot, and the
-counts of the earlier slots, made with map-side combine, are added. A group's window therefore runs over its
-slots, whose number is bounded by the calendar, while its rows stay spread over as many tasks as it has slots.
+``number_within`` cuts groups into slots of time: rows are numbered inside a slot, and the counts of the
+earlier slots, made with map-side combine, are added. A window over a group therefore runs over its slots, whose number
+is bounded by the calendar, while a hot group's rows stay spread over as many tasks as it has slots.
 
 ``identity_ids`` numbers a whole table: one range shuffle, one write to the shared scratch folder so that the
 placement of rows is fixed even when executors are lost, and one offset per partition.
@@ -16,43 +15,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rondo.operators.joins import fits_broadcast, hot_keys, key_hash
 from rondo.session import scratch_path
 
 
-def number_within(
-    df: DataFrame,
-    group: Sequence[str],
-    slot: Column,
-    order: Sequence[str],
-    name: str,
-    hot_on: Sequence[str] | None = None,
-) -> DataFrame:
+def number_within(df: DataFrame, group: Sequence[str], slot: Column, order: Sequence[str], name: str) -> DataFrame:
     """Zero-based number of each row in its group by ``order``.
 
     ``slot`` is a whole number that must rise with ``order``; neither it nor the group columns may be null.
-    ``hot_on`` names the group columns whose frequency shows a hot group, where some of them are enough.
     """
-    if fits_broadcast(df):
-        plain = Window.partitionBy(*group).orderBy(*order)
-        return df.withColumn(name, (F.row_number().over(plain) - 1).cast("long"))
-    keys = list(hot_on or group)
-    marked = df.withColumn("_group", key_hash(df, keys))
-    marked = marked.join(F.broadcast(hot_keys(df, keys)), F.col("_group") == F.col("_hot"), "left")
-    marked = marked.withColumn("_slot", F.when(F.col("_hot").isNotNull(), slot)).drop("_hot", "_slices")
-
-    counts = marked.filter("_slot IS NOT NULL").groupBy(*group, "_slot").agg(F.count(F.lit(1)).alias("_n"))
+    marked = df.withColumn("_slot", slot)
+    counts = marked.groupBy(*group, "_slot").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*group).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *[F.col(g).alias(f"_g_{g}") for g in group],
-        F.col("_slot").alias("_g_slot"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-    )
+    offsets = counts.select(*group, "_slot", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     inside = Window.partitionBy(*group, "_slot").orderBy(*order)
     numbered = marked.withColumn("_pos", F.row_number().over(inside) - 1)
-    match = [F.col(g) == F.col(f"_g_{g}") for g in group]
-    joined = numbered.join(offsets, [*match, F.col("_slot") == F.col("_g_slot")], "left")
-    return joined.select(*df.columns, (F.coalesce(F.col("_before"), F.lit(0)) + F.col("_pos")).alias(name))
+    joined = numbered.join(offsets, [*group, "_slot"])
+    return joined.select(*df.columns, (F.col("_before") + F.col("_pos")).alias(name))
 
 
 def identity_ids(df: DataFrame, order: Sequence[str], name: str, start: int = 0) -> DataFrame:

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rondo.session import scratch_path
+
 
 
 def check_not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
@@ -61,3 +63,16 @@ def require_non_empty(tables: Mapping[str, DataFrame]) -> DataFrame:
     require(report, ~F.col("passed"), "empty table")
     return report
 
+
+
+def unique_ids(df: DataFrame, name: str) -> DataFrame:
+    """The rows without their id, and whether the id is given and no other row has it.
+
+    The rows are stored first: an id that changes with every evaluation is looked at once.
+    """
+    path = scratch_path(df.sparkSession, "numbered")
+    df.write.parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    counts = stored.groupBy(name).agg(F.count(F.lit(1)).alias("_n"))
+    checked = stored.join(counts, name, "left").withColumn("id_unique", F.coalesce(F.col("_n") == 1, F.lit(False)))
+    return checked.drop(name, "_n")

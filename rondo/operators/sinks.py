@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rondo.operators.joins import hot_keys, key_hash
+from rondo.operators.joins import hot_keys
 
 
 def write_partitioned(
@@ -23,11 +23,12 @@ def write_partitioned(
     if tasks is None:
         placed = df.hint("rebalance", *by)
     else:
-        marked = df.withColumn("_folder", key_hash(df, by))
-        hot = F.broadcast(hot_keys(df, by, share=1.0 / tasks, nulls=True))
-        marked = marked.join(hot, F.col("_folder") == F.col("_hot"), "left")
+        hot = hot_keys(df, by, 1.0 / max(2, tasks), nulls=True)
+        hot = hot.select(*[F.col(c).alias(f"_hot_{c}") for c in by], "_slices")
+        same = [F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in by]
+        marked = df.join(F.broadcast(hot), same, "left")
         slot = F.when(F.col("_slices") > 1, F.pmod(F.xxhash64(*df.columns), F.col("_slices").cast("long")))
-        placed = marked.repartition(tasks, "_folder", F.coalesce(slot, F.lit(0))).select(*df.columns)
+        placed = marked.repartition(tasks, *by, F.coalesce(slot, F.lit(0))).select(*df.columns)
     placed.write.mode(mode).partitionBy(*by).parquet(path)
 
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rondo.operators.layout import create_tables
 from rondo.operators.quality import require_non_empty
@@ -81,31 +83,57 @@ def _time_as_text(time: DataFrame) -> DataFrame:
     return time.withColumn("weekday", time["weekday"].cast("string"))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, in whatever store Spark reads it from; nothing is read but its listing."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" in str(missing):
+            return False
+        raise
+    return True
+
+
 def run_lake(
     spark: SparkSession,
     log_path: str,
     song_path: str,
     out: str,
-    songs_by: Sequence[str] = ("year", "artist_id"),
+    songs_by: Sequence[str] = ("year",),
+    mode: str = "errorifexists",
+    match: str = "title",
 ) -> dict[str, str]:
     """Write the star schema as parquet folders and return their paths.
 
-    Songs are partitioned by ``songs_by``, time and songplays by year and month. The artists and users folders
-    must not exist yet; the others are replaced. Both inputs are parsed once, into parquet under the shared
-    scratch folder. Songplays come from a title join with the songs as written.
+    Songs are partitioned by ``songs_by``, time and songplays by year and month. Unless ``mode`` is "overwrite", no
+    target may exist, which is checked before anything is written. Both inputs are parsed once, into parquet
+    under the shared scratch folder. Songplays are matched with the songs as written, by title alone, or by
+    title and artist with ``match="artist"``, which doesn't multiply plays by songs of one title.
     """
+    if mode not in ("errorifexists", "overwrite") or match not in ("title", "artist"):
+        raise ValueError("mode must be 'errorifexists' or 'overwrite', match 'title' or 'artist'")
+    paths = {name: f"{out.rstrip('/')}/{name}" for name in TABLE_ORDER}
+    there = [name for name, path in paths.items() if mode != "overwrite" and path_exists(spark, path)]
+    if there:
+        raise FileExistsError(f"already written under {out}: {there}")
     parsed = scratch_path(spark, "parsed")
     write_plain(stage(spark, log_path, LOG, clean_text=False), f"{parsed}/log")
     write_plain(stage(spark, song_path, SONG, clean_text=False), f"{parsed}/songs")
     events, catalogue = spark.read.parquet(f"{parsed}/log"), spark.read.parquet(f"{parsed}/songs")
 
-    paths = {name: f"{out.rstrip('/')}/{name}" for name in TABLE_ORDER}
     tasks = shuffle_tasks(spark)
     write_partitioned(star.songs_distinct(catalogue), paths["songs"], songs_by, tasks=tasks)
-    write_plain(star.artists_distinct(catalogue), paths["artists"])
-    write_plain(star.users_distinct(events), paths["users"])
+    write_plain(star.artists_distinct(catalogue), paths["artists"], mode)
+    write_plain(star.users_distinct(events), paths["users"], mode)
     time = star.time_nextsong(events, weekday_style="short")
     write_partitioned(time, paths["time"], ["year", "month"])
     songs = read_partitioned(spark, paths["songs"], schema=STAR["songs"])
-    write_partitioned(star.songplays_title_join(events, songs), paths["songplays"], ["year", "month"])
+    if match == "artist":
+        # One name per artist, so that a play meets each song of its title and artist once.
+        named = star.artists_dim(catalogue).select("artist_id", F.col("name").alias("artist_name"))
+        plays = star.songplays_inner(events, songs.join(named, "artist_id"))
+        plays = plays.withColumns({"year": F.year("start_time"), "month": F.month("start_time")})
+    else:
+        plays = star.songplays_title_join(events, songs)
+    write_partitioned(plays, paths["songplays"], ["year", "month"])
     return paths

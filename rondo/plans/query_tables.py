@@ -15,7 +15,7 @@ ORDER = ("ts", "event_id")
 
 
 def events_denormalised(events: DataFrame, *more: str) -> DataFrame:
-    """The eleven columns of the query tables for events that name an artist."""
+    """Those of the eleven columns of the query tables that ``events`` has, for events that name an artist."""
     named = events.filter("artist IS NOT NULL AND artist <> ''")
     casts = {"int": to_int, "double": to_double}
     columns = [
@@ -23,6 +23,7 @@ def events_denormalised(events: DataFrame, *more: str) -> DataFrame:
         if f.dataType.simpleString() in casts
         else F.col(f.name)
         for f in DENORMALISED.fields
+        if f.name in events.columns
     ]
     return named.select(*columns, *more)
 

@@ -56,28 +56,20 @@ def lookup_first_match(plays: DataFrame, songs: DataFrame, **skew) -> DataFrame:
 
     The names matched are those of the artists table, one per artist_id, as in a lookup over stored tables.
     """
-    return lookup_stored(plays, songs_dim(songs), artists_dim(songs), songs, **skew)
+    return lookup_stored(plays, songs_dim(songs), artists_dim(songs), **skew)
 
 
-def lookup_stored(
-    plays: DataFrame, songs: DataFrame, artists: DataFrame, bound: DataFrame | None = None, **skew
-) -> DataFrame:
-    """The lookup over a songs and an artists table, each with one row per id.
-
-    ``bound`` is a frame neither table can outgrow; without one the songs table bounds the lookup.
-    """
-    limit = songs if bound is None else bound
+def lookup_stored(plays: DataFrame, songs: DataFrame, artists: DataFrame, **skew) -> DataFrame:
+    """The lookup over a songs and an artists table, each with one row per id."""
     known = songs.select("song_id", "title", "artist_id", "duration")
     named = artists.select(F.col("artist_id").alias("_artist"), "name")
-    candidates = skew_join(
-        known, named, [("artist_id", "_artist")], "inner", bound=limit, right_unique=True, **skew
-    )
+    candidates = skew_join(known, named, [("artist_id", "_artist")], "inner", right_unique=True, **skew)
     one = (
         candidates.groupBy("title", "name", "duration")
         .agg(F.min(F.struct("song_id", "artist_id")).alias("_hit"))
         .select("title", F.col("name").alias("artist_name"), "duration", "_hit.song_id", "_hit.artist_id")
     )
-    return skew_join(plays, one, [TITLE, ARTIST, LENGTH], "left", bound=limit, right_unique=True, **skew)
+    return skew_join(plays, one, [TITLE, ARTIST, LENGTH], "left", right_unique=True, **skew)
 
 
 def _play_columns(start_time: Column, key: Column | None = None) -> list[Column]:
@@ -102,21 +94,31 @@ def _plays(events: DataFrame, *more: str) -> DataFrame:
     return next_song(events).select(*_LOGGED, *more)
 
 
-def songplays_lookup(events: DataFrame, songs: DataFrame, grain: str = "timestamp", **skew) -> DataFrame:
-    """Every play once, with the ids of its first matching song or null. ``grain="day"`` keeps the date only."""
-    plays = lookup_first_match(_plays(events, "itemInSession", "song", "artist", "length"), songs, **skew)
+def songplays_lookup(
+    events: DataFrame,
+    songs: DataFrame,
+    grain: str = "timestamp",
+    keep_first: Sequence[str] | None = None,
+    **skew,
+) -> DataFrame:
+    """Every play, with the ids of its first matching song or null. ``grain="day"`` keeps the date only.
+
+    ``keep_first`` is an order: of plays with one id, as in a log delivered twice, the first by it stays.
+    """
+    plays = _plays(events, "itemInSession", "song", "artist", "length", *(keep_first or []))
+    if keep_first:
+        plays = first_per_key(plays, ["sessionId", "itemInSession", "ts"], keep_first).drop(*keep_first)
+    plays = lookup_first_match(plays, songs, **skew)
     start = ms_to_timestamp("ts")
     key = natural_key(F.col("sessionId"), F.col("itemInSession"), F.col("ts"))
     return plays.select(*_play_columns(start.cast("date") if grain == "day" else start, key))
 
 
-def _row_key() -> Column:
-    return natural_key(
-        *[F.col(c) for c in ("ts", "userId", "level", "song_id", "artist_id", "sessionId", "location", "userAgent")]
-    )
+_RAW = ["ts", "userId", "level", "song_id", "artist_id", "sessionId", "location", "userAgent"]
 
 
-_RAW = ["ts", "userId", "level", "song_id", "artist_id", "sessionId", "location", "userAgent"]
+def _row_key() -> Column:
+    return natural_key(*[F.col(c) for c in _RAW])
 
 
 def songplays_inner(events: DataFrame, songs: DataFrame, **skew) -> DataFrame:
@@ -146,9 +148,6 @@ def songplays_left_md5(events: DataFrame, songs: DataFrame, whole_seconds: bool
     return matched.select(*_play_columns(start, session_second_key(F.col("sessionId"), start)))
 
 
-USER_COLUMNS = ["user_id", "first_name", "last_name", "gender", "level"]
-
-
 def _users(events: DataFrame, user_id: Column, *more: str) -> DataFrame:
     return next_song(events).select(
         user_id.alias("user_id"),

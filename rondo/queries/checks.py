@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from rondo.queries.tables import (
     USERS_SQL,
     distinct_join,
 )
-from rondo.schemas import LOG, NOT_NULL
+from rondo.schemas import LOG, NOT_NULL, TABLE_ORDER
 from rondo.session import scratch_path
 from rondo.sources.files import read_partitioned
 from rondo.sources.views import staging_events, staging_songs
@@ -145,14 +146,31 @@ def loaded_dimension(spark: SparkSession, sf: str) -> DataFrame:
 )
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     """From raw JSON files to checked tables."""
+    return _run(spark, sf)[0]
+
+
+@query("run_pipeline_songplays", LEFT_MD5_SQL)
+def pipeline_songplays(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact rows that the run stored."""
+    return _run(spark, sf)[1]("songplays")
+
+
+@query("run_pipeline_users", USERS_DISTINCT_SQL + NOT_BLANK)
+def pipeline_users(spark: SparkSession, sf: str) -> DataFrame:
+    """The users that the run stored."""
+    return _run(spark, sf)[1]("users")
+
+
+def _run(spark: SparkSession, sf: str) -> tuple[DataFrame, Callable[[str], DataFrame]]:
     raw, location = scratch_path(spark, "raw"), scratch_path(spark, "run")
     staging_events(spark, sf).write.json(f"{raw}/log")
     staging_songs(spark, sf).write.json(f"{raw}/songs")
     namespace = f"plays_{uuid.uuid4().hex[:12]}"
     create_namespace(spark, namespace, f"{location}/_default")
     report = run_pipeline(spark, f"{raw}/log", f"{raw}/songs", namespace, location)
+    schemas = {name: spark.table(f"{namespace}.{name}").schema for name in TABLE_ORDER}
     drop_namespace(spark, namespace)
-    return report
+    return report, lambda name: spark.read.schema(schemas[name]).parquet(f"{location}/{name}")
 
 
 @query(
@@ -166,12 +184,27 @@ def pipeline(spark: SparkSession, sf: str) -> DataFrame:
 )
 def lake(spark: SparkSession, sf: str) -> DataFrame:
     """From raw JSON files to partitioned parquet folders, counted after reading back."""
+    paths = _lake(spark, sf)
+    return check_row_counts({name: read_partitioned(spark, path) for name, path in paths.items()}).drop("passed")
+
+
+def _lake(spark: SparkSession, sf: str) -> dict[str, str]:
     raw = scratch_path(spark, "raw")
     staging_events(spark, sf, LOG.names).write.json(f"{raw}/log")
     staging_songs(spark, sf).write.json(f"{raw}/songs")
-    # One folder per year here; a folder per year and artist is covered by the sink query.
-    paths = run_lake(spark, f"{raw}/log", f"{raw}/songs", scratch_path(spark, "lake"), ["year"])
-    return check_row_counts({name: read_partitioned(spark, path) for name, path in paths.items()}).drop("passed")
+    return run_lake(spark, f"{raw}/log", f"{raw}/songs", scratch_path(spark, "lake"))
+
+
+@query("run_lake_songs", f"SELECT song_id, title, artist_id, year, duration FROM ({SONGS_SQL})")
+def lake_songs(spark: SparkSession, sf: str) -> DataFrame:
+    """The songs folder of the run, with the partitioning it chooses."""
+    return read_partitioned(spark, _lake(spark, sf)["songs"]).select("song_id", "title", "artist_id", "year", "duration")
+
+
+@query("run_lake_songplays", f"SELECT * FROM ({distinct_join('e.song = s.title')})")
+def lake_songplays(spark: SparkSession, sf: str) -> DataFrame:
+    """The songplays folder of the run."""
+    return read_partitioned(spark, _lake(spark, sf)["songplays"]).drop("year", "month")
 
 
 def _streamed(spark: SparkSession, sf: str, songs: DataFrame | None = None) -> IncrementalLoad:
@@ -192,6 +225,23 @@ def incremental_users(spark: SparkSession, sf: str) -> DataFrame:
     return _streamed(spark, sf).users()
 
 
+@query("incremental_load_rejects", """SELECT CAST(ts AS BIGINT) AS ts, event_id, reason FROM (
+       SELECT NULL AS ts, event_id, 'no time of play' AS reason FROM staging_events
+       WHERE page = 'NextSong' AND event_id % 50 = 0
+       UNION ALL SELECT NULL, NULL, 'malformed line' FROM staging_events WHERE event_id % 100 = 1)""")
+def incremental_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Plays without a time and broken lines of a delivery, kept with their reasons."""
+    root = scratch_path(spark, "arriving")
+    events = staging_events(spark, sf)
+    untimed = (F.col("page") == "NextSong") & (F.col("event_id") % 50 == 0)
+    events.withColumn("ts", F.when(~untimed, F.col("ts"))).write.json(f"{root}/log")
+    broken = events.where("event_id % 100 = 1").select(F.concat(F.lit('{"ts": '), F.col("event_id").cast("string")))
+    broken.write.text(f"{root}/broken")
+    load = IncrementalLoad(spark, scratch_path(spark, "loaded"))
+    load.run(f"{root}/*")
+    return load.rejects().select("ts", "event_id", F.col("_reason").alias("reason"))
+
+
 @query("incremental_load_songplays", SONGPLAYS_LOOKUP_SQL, LOOKUP_SQL)
 def incremental_songplays(spark: SparkSession, sf: str) -> DataFrame:
     """The fact table after two incremental runs equals the batch table."""

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rondo.functions.clean import blank_to_null, count_rejects, to_double, to_int, to_whole_decimal, truncate_text
+from rondo.functions.clean import blank_to_null, count_cut, count_rejects, to_double, to_int, to_whole_decimal, truncate_text
 from rondo.functions.keys import concat_text, natural_key, session_second_key
 from rondo.functions.timeparts import date_path, ms_to_second, ms_to_timestamp
 from rondo.operators.numbering import identity_ids
+from rondo.operators.quality import unique_ids
 from rondo.plans.query_tables import events_denormalised
 from rondo.plans.star import LENGTH, lookup_first_match, match_catalogue, next_song
 from rondo.queries.base import query
@@ -134,6 +135,17 @@ def cut_text(spark: SparkSession, sf: str) -> DataFrame:
     return truncate_text(documents, columns=["text"])
 
 
+@query(
+    "truncate_text_report",
+    """SELECT count(*) FILTER (length(text) > 256) AS text_cut, count(*) FILTER (length(source) > 256) AS source_cut
+       FROM documents""",
+)
+def cut_text_report(spark: SparkSession, sf: str) -> DataFrame:
+    """How many values a cut to the declared width would shorten."""
+    documents = spark.read.parquet(f"{sf}/documents.parquet").select("text", "source")
+    return count_cut(documents, {"text": 256, "source": 256})
+
+
 @query("epoch_ms_parse", "SELECT event_id, make_timestamp_ms(ts) AS ts FROM staging_events")
 def epoch_ms_parse(spark: SparkSession, sf: str) -> DataFrame:
     """Loading epoch milliseconds into a timestamp column."""
@@ -251,11 +263,12 @@ def null_default(spark: SparkSession, sf: str) -> DataFrame:
     return found.filter(F.col("song_id").isNull()).select("event_id", "song_id", "artist_id")
 
 
-@query("surrogate_monotonic")
+@query("surrogate_monotonic", "SELECT event_id, ts, true AS id_unique FROM staging_events WHERE page = 'NextSong'")
 def surrogate_monotonic(spark: SparkSession, sf: str) -> DataFrame:
-    """Unique but unstable numbers, so there is no SQL equivalent."""
+    """Unique but unstable numbers: the plays, and whether each play's number is its own."""
     events = staging_events(spark, sf, ["event_id", "ts", "page"])
-    return next_song(events).select(F.monotonically_increasing_id().alias("songplay_id"), "event_id", "ts")
+    plays = next_song(events).select(F.monotonically_increasing_id().alias("songplay_id"), "event_id", "ts")
+    return unique_ids(plays, "songplay_id")
 
 
 @query(

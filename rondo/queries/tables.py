@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rondo.operators.numbering import identity_ids
+from rondo.operators.layout import cluster_rows
+from rondo.operators.quality import unique_ids
+from rondo.operators.sinks import write_plain
 from rondo.plans import query_tables, star
 from rondo.queries.base import query
 from rondo.queries.columns import LOOKUP_SQL
+from rondo.session import scratch_path
+from rondo.sources.files import read_table
 from rondo.sources.views import staging_events, staging_songs
 
 PLAY = [
@@ -17,7 +22,8 @@ PLAY = [
 USER = ["page", "userId", "firstName", "lastName", "gender", "level"]
 
 KEY_COLUMNS = "ts, userId, level, song_id, artist_id, sessionId, location, userAgent".split(", ")
-ROW_KEY = "md5(concat_ws('|', " + ", ".join(f"coalesce(\"{c}\"::VARCHAR, '\\N')" for c in KEY_COLUMNS) + "))"
+ESCAPED = "coalesce(replace(replace({}::VARCHAR, '\\', '\\\\'), '|', '\\|'), '\\N')"
+ROW_KEY = "md5(concat_ws('|', " + ", ".join(ESCAPED.format(f'"{c}"') for c in KEY_COLUMNS) + "))"
 
 
 def _plays(spark: SparkSession, sf: str, numbered: bool = False) -> DataFrame:
@@ -38,6 +44,13 @@ def songplays_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return star.songplays_lookup(_plays(spark, sf, numbered=True), staging_songs(spark, sf))
 
 
+@query("songplays_lookup_repeats", SONGPLAYS_LOOKUP_SQL, LOOKUP_SQL)
+def songplays_lookup_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    """A log delivered twice gives each play once."""
+    events = staging_events(spark, sf, sorted({*PLAY, "event_id"}))
+    return star.songplays_lookup(events.unionByName(events), staging_songs(spark, sf), keep_first=["event_id"])
+
+
 @query(
     "songplays_lookup_day",
     """SELECT md5(concat_ws('|', e."sessionId"::VARCHAR, e."itemInSession"::VARCHAR, e.ts::VARCHAR)) AS songplay_id,
@@ -155,7 +168,8 @@ def songs_distinct(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "songs_generated_id",
     """SELECT title, artist_id, year, duration,
-              md5(concat_ws('|', title, artist_id, year::VARCHAR, duration::VARCHAR)) AS song_id
+              md5(concat_ws('|', replace(replace(title, '\\', '\\\\'), '|', '\\|'),
+                             replace(replace(artist_id, '\\', '\\\\'), '|', '\\|'), year::VARCHAR, duration::VARCHAR)) AS song_id
        FROM (SELECT DISTINCT title, artist_id, year, duration FROM staging_songs)""",
 )
 def songs_generated_id(spark: SparkSession, sf: str) -> DataFrame:
@@ -163,10 +177,14 @@ def songs_generated_id(spark: SparkSession, sf: str) -> DataFrame:
     return star.songs_generated_id(staging_songs(spark, sf))
 
 
-@query("songs_generated_number")
+@query(
+    "songs_generated_number",
+    """SELECT title, artist_id, year, duration, true AS id_unique
+       FROM (SELECT DISTINCT title, artist_id, year, duration FROM staging_songs)""",
+)
 def songs_generated_number(spark: SparkSession, sf: str) -> DataFrame:
-    """Distinct songs with a unique but unstable number as id, which has no SQL equivalent."""
-    return star.songs_generated_id(staging_songs(spark, sf), stable=False)
+    """Distinct songs with a unique but unstable number as id: what each song has, and whether its id is its own."""
+    return unique_ids(star.songs_generated_id(staging_songs(spark, sf), stable=False), "song_id")
 
 
 @query(
@@ -273,23 +291,34 @@ music_log AS (
 ORDER = ["ts", "event_id"]
 
 
-def _denormalised(spark: SparkSession, sf: str) -> DataFrame:
-    return query_tables.events_denormalised(staging_events(spark, sf), *ORDER)
+SESSION_COLUMNS = ["artist", "itemInSession", "length", "sessionId", "song"]
+LISTENER_COLUMNS = ["artist", "firstName", "lastName", "song", "userId"]
+
+
+def _denormalised(spark: SparkSession, sf: str, columns: list[str]) -> DataFrame:
+    return query_tables.events_denormalised(staging_events(spark, sf, [*columns, *ORDER]), *ORDER)
+
+
+def _clustered(spark: SparkSession, rows: DataFrame, by: list[str], then: list[str]) -> DataFrame:
+    """The table stored by its partition and clustering keys, read back."""
+    path = scratch_path(spark, "clustered")
+    write_plain(cluster_rows(rows, by, then), path)
+    return read_table(spark, path)
 
 
 @query("session_songs", "SELECT * FROM session_songs", QUESTION_SQL)
 def session_songs(spark: SparkSession, sf: str) -> DataFrame:
-    return query_tables.session_songs(_denormalised(spark, sf))
+    return query_tables.session_songs(_denormalised(spark, sf, SESSION_COLUMNS))
 
 
 @query("user_songs", "SELECT * FROM user_songs", QUESTION_SQL)
 def user_songs(spark: SparkSession, sf: str) -> DataFrame:
-    return query_tables.user_songs(_denormalised(spark, sf))
+    return query_tables.user_songs(_denormalised(spark, sf, sorted({*SESSION_COLUMNS, *LISTENER_COLUMNS})))
 
 
 @query("music_log", "SELECT * FROM music_log", QUESTION_SQL)
 def music_log(spark: SparkSession, sf: str) -> DataFrame:
-    return query_tables.music_log(_denormalised(spark, sf))
+    return query_tables.music_log(_denormalised(spark, sf, LISTENER_COLUMNS))
 
 
 @query(
@@ -300,7 +329,9 @@ def music_log(spark: SparkSession, sf: str) -> DataFrame:
 )
 def q_song_in_session(spark: SparkSession, sf: str) -> DataFrame:
     """Artist, title and length heard at one place of one session."""
-    return query_tables.song_in_session(session_songs(spark, sf), 7001, 0)
+    return query_tables.song_in_session(
+        _clustered(spark, session_songs(spark, sf), ["sessionId"], ["itemInSession"]), 7001, 0
+    )
 
 
 @query(
@@ -311,7 +342,9 @@ def q_song_in_session(spark: SparkSession, sf: str) -> DataFrame:
 )
 def q_user_session_playlist(spark: SparkSession, sf: str) -> DataFrame:
     """One user's session in playing order."""
-    return query_tables.user_session_playlist(user_songs(spark, sf), 126, 126003)
+    return query_tables.user_session_playlist(
+        _clustered(spark, user_songs(spark, sf), ["userid", "sessionid"], ["itemInSession"]), 126, 126003
+    )
 
 
 @query(
@@ -321,4 +354,6 @@ def q_user_session_playlist(spark: SparkSession, sf: str) -> DataFrame:
 )
 def q_listeners_of_song(spark: SparkSession, sf: str) -> DataFrame:
     """Everyone who heard one song."""
-    return query_tables.listeners_of_song(music_log(spark, sf), "large plate 15")
+    return query_tables.listeners_of_song(
+        _clustered(spark, music_log(spark, sf), ["song_title"], ["userid"]), "large plate 15"
+    )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from rondo.functions.clean import blank_to_null, truncate_text
-from rondo.schemas import DENORMALISED, EVENT_CSV, LOG, SONG, TEXT_WIDTH
+from rondo.schemas import DENORMALISED, EVENT_CSV, LOG, SONG
 
 Paths = str | Sequence[str]
 
@@ -29,8 +29,11 @@ def read_json(
     file_glob: str | None = None,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """JSON lines under one or more paths; paths may hold wildcards. ``schema=None`` infers."""
-    reader = spark.read.options(**dict(options or {}))
+    """JSON lines under one or more paths; paths may hold wildcards. ``schema=None`` infers.
+
+    A line that is no JSON object stops the read; pass another ``mode`` in ``options`` to be lenient.
+    """
+    reader = spark.read.options(**{"mode": "FAILFAST", **dict(options or {})})
     if schema is not None:
         reader = reader.schema(schema)
     if recursive:
@@ -58,15 +61,26 @@ def read_tree(spark: SparkSession, path: Paths, schema: StructType) -> DataFrame
 def read_csv(
     spark: SparkSession, path: Paths, schema: StructType, recursive: bool = True, multi_line: bool = False
 ) -> DataFrame:
-    """CSV files with a header each, concatenated.
+    """CSV files with a header each, concatenated; columns are bound by the names in the header.
 
-    A large file is read by many tasks. A line break inside a quoted field then stops the read as malformed;
+    An unknown or absent name stops the read, and so does a file whose header differs from the first one's. A large file is read by many tasks. A line break inside a quoted field then stops the read as malformed;
     ``multi_line`` accepts such fields at the price of one task per file.
     """
-    reader = spark.read.schema(schema).options(**CSV_QUOTING).option("multiLine", multi_line)
+    options = {**CSV_QUOTING, "multiLine": str(multi_line).lower()}
     if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    return reader.csv(path if isinstance(path, str) else list(path))
+        options["recursiveFileLookup"] = "true"
+    return _csv_by_name(spark, [path] if isinstance(path, str) else list(path), schema, options)
+
+
+def _csv_by_name(spark: SparkSession, paths: list[str], schema: StructType | str, options: Mapping[str, str]) -> DataFrame:
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    # Without a schema the reader opens one file and takes its header; no data are read.
+    header = spark.read.options(**{**options, "inferSchema": "false"}).csv(paths).columns
+    if sorted(header) != sorted(schema.names):
+        raise ValueError(f"the CSV header has {sorted(header)}, the schema {sorted(schema.names)}")
+    placed = StructType([schema[name] for name in header])
+    reader = spark.read.schema(placed).options(**{**options, "enforceSchema": "false"})
+    return reader.csv(paths).select(*schema.names)
 
 
 def read_event_csv(spark: SparkSession, path: Paths, **kw) -> DataFrame:
@@ -111,13 +125,14 @@ def stage(
     day: date | None = None,
     day_pattern: str = "%Y/%m/%d",
     clean_text: bool = True,
-    text_width: int = TEXT_WIDTH,
+    cut: Mapping[str, int] | None = None,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Bulk load of JSON or CSV files into staging shape.
 
     ``day`` narrows the load to that day's folder. A malformed record stops the load. Blank text becomes null
-    and long text is cut unless ``clean_text`` is off. ``fields`` renames on the way in.
+    unless ``clean_text`` is off. ``fields`` renames on the way in. Text is kept whole; ``cut`` gives widths for the
+    columns that may lose their ends (never cut ids or join keys), and ``count_cut`` says how many values that hits.
     """
     paths = [path] if isinstance(path, str) else list(path)
     if day is not None:
@@ -126,7 +141,14 @@ def stage(
     if fmt.lower() not in defaults:
         raise ValueError(f"fmt must be one of {sorted(defaults)}")
     settings = {**defaults[fmt.lower()], **dict(options or {})}
-    loaded = spark.read.format(fmt.lower()).schema(schema).options(**settings).load(paths)
+    if fmt.lower() == "csv":
+        loaded = _csv_by_name(spark, paths, schema, settings)
+    else:
+        loaded = spark.read.schema(schema).options(**settings).json(paths)
     if fields is not None:
         loaded = bind_columns(loaded, fields)
-    return truncate_text(blank_to_null(loaded), text_width) if clean_text else loaded
+    if clean_text:
+        loaded = blank_to_null(loaded)
+    for column, width in dict(cut or {}).items():
+        loaded = truncate_text(loaded, width, [column])
+    return loaded

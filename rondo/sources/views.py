@@ -44,7 +44,6 @@ def staging_events(spark: SparkSession, sf_dir: str, columns: Sequence[str] | No
         .otherwise("Logout")
         .alias("page"),
     )
-    logged = events
     if "itemInSession" in need:
         keyed = events.withColumns(
             {
@@ -52,10 +51,8 @@ def staging_events(spark: SparkSession, sf_dir: str, columns: Sequence[str] | No
                 "_day": F.coalesce(F.dayofyear("_ts"), F.lit(0)),
             }
         )
-        slot = F.coalesce(minute_number("_ts"), F.lit(-(1 << 40)))
-        events = number_within(
-            keyed, ["_owner", "_day"], slot, ["_ts", "event_id"], "itemInSession", hot_on=["_owner"]
-        )
+        slot = F.coalesce(F.floor(minute_number("_ts") / 60), F.lit(-(1 << 40)))
+        events = number_within(keyed, ["_owner", "_day"], slot, ["_ts", "event_id"], "itemInSession")
     if need & FROM_PART:
         part = table(spark, sf_dir, "part")
         size = part.agg(F.count(F.lit(1)).alias("n")).scalar()
@@ -68,7 +65,7 @@ def staging_events(spark: SparkSession, sf_dir: str, columns: Sequence[str] | No
         )
     if need & (FROM_CUSTOMER | FROM_NATION):
         customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
-        events = skew_join(events, customer, [("_user", "c_custkey")], "left", right_unique=True, seen=logged)
+        events = skew_join(events, customer, [("_user", "c_custkey")], "left", right_unique=True)
     if need & FROM_NATION:
         nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
         events = skew_join(events, nation, [("c_nationkey", "n_nationkey")], "left", right_unique=True)

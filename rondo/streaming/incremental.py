@@ -2,7 +2,10 @@
 
 ``foreachBatch`` may repeat a batch after a failure, so every write is keyed by the batch number and repeats as
 the same write. The users state holds the order marks of its first and last play, so merging is independent of
-the sequence of batches; it alternates between two folders, and the one being replaced is never the one read.
+the sequence of batches; it alternates between two folders, and the one being replaced is never the one read. Each
+folder has a marker with its batch number, written last: a batch that doesn't find its predecessor's state stops.
+
+Lines that are no JSON object, and plays without a readable time, are stored as rejects with a reason and counted.
 """
 
 from __future__ import annotations
@@ -10,7 +13,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from rondo.functions.clean import blank_to_null, to_int
 from rondo.functions.keys import natural_key
@@ -68,6 +71,9 @@ def _plays(plays: DataFrame, songs: DataFrame | None) -> DataFrame:
     )
 
 
+CORRUPT = "_corrupt_record"
+
+
 class IncrementalLoad:
     """Songplays (keep-first) and users (level of the last play) kept under ``target``.
 
@@ -87,34 +93,59 @@ class IncrementalLoad:
 
         Its plays are first stored, so the raw files are parsed once and each later step reads its own columns.
         """
+        before = self._marker(batch_id)
+        if batch_id and before != batch_id - 1:
+            raise RuntimeError(f"batch {batch_id} follows a users state of batch {before}; restore {self.target}/users")
+        if not batch_id and (self._marker(0) or self._marker(1) or 0) > 0:
+            raise RuntimeError(f"batch numbers start again over stored tables; restore {self.target}/_progress")
         staged = f"{self.target}/_staged/slot={batch_id % 2}"
-        parsed = next_song(blank_to_null(batch))
+        if CORRUPT not in batch.columns:
+            batch = batch.withColumn(CORRUPT, F.lit(None).cast("string"))
+        parsed = blank_to_null(batch).withColumn(
+            "_reason",
+            F.when(F.col(CORRUPT).isNotNull(), "malformed line").when(
+                (F.col("page") == "NextSong") & F.col("ts").isNull(), "no time of play"
+            ),
+        )
         parsed.write.mode("overwrite").parquet(staged)
-        plays = self.spark.read.schema(parsed.schema).parquet(staged)
+        rows = self.spark.read.schema(parsed.schema).parquet(staged)
+        rejects = rows.where("_reason IS NOT NULL").drop("batch_id")
+        rejects.write.mode("overwrite").parquet(f"{self.target}/rejects/batch_id={batch_id}")
+        plays = next_song(rows.where("_reason IS NULL").drop(CORRUPT, "_reason"))
         self._load_users(_users(plays), batch_id)
         self._load_plays(plays, batch_id)
 
+    def _marker(self, batch_id: int) -> int | None:
+        """The number in the marker that the batch before ``batch_id`` wrote, none if there is none."""
+        found = _stored(self.spark, f"{self.target}/users_batch/slot={(batch_id - 1) % 2}")
+        return None if found is None else found.agg(F.max("batch_id")).first()[0]
+
     def _load_users(self, state: DataFrame, batch_id: int) -> None:
-        old = _stored(self.spark, self._slot(batch_id - 1)) if batch_id else None
-        if old is not None:
+        if batch_id:
+            old = _stored(self.spark, self._slot(batch_id - 1))
+            if old is None:
+                raise RuntimeError(f"the users state of batch {batch_id - 1} is gone; restore {self.target}/users")
             state = merge_states(old.drop("batch_id"), state, ["user_id"], KEEP, UPDATE)
         state.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(self._slot(batch_id))
+        number = self.spark.range(1).select(F.lit(batch_id).alias("batch_id"))
+        number.write.mode("overwrite").parquet(f"{self.target}/users_batch/slot={batch_id % 2}")
 
     def _load_plays(self, plays: DataFrame, batch_id: int) -> None:
         earlier = _stored(self.spark, f"{self.target}/songplays")
         if earlier is not None:
-            # The id includes the time of play, so an earlier row with the same id lies in the same day and only
-            # the days of this batch are read back. Their list is bounded by the calendar.
+            # The id includes the time of play, so an earlier row with the same id lies in the same day, and only
+            # the days of this batch are kept of the earlier rows.
             day = ms_to_timestamp("ts").cast("date").alias("day")
-            days = [r.day for r in plays.select(day).distinct().collect()]
-            earlier = earlier.filter((F.col("batch_id") < batch_id) & F.col("day").isin(days))
+            earlier = earlier.where(F.col("batch_id") < batch_id).join(plays.select(day).distinct(), "day", "left_semi")
         fresh = insert_ignore(_plays(plays, self.songs), ["songplay_id", "day"], ORDER, earlier)
         write_partitioned(fresh, f"{self.target}/songplays/batch_id={batch_id}", ["day"])
 
     def run(self, log_path: str, schema: StructType = LOG_WITH_ID, files_per_batch: int = 1000) -> None:
         """Load every file not yet loaded, then stop."""
         stream = (
-            self.spark.readStream.schema(schema)
+            self.spark.readStream.schema(StructType([*schema, StructField(CORRUPT, StringType())]))
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT)
             .option("maxFilesPerTrigger", files_per_batch)
             .option("recursiveFileLookup", "true")
             .json(log_path)
@@ -129,9 +160,12 @@ class IncrementalLoad:
 
     def users(self) -> DataFrame:
         """The users table as of the last completed batch."""
-        state = self.spark.read.parquet(f"{self.target}/users")
-        latest = state.agg(F.max("batch_id").alias("b")).scalar()
-        return state.filter(F.col("batch_id") == latest).select("user_id", *KEEP, *UPDATE)
+        latest = self.spark.read.parquet(f"{self.target}/users_batch").agg(F.max("batch_id")).first()[0]
+        return self.spark.read.parquet(self._slot(latest)).select("user_id", *KEEP, *UPDATE)
+
+    def rejects(self) -> DataFrame:
+        """Input not loaded, one row per line or play, with the reason."""
+        return self.spark.read.option("mergeSchema", "true").parquet(f"{self.target}/rejects")
 
     def songplays(self) -> DataFrame:
         """All plays loaded so far."""

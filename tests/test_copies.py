@@ -30,7 +30,7 @@ def test_copies_of_one_row_are_split_by_the_adaptive_join(spark):
             F.when(same, -1).otherwise(F.col("id")).alias("k"), wide.alias("text")
         )
         right = spark.range(-1, 900).select(F.col("id").alias("r"), (F.col("id") * 2).alias("v"))
-        joined = skew_join(left, right, [("k", "r")], "left", force_salting=True)
+        joined = skew_join(left, right, [("k", "r")], "left", salt=True, rows=1 / 256)
         copies = left.filter("k = -1").count()
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

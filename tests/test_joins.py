@@ -7,7 +7,7 @@ from collections import Counter
 
 import pytest
 
-from rondo.operators.joins import fits_broadcast, hot_keys, skew_join
+from rondo.operators.joins import hot_keys, skew_join
 
 
 def brute(left, right, how):
@@ -33,13 +33,13 @@ def sides(seed):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("share", [1 / 256, 0.05, 0.2, 2.0])
+@pytest.mark.parametrize("share", [1 / 256, 0.05, 0.2, 1_000_000])
 def test_salted_join_equals_brute_force(spark, how, share):
-    left, right = sides(int(share * 1000))
+    left, right = sides(int(share * 1000) % 1000)
     l = spark.createDataFrame(left, "id int, song string, length double")
     r = spark.createDataFrame(right, "title string, duration double, n int")
     joined = skew_join(
-        l, r, [("song", "title"), ("length", "duration")], how, share=share, force_salting=True
+        l, r, [("song", "title"), ("length", "duration")], how, salt=True, rows=share
     )
     assert Counter(tuple(x) for x in joined.collect()) == brute(left, right, how)
 
@@ -51,29 +51,48 @@ def test_salted_join_with_unique_right(spark, how):
     l = spark.createDataFrame(left, "id int, song string, length double")
     r = spark.createDataFrame(unique, "title string, duration double, n int")
     joined = skew_join(
-        l, r, [("song", "title"), ("length", "duration")], how, force_salting=True, right_unique=True
+        l, r, [("song", "title"), ("length", "duration")], how, salt=True, rows=1 / 256, right_unique=True
     )
     assert Counter(tuple(x) for x in joined.collect()) == brute(left, unique, how)
 
 
 def test_hot_key_list_is_bounded_and_finds_the_hot_key(spark):
     df = spark.range(9000).selectExpr("if(id % 3 = 0, -1, id) AS k")
-    found = hot_keys(df, ["k"], share=1 / 64).collect()
+    found = hot_keys(df, ["k"], 1 / 64).collect()
     assert len(found) == 1 and found[0]._slices >= 21
 
 
-def test_big_right_side_is_not_broadcast(spark):
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
-    try:
-        left = spark.range(1000).selectExpr("id", "id % 10 AS k")
-        right = spark.range(1000).selectExpr("id AS r")
-        assert not fits_broadcast(right)
-        joined = skew_join(left, right, [("k", "r")], "left", bound=right)
-        assert "_lsalt" in joined._jdf.queryExecution().optimizedPlan().toString()
-        assert joined.count() == 1000
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+def test_the_limit_is_rows_per_task(spark):
+    # A third of a percent of the rows is still cut if one task shouldn't take it.
+    df = spark.range(300_000).selectExpr("if(id % 300 = 0, -1, id) AS k")
+    found = hot_keys(df, ["k"], 100).collect()
+    assert [(r.k, r._slices) for r in found] == [(-1, 10)]
+
+
+def test_a_plain_join_is_left_to_the_planner(spark):
+    left, right = spark.range(10).selectExpr("id AS k"), spark.range(10).selectExpr("id AS r")
+    text = skew_join(left, right, [("k", "r")], "left")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_lsalt" not in text and "broadcast" not in text.lower()
+
+
+def test_a_given_list_of_hot_keys_is_used(spark):
+    left = spark.range(900).selectExpr("id", "if(id % 2 = 0, -1, id) AS k")
+    right = spark.range(-1, 900).selectExpr("id AS r")
+    hot = hot_keys(left, ["k"], 50)
+    joined = skew_join(left, right, [("k", "r")], "left", right_unique=True, hot=hot)
+    assert joined.count() == 900 and joined.where("k = r").count() == 900
+
+
+def test_keys_whose_hashes_collide_lose_no_row(spark, monkeypatch):
+    # Every content hash the same: slices collapse, but rows are looked up and matched by key.
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(F, "xxhash64", lambda *c: F.lit(1).cast("long"))
+    left, right = sides(7)
+    l = spark.createDataFrame(left, "id int, song string, length double")
+    r = spark.createDataFrame(right, "title string, duration double, n int")
+    joined = skew_join(l, r, [("song", "title"), ("length", "duration")], "left", salt=True, rows=0.01)
+    assert Counter(tuple(x) for x in joined.collect()) == brute(left, right, "left")
 
 
 def test_keys_of_different_types_are_refused(spark):

@@ -57,7 +57,7 @@ def test_limit_is_top_k(spark):
 
 def test_salted_join_reads_only_its_columns_and_has_no_single_task_step(stored):
     events, songs = stored
-    text = plan(star.songplays_left_md5(events, songs, force_salting=True))
+    text = plan(star.songplays_left_md5(events, songs, salt=True, rows=1 / 256))
     assert "registration" not in text and "firstName" not in text and "num_songs" not in text
     main = text.split("Subquery")[0]
     assert "SinglePartition" not in main and "CartesianProduct" not in text

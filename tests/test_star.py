@@ -30,7 +30,7 @@ def catalogue(spark, *changes):
 
 @pytest.fixture(params=[False, True], ids=["broadcast", "salted"])
 def skew(request):
-    return {"force_salting": request.param}
+    return {"salt": True, "rows": 1 / 256} if request.param else {}
 
 
 def test_left_join_multiplies_and_lookup_does_not(spark, rows, skew):
