@@ -8,10 +8,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rondo.schemas import FOREIGN_KEYS, NOT_NULL, PRIMARY_KEYS
 from rondo.session import scratch_path
 
 
-
 def check_not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     """Null count of each required column, from one pass over the table."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
@@ -65,6 +65,29 @@ def require_non_empty(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 
+def check_registry(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Every check the registry declares for the given tables: table_name, check_name and the number of failures."""
+
+    def row(table: str, check: str, df: DataFrame, failures: Column) -> DataFrame:
+        return df.agg(failures.cast("long").alias("failures")).select(
+            F.lit(table).alias("table_name"), F.lit(check).alias("check_name"), "failures"
+        )
+
+    reports = []
+    for name, df in tables.items():
+        reports.append(row(name, "empty", df, (F.count(F.lit(1)) == 0).cast("int")))
+        reports.append(row(name, "repeated key", check_unique_key(df, PRIMARY_KEYS[name]), F.count(F.lit(1))))
+        nulls = check_not_null(df, name, NOT_NULL.get(name, []))
+        reports.append(
+            nulls.select("table_name", F.concat(F.lit("null "), "column_name").alias("check_name"), F.col("null_rows").alias("failures"))
+        )
+    for child, column, parent, parent_column in FOREIGN_KEYS:
+        if child in tables and parent in tables:
+            orphans = check_foreign_key(tables[child], column, tables[parent], parent_column)
+            reports.append(row(child, f"orphan {column}", orphans, F.coalesce(F.sum("n_rows"), F.lit(0))))
+    return reduce(DataFrame.unionByName, reports)
+
+
 def unique_ids(df: DataFrame, name: str) -> DataFrame:
     """The rows without their id, and whether the id is given and no other row has it.
 

@@ -159,10 +159,15 @@ def _users(events: DataFrame, user_id: Column, *more: str) -> DataFrame:
     )
 
 
-def users_upsert(events: DataFrame, order: Sequence[str] = ("ts", "event_id")) -> DataFrame:
-    """One row per user: names and gender of the first play, level of the last. Plays without a user are left out."""
+def users_upsert(
+    events: DataFrame, order: Sequence[str] = ("ts", "event_id"), target: DataFrame | None = None
+) -> DataFrame:
+    """One row per user: names and gender of the first play, level of the last. Plays without a user are left out.
+
+    With ``target``, stored users keep their names and gender and take the level, and its other users stay.
+    """
     rows = _users(events, to_int("userId"), *order).filter(F.col("user_id").isNotNull())
-    return upsert_update(rows, ["user_id"], list(order), ["level"])
+    return upsert_update(rows, ["user_id"], list(order), ["level"], target)
 
 
 def users_distinct(events: DataFrame, drop_blank: bool = True) -> DataFrame:

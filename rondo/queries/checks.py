@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rondo.operators.layout import create_namespace, drop_namespace
 from rondo.operators.quality import check_foreign_key, check_not_null, check_row_counts, check_unique_key
 from rondo.plans import star
-from rondo.plans.pipeline import load_dimension, load_fact, run_lake, run_pipeline
+from rondo.plans.pipeline import load_dimension, load_fact, run_keyed, run_lake, run_pipeline
 from rondo.queries.base import query
 from rondo.queries.columns import LOOKUP_SQL
 from rondo.queries.sinks import NOT_BLANK, SONGS_SQL, STAR_COUNTS_SQL, _database, _read_and_drop
@@ -161,6 +161,44 @@ def pipeline_users(spark: SparkSession, sf: str) -> DataFrame:
     return _run(spark, sf)[1]("users")
 
 
+def _keyed(spark: SparkSession, sf: str) -> tuple[DataFrame, Callable[[str], DataFrame]]:
+    """The tables after two keyed runs over the same files, and the last report."""
+    raw, location = scratch_path(spark, "raw"), scratch_path(spark, "run")
+    staging_events(spark, sf).write.json(f"{raw}/log")
+    staging_songs(spark, sf).write.json(f"{raw}/songs")
+    namespace = f"plays_{uuid.uuid4().hex[:12]}"
+    create_namespace(spark, namespace, f"{location}/_default")
+    for _ in range(2):
+        report = run_keyed(spark, f"{raw}/log", f"{raw}/songs", namespace, location)
+    path = scratch_path(spark, "report")
+    report.write.parquet(path)
+    schemas = {name: spark.table(f"{namespace}.{name}").schema for name in TABLE_ORDER}
+    drop_namespace(spark, namespace)
+    return spark.read.parquet(path), lambda name: spark.read.schema(schemas[name]).parquet(f"{location}/{name}")
+
+
+@query("run_keyed_songplays", SONGPLAYS_LOOKUP_SQL, LOOKUP_SQL)
+def keyed_songplays(spark: SparkSession, sf: str) -> DataFrame:
+    """Plays after loading the same log twice by key."""
+    return _keyed(spark, sf)[1]("songplays")
+
+
+@query("run_keyed_users", USERS_SQL)
+def keyed_users(spark: SparkSession, sf: str) -> DataFrame:
+    """Users after loading the same log twice by key."""
+    return _keyed(spark, sf)[1]("users")
+
+
+@query(
+    "check_registry",
+    """SELECT 'songplays' AS table_name, 'null user_id' AS check_name, count(*) AS failures
+       FROM staging_events WHERE page = 'NextSong' AND "userId" = ''""",
+)
+def keyed_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Of all checks of the registry after two keyed runs, those that fail: plays of logged-out listeners have no user."""
+    return _keyed(spark, sf)[0].where("failures > 0")
+
+
 def _run(spark: SparkSession, sf: str) -> tuple[DataFrame, Callable[[str], DataFrame]]:
     raw, location = scratch_path(spark, "raw"), scratch_path(spark, "run")
     staging_events(spark, sf).write.json(f"{raw}/log")

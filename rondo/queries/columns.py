@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from rondo.functions.clean import blank_to_null, count_cut, count_rejects, to_double, to_int, to_whole_decimal, truncate_text
 from rondo.functions.keys import concat_text, natural_key, session_second_key
@@ -13,7 +14,9 @@ from rondo.operators.quality import unique_ids
 from rondo.plans.query_tables import events_denormalised
 from rondo.plans.star import LENGTH, lookup_first_match, match_catalogue, next_song
 from rondo.queries.base import query
-from rondo.schemas import DENORMALISED
+from rondo.schemas import DENORMALISED, LOG
+from rondo.session import scratch_path
+from rondo.sources.files import read_csv
 from rondo.sources.views import staging_events, staging_songs
 
 SONG_KEYS = (("song", "title"), ("artist", "artist_name"))
@@ -45,8 +48,14 @@ def project_rename(spark: SparkSession, sf: str) -> DataFrame:
               "userId" FROM staging_events""",
 )
 def project_positional(spark: SparkSession, sf: str) -> DataFrame:
-    """The eleven kept fields, bound by name instead of position."""
-    return staging_events(spark, sf, DENORMALISED.names)
+    """The eleven kept fields of a CSV whose columns stand in another order, bound by name instead of position."""
+    path = scratch_path(spark, "permuted")
+    staging_events(spark, sf, sorted(DENORMALISED.names, reverse=True)).write.option("header", "true").csv(
+        path, escape='"', emptyValue='""'
+    )
+    kinds = {f.name: f.dataType for f in LOG.fields}
+    schema = StructType([StructField(name, kinds[name]) for name in DENORMALISED.names])
+    return read_csv(spark, path, schema).withColumn("userId", F.coalesce("userId", F.lit("")))
 
 
 @query(

@@ -67,17 +67,6 @@ STAR: dict[str, StructType] = {
     "time": shape("start_time ts, hour int, day int, week int, month int, year int, weekday string"),
 }
 
-QUERY_TABLES: dict[str, StructType] = {
-    "session_songs": shape(
-        "sessionId int, itemInSession int, artist string, song_title string, song_length double"
-    ),
-    "user_songs": shape(
-        "userid int, sessionid int, itemInSession int, artist string, song_title string, song_length double,"
-        "first_name string, last_name string"
-    ),
-    "music_log": shape("song_title string, userid int, first_name string, last_name string"),
-}
-
 PRIMARY_KEYS: dict[str, list[str]] = {
     "songplays": ["songplay_id"],
     "users": ["user_id"],

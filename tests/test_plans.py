@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import importlib.util
 import re
+from pathlib import Path
 
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
 from rondo.plans import star
+from rondo.queries import ORACLES, QUERIES
 from rondo.schemas import LOG_WITH_ID, PRIMARY_KEYS
 from rondo.sources.views import staging_events, staging_songs
 
@@ -76,7 +79,14 @@ def test_builders_stay_in_the_jvm(spark, name):
     assert "Python" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
 
 
+def test_the_library_stands_without_its_optional_subpackage(monkeypatch):
+    known = importlib.util.find_spec
+    monkeypatch.setattr(importlib.util, "find_spec", lambda name, *a: None if ".llm" in name else known(name, *a))
+    assert set(queries()) == set(QUERIES) and set(oracle_sql()) == set(ORACLES)
+    package = Path(star.__file__).parent.parent
+    assert not [p for p in package.rglob("*.py") if "llm" not in p.parts and "rondo.llm" in p.read_text()]
+
+
 def test_registry_is_consistent():
-    assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"surrogate_monotonic", "songs_generated_number"}
+    assert set(ORACLES) == set(QUERIES)
     assert "event_id" in LOG_WITH_ID.names and set(PRIMARY_KEYS) >= {"songplays", "music_log"}

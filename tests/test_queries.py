@@ -5,7 +5,8 @@ from __future__ import annotations
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from rondo.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["nation", "customer", "part", "events", "documents"]
@@ -24,14 +25,14 @@ def normal(rows, columns):
     return sorted(tuple(repr(row[i]) for i in at) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    df = queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     got = normal([tuple(r) for r in df.collect()], df.columns)
-    if name not in oracle_sql():
+    if name not in ORACLES:
         assert got
         return
-    want = duck.sql(oracle_sql()[name])
+    want = duck.sql(ORACLES[name])
     assert sorted(df.columns) == sorted(want.columns)
     assert got == normal(want.fetchall(), want.columns)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from rondo.operators.quality import (
     require_non_empty,
 )
 from rondo.plans import star
-from rondo.plans.pipeline import apply_to_all, run_pipeline
+from rondo.plans.pipeline import apply_to_all, run_keyed, run_pipeline
 from rondo.schemas import FOREIGN_KEYS, PRIMARY_KEYS, STAR
 from rondo.session import scratch_path, scratch_root
 from rondo.streaming.incremental import IncrementalLoad
@@ -136,3 +137,33 @@ def test_a_repeated_batch_writes_the_same(spark, tmp_path, rows):
 def test_scratch_comes_from_the_session(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_keyed_runs_by_day_repeat_without_change(spark, tmp_path):
+    play = dict(
+        artist="Ann", auth="Logged In", firstName="Jo", gender="F", itemInSession=0, lastName="Roe", length=200.5, level="free",
+        location="X", method="PUT", page="NextSong", registration=1.0, sessionId=1, song="Sun", status=200, ts=1541030400000,
+        userAgent="a", userId="7", event_id=1,
+    )
+    song = dict(num_songs=1, artist_id="AR1", artist_name="Ann", song_id="SO1", title="Sun", duration=200.5, year=2000)
+    days = {"2018/11/01": [{}, {"userId": "8", "sessionId": 2, "event_id": 2}], "2018/11/02": [{"ts": 1541120000000, "level": "paid", "event_id": 3}]}
+    for day, plays in days.items():
+        folder = tmp_path / "log" / day
+        folder.mkdir(parents=True)
+        (folder / "a.json").write_text("\n".join(json.dumps({**play, **p}) for p in plays))
+    (tmp_path / "songs").mkdir()
+    (tmp_path / "songs" / "s.json").write_text(json.dumps(song))
+    spark.sql("CREATE DATABASE keyed")
+    seen = []
+    try:
+        for day in (1, 2, 1, 2, 2):
+            when = date(2018, 11, day)
+            report = run_keyed(spark, str(tmp_path / "log"), str(tmp_path / "songs"), "keyed", str(tmp_path / "tables"), day=when)
+            assert report.where("failures > 0").count() == 0
+            tables = {t: sorted(map(str, spark.table(f"keyed.{t}").collect())) for t in ("songplays", "songs", "artists", "time")}
+            seen.append(tables)
+        assert len(seen[0]["songplays"]) == 2 and len(seen[1]["songplays"]) == 3
+        assert seen[1] == seen[2] == seen[3] == seen[4]
+        assert spark.table("keyed.users").count() == 2
+    finally:
+        spark.sql("DROP DATABASE keyed CASCADE")
