@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
+import duckdb
+import pytest
 
 from rondo.llm.queries import ORACLES, QUERIES
 
@@ -33,3 +35,22 @@ def test_stages_take_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_queries_equal_their_sql(spark, name):
+    duck = duckdb.connect()
+    for table in ("documents", "pages", "embeddings"):
+        duck.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    df = QUERIES[name](spark, SF)
+    want = duck.sql(ORACLES[name])
+    at = [df.columns.index(c) for c in want.columns]
+    got = sorted(tuple(repr(r[i]) for i in at) for r in df.collect())
+    assert len(at) == len(df.columns) and got == sorted(tuple(map(repr, r)) for r in want.fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+def test_queries_give_every_document(spark, name):
+    df = QUERIES[name](spark, SF)
+    ids = {r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect()}
+    assert {r.doc_id for r in df.select("doc_id").collect()} == ids
