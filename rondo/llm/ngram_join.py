@@ -47,6 +47,8 @@ _U = np.uint64
 BUCKET = 1_000_000
 #: Rounds that verify one pair for each group, before all pairs left are verified.
 ROUNDS = 3
+#: Bits of the second sketch, at most; a longer set's sketch is as valid, and passes more wrong pairs.
+MOST_BITS = 4096
 #: Members of one block of a candidate list, about.
 BLOCK = 4096
 #: Sketch words for each shingle of a band's largest set, as a fraction, or D + 1 and a tenth more if those are more.
@@ -108,8 +110,8 @@ _EMPTY = np.zeros(0, np.int64)
 
 
 def _bits(size: int) -> int:
-    """Bits in the second sketch of a set of this size."""
-    return max(64, 1 << int(size).bit_length())
+    """Bits in the second sketch of a set of this size: half as many or more, up to a number that bounds every row."""
+    return min(MOST_BITS, max(64, 1 << max(0, int(size).bit_length() - 1)))
 
 
 def _flip(hashes: np.ndarray) -> bytes:
@@ -224,20 +226,20 @@ def _shared(buckets: int):
     return run
 
 
-_SENT = "key long, part int, id long, n long, alone long, bits binary"
+_SENT = "key long, parts int, part int, id long, n long, alone long, bits binary"
 
 
 def _rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each key a class sends: (key, part of the key's list, id, set size, how many keys are its own, sketch).
+    """A row for each key a class sends: (key, parts of the key's list, part, id, set size, own keys, sketch).
 
     Also a row for each class, without a key.
     """
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-    names = ["key", "part", "id", "n", "alone", "bits"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    names = ["key", "parts", "part", "id", "n", "alone", "bits"]
     for found in _by_bucket(batches):
         known, sizes, more, sketches = found[_SETS]
         none = [pa.nulls(len(known), kind) for kind in kinds]
-        none[2:4] = pa.array(known), pa.array(sizes)
+        none[3:5] = pa.array(known), pa.array(sizes)
         yield pa.RecordBatch.from_arrays(none, names)
         if _KEYS not in found:
             continue
@@ -256,12 +258,13 @@ def _rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent = np.flatnonzero(place < np.repeat(np.where(beyond > 0, run, run + beyond), run))
         group = np.repeat(np.arange(len(run)), run)[sent]
         whose = own[group]
-        parts = (mix(ids[sent].view(_U)) % ((times[sent] - 1) // BLOCK + 1).astype(_U)).astype(np.int32)
+        parts = ((times[sent] - 1) // BLOCK + 1).astype(np.int32)
+        part = (mix(ids[sent].view(_U)) % parts.astype(_U)).astype(np.int32)
         alone = np.maximum(-beyond, 0)[group]
         for at in range(0, len(sent), 20_000):
             cut = slice(at, at + 20_000)
             bits = [sketches[by[i]] for i in whose[cut]]
-            columns = [keys[sent][cut], parts[cut], ids[sent][cut], sizes[whose][cut], alone[cut], bits]
+            columns = [keys[sent][cut], parts[cut], part[cut], ids[sent][cut], sizes[whose][cut], alone[cut], bits]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
 
@@ -296,9 +299,9 @@ def _candidates(num: int, den: int, how: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                same = row["part"] == row["part2"]
+                same = row["members2"] is None
                 sides = []
-                for x in ("members", "members2"):
+                for x in ("members", "members" if same else "members2"):
                     members = sorted(row[x], key=lambda m: (m["alone"], m["id"]))
                     sides.append([np.array([m[k] for m in members], np.int64) for k in ("id", "label", "n")] + [[m["bits"] for m in members]])
                 both = _matrix(sides[0][3] + sides[1][3])
@@ -381,10 +384,9 @@ def link_groups(
     sizes = sent.where("key IS NULL").groupBy("id").agg(F.max("n").alias("n"))
     sent = sent.where("key IS NOT NULL")
     member = F.struct("alone", "id", "n", "bits")
-    # Blocks have a bounded size; one that holds a single class matters only if its list has more.
-    blocks = sent.groupBy("key", "part").agg(F.collect_list(member).alias("members"))
-    several = blocks.groupBy("key").agg(F.sum(F.size("members")).alias("size")).where("size > 1").select("key")
-    blocks = stored(blocks.join(several, "key"), "blocks")
+    # Blocks have a bounded size; one that holds a single class matters only if its list may have others.
+    blocks = sent.groupBy("key", "parts", "part").agg(F.collect_list(member).alias("members"))
+    blocks = stored(blocks.where("parts > 1 OR size(members) > 1"), "blocks")
 
     needed = stored(blocks.select(F.explode("members.id").alias("id")).distinct(), "needed")
     texts = bloom.semi_join(rows, needed, "id", needed.count())
@@ -430,12 +432,18 @@ def _paired(blocks: DataFrame, labels: DataFrame | None) -> DataFrame:
     else:
         ids = blocks.select("key", F.explode("members.id").alias("id")).join(labels, "id")
         several = ids.groupBy("key").agg(F.min("label").alias("_l"), F.max("label").alias("_h")).where("_l < _h")
-        rows = blocks.join(several.select("key"), "key").select("key", "part", F.explode("members").alias("_m"))
-        rows = rows.select("key", "part", "_m.*").join(labels, "id")
+        several = stored(several.select("key"), "mixed")
+        rows = bloom.semi_join(blocks, several, "key", several.count())
+        rows = rows.select("key", "parts", "part", F.explode("members").alias("_m"))
+        rows = rows.select("key", "parts", "part", "_m.*").join(labels, "id")
         member = F.struct("alone", "id", "n", "bits", "label")
-        whole = stored(rows.groupBy("key", "part").agg(F.collect_list(member).alias("members")), "labelled")
-    other = whole.select("key", F.col("part").alias("part2"), F.col("members").alias("members2"))
-    return whole.join(other, "key").where("part <= part2")
+        whole = stored(rows.groupBy("key", "parts", "part").agg(F.collect_list(member).alias("members")), "labelled")
+    # A block meets itself without a join; only lists of several blocks are joined.
+    alone = whole.withColumn("members2", F.lit(None).cast(whole.schema["members"].dataType)).select("members", "members2")
+    longer = whole.where("parts > 1")
+    other = longer.select("key", F.col("part").alias("part2"), F.col("members").alias("members2"))
+    two = longer.join(other, "key").where("part < part2").select("members", "members2")
+    return alone.unionByName(two)
 
 
 def drop_near_copies(
