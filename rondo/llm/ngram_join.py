@@ -49,6 +49,8 @@ BUCKET = 1_000_000
 ROUNDS = 3
 #: Bits of the second sketch, at most; a longer set's sketch is as valid, and passes more wrong pairs.
 MOST_BITS = 4096
+#: Members up to which a block is compared pair by pair.
+FEW = 12
 #: Members of one block of a candidate list, about.
 BLOCK = 4096
 #: Sketch words for each shingle of a band's largest set, as a fraction, or D + 1 and a tenth more if those are more.
@@ -277,6 +279,15 @@ def _matrix(bits: list[bytes]) -> np.ndarray:
     return out
 
 
+def _apart(a: bytes, b: bytes) -> int:
+    """Hamming distance of two sketches, the longer one folded."""
+    while len(a) != len(b):
+        a, b = sorted((a, b), key=len)
+        half = len(b) // 2
+        b = (int.from_bytes(b[:half]) ^ int.from_bytes(b[half:])).to_bytes(half)
+    return (int.from_bytes(a) ^ int.from_bytes(b)).bit_count()
+
+
 def _close(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray, num: int, den: int) -> np.ndarray:
     """Which pairs of rows may link, by their sizes and sketches."""
     ok = (np.minimum.outer(n_left, n_right) * den) >= (np.maximum.outer(n_left, n_right) * num)
@@ -296,33 +307,59 @@ def _candidates(num: int, den: int, how: str):
     """
     names = ["a", "b", "la", "lb"]
 
+    def few(members: list[dict]) -> Iterator[tuple[int, int, int, int]]:
+        """Pairs of a short block, without the cost of making arrays."""
+        met: set[int] = set()
+        for at, one in enumerate(members):
+            if how == "each" and one["label"] in met:
+                continue
+            for other in members[:at]:
+                low, high = sorted((one["n"], other["n"]))
+                if one["label"] == other["label"] or low * den < high * num:
+                    continue
+                if _apart(one["bits"], other["bits"]) <= difference(low, high, num, den):
+                    yield one["id"], other["id"], one["label"], other["label"]
+                    if how == "each":
+                        met.add(one["label"])
+                        break
+
+    def many(members: list[dict], others: list[dict], same: bool) -> Iterator[tuple[int, int, int, int]]:
+        sides = [[np.array([m[k] for m in x], np.int64) for k in ("id", "label", "n")] for x in (members, others)]
+        both = _matrix([m["bits"] for m in members] + [m["bits"] for m in others])
+        left, right = both[: len(members)], both[len(members) :]
+        (ids, labels, sizes), (ids2, labels2, sizes2) = sides
+        met: set[int] = set()
+        for at in range(0, len(ids), 512):
+            cut = slice(at, at + 512)
+            ok = _close(left[cut], right, sizes[cut], sizes2, num, den)
+            ok &= labels[cut, None] != labels2[None, :]
+            if same:
+                ok &= np.arange(len(ids))[cut, None] > np.arange(len(ids2))[None, :]
+            if how == "all":
+                i, j = np.nonzero(ok)
+                i = i + at
+            else:
+                rows = np.flatnonzero(ok.any(1))
+                rows = np.array([r for r in rows if (x := int(labels[r + at])) not in met and not met.add(x)], np.int64)
+                i, j = rows + at, ok[rows].argmax(1)
+            yield from zip(ids[i].tolist(), ids2[j].tolist(), labels[i].tolist(), labels2[j].tolist())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = lambda m: (m["alone"], m["id"])
         for batch in batches:
-            for row in batch.to_pylist():
-                same = row["members2"] is None
-                sides = []
-                for x in ("members", "members" if same else "members2"):
-                    members = sorted(row[x], key=lambda m: (m["alone"], m["id"]))
-                    sides.append([np.array([m[k] for m in members], np.int64) for k in ("id", "label", "n")] + [[m["bits"] for m in members]])
-                both = _matrix(sides[0][3] + sides[1][3])
-                left, right = both[: len(sides[0][3])], both[len(sides[0][3]) :]
-                (ids, labels, sizes, _), (ids2, labels2, sizes2, _) = sides
-                met: set[int] = set()
-                for at in range(0, len(ids), 512):
-                    cut = slice(at, at + 512)
-                    ok = _close(left[cut], right, sizes[cut], sizes2, num, den)
-                    ok &= labels[cut, None] != labels2[None, :]
-                    if same:
-                        ok &= np.arange(len(ids))[cut, None] > np.arange(len(ids2))[None, :]
-                    if how == "all":
-                        i, j = np.nonzero(ok)
-                        i = i + at
-                    else:
-                        rows = np.flatnonzero(ok.any(1))
-                        rows = np.array([r for r in rows if (x := int(labels[r + at])) not in met and not met.add(x)], np.int64)
-                        i, j = rows + at, ok[rows].argmax(1)
-                    if len(i):
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (ids[i], ids2[j], labels[i], labels2[j])], names)
+            out: list[tuple[int, int, int, int]] = []
+            for i in range(batch.num_rows):
+                members, others = (batch.column(c)[i].as_py() for c in ("members", "members2"))
+                members = sorted(members, key=order)
+                if others is None and len(members) <= FEW:
+                    out.extend(few(members))
+                else:
+                    out.extend(many(members, members if others is None else sorted(others, key=order), others is None))
+                if len(out) > 100_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names)
+                    out = []
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names)
 
     return run
 
