@@ -59,8 +59,11 @@ def assign(sizes: list[tuple[int, int, int]], shards: int) -> dict[int, int]:
     return out
 
 
-def rebalance(sizes: list[tuple[int, int, int]], old: dict[int, int], shards: int) -> dict[int, int]:
-    """The next map: new slots go to the emptiest shard, then slots move from the fullest to the emptiest while that helps."""
+def rebalance(sizes: list[tuple[int, int, int]], old: dict[int, int], shards: int, close: float = 0.01) -> dict[int, int]:
+    """The next map: new slots go to the emptiest shard, then slots move from the fullest to the emptiest.
+
+    They do until the fullest shard is within the share ``close`` of the mean, or no move helps.
+    """
     out, loads = {}, [0] * shards
     size_of = {slot: size for slot, size, _ in sizes}
     for slot, size, _ in sizes:
@@ -76,6 +79,8 @@ def rebalance(sizes: list[tuple[int, int, int]], old: dict[int, int], shards: in
         held[shard].add(slot)
     for _ in range(len(out)):
         full, empty = (f(range(shards), key=loads.__getitem__) for f in (max, min))
+        if loads[full] * shards <= (1 + close) * sum(loads):
+            break
         gap = loads[full] - loads[empty]
         fitting = [s for s in held[full] if 0 < size_of[s] < gap]
         if not fitting:
