@@ -67,7 +67,7 @@ class Block:
         places: list[np.ndarray] = [np.zeros(0, np.int64)] * len(ids)
         scores: list[np.ndarray] = [np.zeros(0, np.int64)] * len(ids)
         met = np.zeros((len(ids), n), bool)
-        active, bar = np.arange(len(ids)), floor.copy()
+        active, bar = np.flatnonzero(floor < np.inf), floor.copy()  # an infinite floor leaves the query out
         depth, step = 0, 1
         while len(active) and depth < n:
             # The bound from the values the lists show next: nothing deeper scores more.
@@ -112,26 +112,28 @@ def _matrix(values: pa.Scalar, rows: int) -> np.ndarray:
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Vectors of one block, in order, as one row: block, ids, vectors, floors."""
-    names, held, at = ["block", "ids", "vectors", "floors"], [], None
+    """Vectors of one block, in order, as one row: block, ids, vectors, floors, homes."""
+    names, held, at = ["block", "ids", "vectors", "floors", "homes"], [], None
 
     def row() -> pa.RecordBatch:
-        ids, vectors, floors = zip(*held)
-        packed = np.array(ids, np.int64).tobytes(), np.array(vectors, np.float64).tobytes(), np.array(floors, np.float64).tobytes()
-        return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), *(pa.array([p], pa.binary()) for p in packed)], names)
+        kinds = np.int64, np.float64, np.float64, np.int64
+        packed = [pa.array([np.array(c, k).tobytes()], pa.binary()) for c, k in zip(zip(*held), kinds)]
+        return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), *packed], names)
 
     for batch in batches:
-        for block, vec_id, vector, floor in zip(*(batch.column(c).to_pylist() for c in ("block", "vec_id", "v", "floor"))):
+        for block, vec_id, vector, floor, home in zip(*(batch.column(c).to_pylist() for c in ("block", "vec_id", "v", "floor", "home"))):
             if held and (block != at or len(held) >= 2 * BLOCK):
                 yield row()
                 held = []
             at = block
-            held.append((vec_id, vector, -np.inf if floor is None else floor))
+            held.append((vec_id, vector, -np.inf if floor is None else floor, _NOWHERE if home is None else home))
     if held:
         yield row()
 
 
-_PACKED = "block long, ids binary, vectors binary, floors binary"
+#: The home of a query that no block is left out for.
+_NOWHERE = -(1 << 63)
+_PACKED = "block long, ids binary, vectors binary, floors binary, homes binary"
 
 
 def _packed(rows: DataFrame, blocks: int) -> DataFrame:
@@ -139,19 +141,24 @@ def _packed(rows: DataFrame, blocks: int) -> DataFrame:
 
 
 def _walk(k: int):
-    """Each query block of a row searched in its vector block; the lists of a block are kept while it stays the same."""
+    """Each query block of a row searched in its vector block, but for queries that were searched there already.
+
+    The lists of a block are kept while it stays the same.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, block = None, None
         for batch in batches:
             for i in range(batch.num_rows):
-                ids, vectors, q_ids, q_vectors, floors = (batch.column(c)[i] for c in ("ids", "vectors", "q_ids", "q_vectors", "floors"))
+                columns = ("ids", "vectors", "q_ids", "q_vectors", "floors", "homes")
+                ids, vectors, q_ids, q_vectors, floors, homes = (batch.column(c)[i] for c in columns)
                 own = np.frombuffer(ids.as_py(), np.int64)
                 if key is None or key != (own.tobytes(), vectors.as_py()):
                     key = own.tobytes(), vectors.as_py()
                     block = Block(own, _matrix(vectors, len(own)))
                 asked = np.frombuffer(q_ids.as_py(), np.int64)
-                floor = np.frombuffer(floors.as_py(), np.float64)
+                here = np.frombuffer(homes.as_py(), np.int64) == batch.column("block")[i].as_py()
+                floor = np.where(here, np.inf, np.frombuffer(floors.as_py(), np.float64))
                 for q, found, scores in block.search(asked, _matrix(q_vectors, len(asked)), floor, k):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(found), asked[q])), pa.array(found), pa.array(scores)], ["query_id", "vec_id", "score"]
@@ -181,23 +188,22 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, vector: str = "embe
     rows = stored(rows.select("vec_id", "v", "_query", "dim", F.xxhash64("dim", "lead", part).alias("block")), "blocks")
     total = rows.count()
     tasks = max(1, -(-total // BLOCK))
-    whole = stored(_packed(rows.withColumn("floor", F.lit(None).cast("double")), tasks), "packed").drop("floors")
+    bare = {"floor": F.lit(None).cast("double"), "home": F.lit(None).cast("long")}
+    whole = stored(_packed(rows.withColumns(bare), tasks), "packed").drop("floors", "homes")
     dims = rows.select("block", "dim").distinct()
 
     asked = rows.where("_query").drop("_query")
-    home = _packed(asked.withColumn("floor", F.lit(None).cast("double")), tasks)
-    found = _joined(whole, home).mapInArrow(_walk(k), _FOUND)
+    found = _joined(whole, _packed(asked.withColumns(bare), tasks)).mapInArrow(_walk(k), _FOUND)
     first = stored(found, "first-round")
     floors = _best(first, k).where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("floor"))
-    # Queries of the second round are packed anew, now by a hash, with their floors, and meet every other block.
+    # Queries of the second round are packed anew, by a hash, with their floors, and meet every block but their own.
     groups = max(1, -(-asked.count() // QUERIES))
     second = asked.withColumn("home", F.col("block")).join(floors, "vec_id", "left")
-    group = F.xxhash64("dim", "home", F.pmod(F.xxhash64("vec_id"), F.lit(groups)))
-    names = second.select(group.alias("group"), "dim", "home").distinct()
-    packed = _packed(second.select(group.alias("block"), "vec_id", "v", "floor"), max(1, min(tasks, groups)))
-    meets = names.join(dims, "dim").where("block != home").select("group", "block")
-    packed = packed.withColumnRenamed("block", "group").join(meets, "group")
-    rest = _joined(whole, packed.drop("group")).mapInArrow(_walk(k), _FOUND)
+    second = second.withColumn("group", F.xxhash64("dim", F.pmod(F.xxhash64("vec_id"), F.lit(groups))))
+    packed = _packed(second.select(F.col("group").alias("block"), "vec_id", "v", "floor", "home"), max(1, min(tasks, groups)))
+    meets = second.select("group", "dim").distinct().join(dims, "dim").select("group", "block")
+    packed = stored(packed, "asked").withColumnRenamed("block", "group").join(meets, "group").drop("group")
+    rest = _joined(whole, packed).mapInArrow(_walk(k), _FOUND)
     best = _best(first.unionByName(rest), k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
@@ -206,5 +212,5 @@ _FOUND = "query_id long, vec_id long, score long"
 
 
 def _joined(whole: DataFrame, asked: DataFrame) -> DataFrame:
-    asked = asked.select("block", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), "floors")
-    return whole.join(asked, "block").select("ids", "vectors", "q_ids", "q_vectors", "floors")
+    asked = asked.select("block", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), "floors", "homes")
+    return whole.join(asked, "block").select("block", "ids", "vectors", "q_ids", "q_vectors", "floors", "homes")
