@@ -87,7 +87,7 @@ def _pick(chosen: np.ndarray):
 
 
 def train(
-    positive: list[np.ndarray], unlabelled: list[np.ndarray], size: int, prior: float, steps: int = 600, decay: float = 3e-4
+    positive: list[np.ndarray], unlabelled: list[np.ndarray], size: int, prior: float, steps: int = 800, decay: float = 1e-4
 ) -> np.ndarray:
     """Weights and, last, the bias of one logistic classifier with the least non-negative risk, by Adam."""
 
@@ -101,16 +101,18 @@ def train(
     sigmoid = lambda x: 0.5 * (1 + np.tanh(x / 2))
     for step in range(1, steps + 1):
         scores = [np.bincount(of, weights[at], n) + weights[-1] for of, at, n in sets]
-        loss_minus = [np.logaddexp(0, s).mean() for s in scores]
-        negative_part = loss_minus[1] - prior * loss_minus[0]
-        on_positive = prior * (sigmoid(scores[0]) - 1)
-        on_unlabelled = np.zeros(len(scores[1]))
+        # The sigmoid loss of a score s is sigmoid(s) for a negative and sigmoid(-s) for a positive text. It is bounded,
+        # so positives scored high can't make the estimate of the negatives' risk small by themselves.
+        chance = [sigmoid(s) for s in scores]
+        slope = [c * (1 - c) for c in chance]
+        negative_part = chance[1].mean() - prior * chance[0].mean()
+        on_positive, on_unlabelled = -prior * slope[0], np.zeros(len(scores[1]))
         if negative_part >= 0:
-            on_positive = on_positive - prior * sigmoid(scores[0])
-            on_unlabelled = sigmoid(scores[1])
+            on_positive = on_positive - prior * slope[0]
+            on_unlabelled = slope[1]
         else:  # the estimate fell below zero: step back along it
-            on_positive = prior * sigmoid(scores[0])
-            on_unlabelled = -sigmoid(scores[1])
+            on_positive = prior * slope[0]
+            on_unlabelled = -slope[1]
         gradient = decay * weights
         gradient[-1] = 0
         for (of, at, n), g in zip(sets, (on_positive, on_unlabelled)):
