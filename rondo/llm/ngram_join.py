@@ -44,7 +44,7 @@ from rondo.llm.words import mix, shingle_sets
 
 _U = np.uint64
 #: Sketch words in one shuffle bucket, about; 16 bytes each.
-BUCKET = 1_000_000
+BUCKET = 400_000
 #: Rounds that verify one pair for each group, before all pairs left are verified.
 ROUNDS = 3
 #: Bits of the second sketch, at most; a longer set's sketch is as valid, and passes more wrong pairs.
@@ -369,7 +369,7 @@ def _verify(num: int, den: int, size: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
             a, b = (batch.column(c).to_numpy() for c in "ab")
             _, first, of = np.unique(b, return_index=True, return_inverse=True)
             order = np.argsort(of, kind="stable")

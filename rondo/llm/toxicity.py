@@ -177,7 +177,8 @@ def fit(
 def _scorer(chosen: np.ndarray, weights: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = _chosen_in(chosen)
-        for batch in batches:
+        # Short pieces keep the copies on their way out small.
+        for batch in (whole.slice(at, 1000) for whole in batches for at in range(0, whole.num_rows, 1000)):
             scores = np.zeros(batch.num_rows)
             if len(weights):
                 for i, slots in enumerate(_slots(batch.column("_text"))):

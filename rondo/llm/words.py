@@ -14,7 +14,7 @@ import pyarrow as pa
 
 _U = np.uint64
 #: Texts are worked on in slices of about this many bytes, which bounds memory; one text is cut at white space.
-SLICE = 1 << 20
+SLICE = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
