@@ -7,8 +7,9 @@ reach probability 1 stay there while the factor of the others grows. A hash of t
 the same ones.
 
 Categories that a target does not name form one category, "other", so there are at most (sources + 1) * (languages + 1) *
-(topics + 1) cells whatever the data hold; only their sums reach the driver. A target share whose category has no tokens is spread over
-the rest.
+(topics + 1) cells whatever the data hold; only their sums reach the driver. Unless the target gives "other" a share, it keeps the one
+it has of all tokens, and the named shares are scaled to the rest. A target share whose category has no tokens is spread over the other
+named ones.
 
 Defined cases: a null category is "other". Null and empty texts have one token, so that they are drawn like others. Repeated rows
 share their draw. Extra columns pass through ``mix``. An empty table gives an empty result.
@@ -81,6 +82,21 @@ def probabilities(weights: np.ndarray, sums: np.ndarray, budget: float | None, m
     return np.minimum(chance, most)
 
 
+def goals_of(sums: np.ndarray, targets: Targets, names: list[list[str]]) -> list[np.ndarray]:
+    """Shares of each axis's categories that the targets ask for; ``names`` has the categories, the last of them "other"."""
+    out = []
+    for axis, (own, named) in enumerate(zip(names, targets.values())):
+        now = sums.sum(tuple(i for i in range(sums.ndim) if i != axis))
+        goal = np.where(now > 0, [float(named.get(n, 0.0)) for n in own], 0.0)
+        if OTHER not in named:
+            # Documents without a named category are as frequent after as before.
+            kept = now[-1] / max(now.sum(), 1e-300)
+            goal *= (1 - kept) / goal.sum() if goal.sum() else 0.0
+            goal[-1] = kept
+        out.append(goal)
+    return out
+
+
 def _category(column: Column, named: Mapping[str, float]) -> Column:
     names = [n for n in named if n != OTHER]
     return F.when(column.isin(names), column).otherwise(F.lit(OTHER))
@@ -97,9 +113,7 @@ def calibrated(
     # At most one row a cell.
     for key, total in rows.groupBy("_cell").agg(F.sum("_tokens")).collect():
         sums[tuple(n.index(part) for n, part in zip(names, key.split("\x1f")))] = total
-    goals = [np.array([float(targets[c].get(n, 0.0)) for n in own]) for c, own in zip(targets, names)]
-    # A category without a target of its own keeps its share of the tokens that have none.
-    weights = rake(sums, goals)
+    weights = rake(sums, goals_of(sums, targets, names))
     chances = probabilities(weights, sums, keep * sums.sum() if sums.sum() else None)
     cells = {
         "\x1f".join(own[i] for own, i in zip(names, at)): (float(sums[at]), float(chances[at])) for at in np.ndindex(sums.shape) if sums[at]

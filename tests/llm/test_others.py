@@ -126,6 +126,23 @@ def test_mixing(make):
     assert mixing.plan(make([]), targets, columns).count() == 0
 
 
+def test_mixing_keeps_what_the_targets_do_not_name(spark):
+    langs = ["en"] * 4 + ["de", "fr", "es", None, "xx", None]
+    rows = [(i, f"word {i}", langs[i % 10], None if i % 9 == 0 else "web" if i % 9 == 1 else f"src{i % 20}") for i in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    plan = mixing.plan(docs, mixing.TARGETS, mixing.columns_of(), 0.5).join(docs, "doc_id").collect()
+    assert min(r.probability for r in plan) > 0
+    kept = sum(r.tokens * r.probability for r in plan)
+    share = lambda on: sum(r.tokens * r.probability for r in plan if on(r)) / kept
+    assert abs(share(lambda r: r.lang in (None, "xx")) - 0.3) < 0.02
+    assert abs(share(lambda r: r.source in (None, "web")) - 2 / 9) < 0.02
+    drawn = [r for r in plan if r.drawn]
+    for odd in (None, "xx"):
+        assert any(r.lang == odd for r in drawn)
+    for odd in (None, "web"):
+        assert any(r.source == odd for r in drawn)
+
+
 def test_quality(spark, make, prose):
     pairs, ratings = [], []
     for i in range(600):
