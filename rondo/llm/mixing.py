@@ -2,8 +2,10 @@
 
 Tokens are summed per cell (source, language, topic). The cells are raked: their weights are scaled to each marginal target in
 turn until all hold. A cell's weight over its tokens, times one factor, is the probability with which its documents are
-kept; the factor is the largest with which no probability passes ``most``, or the one that fills the token ``budget``. Cells that
-reach probability 1 stay there while the factor of the others grows. A hash of the id and the text draws the documents, so a rerun keeps
+kept; the factor is the largest with which no probability passes ``most``, or the one that fills the token ``budget``. Where cells would
+pass probability 1, the raking goes on under that cap until the targets hold again. A target beyond all tokens of its category takes all of
+them, and the others share the rest as their targets are. Targets that contradict each other under the cap hold on the last axis, and
+nearly so on the others; no cell falls below a hundredth of the share to keep. ``marginals`` has what is reached. A hash of the id and the text draws the documents, so a rerun keeps
 the same ones.
 
 Categories that a target does not name form one category, "other", so there are at most (sources + 1) * (languages + 1) *
@@ -63,8 +65,47 @@ def rake(sums: np.ndarray, targets: list[np.ndarray], rounds: int = 200, close:
     return weights
 
 
-def probabilities(weights: np.ndarray, sums: np.ndarray, budget: float | None, most: float = 1.0) -> np.ndarray:
-    """Chance of each cell's documents to stay: weight over tokens, scaled to the budget, ``most`` at most."""
+def _level(raw: np.ndarray, least: np.ndarray, most: np.ndarray, goal: np.ndarray) -> np.ndarray:
+    """A factor for each row of ``raw`` with which its values, cut at ``least`` and ``most``, add up to the row's goal."""
+    low = np.full(len(raw), -500.0)
+    high = np.full(len(raw), 500.0)
+    for _ in range(70):
+        middle = (low + high) / 2
+        kept = np.clip(raw * np.exp(middle)[:, None], least, most).sum(1)
+        low, high = np.where(kept < goal, middle, low), np.where(kept < goal, high, middle)
+    return np.exp(high)
+
+
+def rake_capped(
+    raw: np.ndarray, sums: np.ndarray, goals: list[np.ndarray], budget: float, most: float = 1.0, rounds: int = 200, close: float = 1e-9
+) -> np.ndarray:
+    """Chances in proportion to ``raw`` but for a factor per category, cut at ``most``, that keep ``budget`` tokens with the goals' marginals."""
+    high = np.where(raw > 0, most * sums, 0.0)
+    low = high * (budget / max(sums.sum(), 1e-300) / 100)
+    kept, weights = np.clip(raw * sums, low, high), raw * sums
+    for _ in range(rounds):
+        before = kept
+        for axis, goal in enumerate(goals):
+            flat = lambda cells: np.moveaxis(cells, axis, 0).reshape(len(goal), -1)  # noqa: B023, E731
+            least, all_ = flat(low).sum(1), flat(high).sum(1)
+            # The goals first: no category gives more than it has.
+            shares = np.where(all_ > 0, goal, 0.0)[None]
+            tokens_ = np.clip(shares * _level(shares, least, all_, np.array([min(budget, all_.sum())])), least, all_)[0]
+            factor = _level(flat(weights), flat(low), flat(high), tokens_)
+            weights = np.minimum(weights * factor.reshape([-1 if i == axis else 1 for i in range(weights.ndim)]), 1e100)
+        kept = np.clip(weights, low, high)
+        if np.abs(kept - before).max(initial=0) < close * budget:
+            break
+    return np.divide(kept, sums, out=np.zeros_like(kept), where=sums > 0)
+
+
+def probabilities(
+    weights: np.ndarray, sums: np.ndarray, budget: float | None, most: float = 1.0, goals: list[np.ndarray] | None = None
+) -> np.ndarray:
+    """Chance of each cell's documents to stay: weight over tokens, scaled to the budget, ``most`` at most.
+
+    With ``goals``, the marginals' targets, cells are raked again under that cap if one reaches it.
+    """
     raw = np.divide(weights, sums, out=np.zeros_like(weights), where=sums > 0)
     if not raw.max(initial=0):
         return raw
@@ -79,6 +120,8 @@ def probabilities(weights: np.ndarray, sums: np.ndarray, budget: float | None, m
         if not over.any():
             break
         full |= over
+    if goals is not None and full.any():
+        return rake_capped(chance, sums, goals, budget, most)
     return np.minimum(chance, most)
 
 
@@ -113,8 +156,8 @@ def calibrated(
     # At most one row a cell.
     for key, total in rows.groupBy("_cell").agg(F.sum("_tokens")).collect():
         sums[tuple(n.index(part) for n, part in zip(names, key.split("\x1f")))] = total
-    weights = rake(sums, goals_of(sums, targets, names))
-    chances = probabilities(weights, sums, keep * sums.sum() if sums.sum() else None)
+    goals = goals_of(sums, targets, names)
+    chances = probabilities(rake(sums, goals), sums, keep * sums.sum() if sums.sum() else None, goals=goals)
     cells = {
         "\x1f".join(own[i] for own, i in zip(names, at)): (float(sums[at]), float(chances[at])) for at in np.ndindex(sums.shape) if sums[at]
     }
@@ -124,6 +167,18 @@ def calibrated(
     return rows.withColumn("_chance", F.element_at(chance, F.col("_cell"))), cells
 
 
+def marginals(cells: dict, targets: Targets) -> dict[str, dict[str, tuple[float | None, float, float]]]:
+    """By column and category of ``calibrated``'s cells: target share if named, share of all tokens, share of those expected to stay."""
+    out: dict = {c: {} for c in targets}
+    tokens_, kept = sum(t for t, _ in cells.values()), sum(t * p for t, p in cells.values())
+    for key, (total, chance) in cells.items():
+        for column, part in zip(targets, key.split("\x1f")):
+            _, whole, stay = out[column].get(part, (None, 0.0, 0.0))
+            target = targets[column].get(part)
+            out[column][part] = target, whole + total / tokens_, stay + (total * chance / kept if kept else 0.0)
+    return out
+
+
 def draw(doc_id: str, text: str, seed: int) -> Column:
     """A number in [0, 1) that only the id, the text and the seed decide."""
     hashed = F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text))

@@ -126,6 +126,26 @@ def test_mixing(make):
     assert mixing.plan(make([]), targets, columns).count() == 0
 
 
+def test_raking_goes_on_under_the_cap():
+    draw = np.random.default_rng(3)
+    sums = draw.uniform(1, 9, (4, 3, 2))
+    a, b, c = (draw.uniform(0.5, 1.5, n) for n in sums.shape)
+    want = np.minimum(a[:, None, None] * b[:, None] * c, 1.0)
+    budget = (want * sums).sum()
+    goals = [(want * sums).sum(tuple(i for i in range(3) if i != axis)) / budget for axis in range(3)]
+    chance = mixing.probabilities(mixing.rake(sums, goals), sums, budget, goals=goals)
+    assert 3 < (want == 1).sum() < 20 and np.allclose(chance, want, atol=1e-4)
+    # A language of 3 % can be 6 % of half the tokens at most, and is; its missing tokens go to the others by their targets.
+    sums = np.outer([1 / 3] + [2 / 57] * 19, [0.80, 0.10, 0.07, 0.03])
+    goals = [np.full(20, 0.05), np.array([0.55, 0.15, 0.15, 0.15])]
+    chance = mixing.probabilities(mixing.rake(sums, goals), sums, 0.5, goals=goals)
+    assert np.allclose((chance * sums).sum(0) / 0.5, [0.8 * 0.55 / 0.7, 0.8 * 0.15 / 0.7, 0.14, 0.06], atol=1e-3)
+    assert np.isclose((chance * sums).sum(), 0.5) and chance.min() > 0
+    cells = {f"s{i}\x1fl{j}": (sums[i, j], chance[i, j]) for i, j in np.ndindex(sums.shape)}
+    reached = mixing.marginals(cells, {"source": {}, "lang": {"l3": 0.15}})["lang"]["l3"]
+    assert reached[0] == 0.15 and np.allclose(reached[1:], (0.03, 0.06), atol=1e-4)
+
+
 def test_mixing_keeps_what_the_targets_do_not_name(spark):
     langs = ["en"] * 4 + ["de", "fr", "es", None, "xx", None]
     rows = [(i, f"word {i}", langs[i % 10], None if i % 9 == 0 else "web" if i % 9 == 1 else f"src{i % 20}") for i in range(9000)]
