@@ -22,8 +22,10 @@ different groups, are verified, so no link between groups is missed. Lists of cl
 blocks, and blocks are compared in tasks of their own. Memory is bounded by one shuffle bucket, whose number follows the
 data, and two blocks.
 
-Defined cases: null and empty texts have an empty set, and are linked with nothing, not even each other. An id
-names one document: of rows that share an id but not the text, one is compared. Rows with a null id are linked with nothing. Extra columns are ignored. An empty table gives an empty result.
+Defined cases: null and empty texts have an empty set, and are linked with nothing, not even each other. Rows that share
+an id but not the text are documents of their own, each compared by its own text; rows that share both are one. Rows with
+a null id have their set's size and are linked with nothing. Extra columns are ignored. An empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -31,10 +33,11 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import count as numbers
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rondo.llm import bloom, exact_dedup
@@ -398,6 +401,51 @@ def _linked(pairs: DataFrame, texts: DataFrame, num: int, den: int, size: int) -
     return both.mapInArrow(_verify(num, den, size), "a long, b long")
 
 
+def _fresh(marks: DataFrame) -> DataFrame | None:
+    """(id, text_sha256, node) of classes whose smallest id names several texts, with numbers that are no document's id.
+
+    None if every id names one text. Only ids that may be repeated are shuffled.
+    """
+    named = marks.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id"), "text_sha256")
+    words = bloom.words_for(named.count())
+    hashed = F.xxhash64(F.lit(7), F.col("id"))
+    again = bloom.probe(named, hashed, words, bloom.repeated(named, hashed, words)).where("_maybe")
+    several = again.groupBy("id").agg(F.min("text_sha256").alias("_l"), F.max("text_sha256").alias("_h")).where("_l < _h")
+    several = stored(several.select("id"), "shared-ids")
+    many = several.count()
+    if not many:
+        return None
+    kept = marks.select(F.col("keep_id").cast("long").alias("id"), "text_sha256").where("id IS NOT NULL")
+    kept = bloom.semi_join(kept, several, "id", many).distinct()
+    for salt in numbers():
+        fresh = stored(kept.withColumn("node", F.xxhash64(F.lit(salt), "id", "text_sha256")), "fresh-ids")
+        ids = fresh.select(F.col("node").alias("id"))
+        if ids.distinct().count() == ids.count() and bloom.semi_join(named, ids, "id", ids.count()).isEmpty():
+            return fresh
+
+
+def _noded(rows: DataFrame, fresh: DataFrame | None, digest: Column) -> DataFrame:
+    """The rows with ``id`` replaced by their class's number, where it has one of its own; most rows don't move."""
+    if fresh is None:
+        return rows
+    words = bloom.words_for(fresh.count())
+    hashed = F.xxhash64(F.lit(7), F.col("id"))
+    probed = bloom.probe(rows, hashed, words, bloom.members(fresh, hashed, words))
+    some = probed.where("_maybe").drop("_maybe").withColumn("_digest", digest)
+    own = fresh.select("id", F.col("text_sha256").alias("_digest"), "node")
+    some = some.join(own, ["id", "_digest"], "left").withColumn("id", F.coalesce("node", "id"))
+    return probed.where("NOT _maybe").drop("_maybe").unionByName(some.select(*rows.columns))
+
+
+def _sizes(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [len(hashes) for hashes in shingle_sets(batch.column("text"), size)]
+            yield pa.RecordBatch.from_arrays([batch.column("text_sha256"), pa.array(found, pa.int64())], ["text_sha256", "_n"])
+
+    return run
+
+
 def link_groups(
     docs: DataFrame, shingle: int, num: int, den: int, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
@@ -406,9 +454,19 @@ def link_groups(
     Documents link when den * |A and B| >= num * |A or B|. class_id is the smallest id with an equal text but for white
     space, component_id the smallest id reachable by links.
     """
+    return _groups(docs, shingle, num, den, text, doc_id)[0].select("doc_id", "n_shingles", "class_id", "component_id")
+
+
+def _groups(
+    docs: DataFrame, shingle: int, num: int, den: int, text: str, doc_id: str
+) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of ``link_groups`` with text_sha256 and whether the document stays for its group, and the fresh ids."""
     marks = stored(exact_dedup.mark(docs, text, doc_id), "marks")
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).where("id IS NOT NULL")
-    classes = exact_dedup.dedup(rows, "text", "id")
+    fresh = _fresh(marks)
+    digest = F.sha2(exact_dedup.normalised(F.col("text")).cast("binary"), 256)
+    every = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+    rows = every.where("id IS NOT NULL")
+    classes = _noded(exact_dedup.dedup(rows, "text", "id"), fresh, digest)
     # A word of text takes about six bytes; in its two bands a shingle has so many sketch words.
     volume = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     each = 2 * max(1.1 * (den - num) / num, WORDS[0] / WORDS[1])
@@ -426,7 +484,7 @@ def link_groups(
     blocks = stored(blocks.where("parts > 1 OR size(members) > 1"), "blocks")
 
     needed = stored(blocks.select(F.explode("members.id").alias("id")).distinct(), "needed")
-    texts = bloom.semi_join(rows, needed, "id", needed.count())
+    texts = bloom.semi_join(_noded(rows, fresh, digest), needed, "id", needed.count())
     texts = stored(texts.dropDuplicates(["id"]), "texts")
     labels = needed.withColumn("label", F.col("id"))
     tested = None
@@ -449,13 +507,31 @@ def link_groups(
         labels = stored(labels.select("id", F.coalesce("root", "label").alias("label")), "labels")
 
     nodes = sizes.join(labels, "id", "left").select(
-        F.col("id").alias("class_id"), F.col("n").alias("n_shingles"), F.coalesce("label", "id").alias("component_id")
-    )
-    out = marks.select("doc_id", F.col("keep_id").cast("long").alias("class_id")).join(nodes, "class_id", "left")
-    group = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id"))
-    return out.select(
-        "doc_id", "n_shingles", "class_id", F.coalesce(group, F.col("doc_id").cast("long")).alias("component_id")
+        "id", F.col("n").alias("n_shingles"), F.coalesce("label", "id").alias("component_id")
     )
+    if fresh is not None:
+        # The smallest id of a group's classes, and the class it stands for.
+        own = fresh.select(F.col("id").alias("_id"), "text_sha256", F.col("node").alias("id"))
+        order = F.struct(F.coalesce("_id", "id").alias("_least"), F.coalesce("text_sha256", F.lit("")), F.col("id").alias("_first"))
+        firsts = nodes.join(own, "id", "left").groupBy("component_id").agg(F.min(order).alias("_order"))
+        nodes = nodes.join(firsts.select("component_id", "_order._least", "_order._first"), "component_id")
+        nodes = nodes.select("id", "n_shingles", F.col("_least").alias("component_id"), "_first")
+    else:
+        nodes = nodes.withColumn("_first", F.col("component_id"))
+    of = marks.select("doc_id", F.col("keep_id").cast("long").alias("class_id"), "text_sha256")
+    of = _noded(of.withColumn("id", F.col("class_id")), fresh, F.col("text_sha256"))
+    out = of.join(nodes, "id", "left")
+    if not marks.where("keep_id IS NULL").isEmpty():
+        # Texts that only rows without an id have.
+        bare = every.where("id IS NULL").select(digest.alias("text_sha256"), "text")
+        bare = bare.mapInArrow(_sizes(shingle), "text_sha256 string, _n long").groupBy("text_sha256").agg(F.max("_n").alias("_n"))
+        alone = out.where("class_id IS NULL").join(bare, "text_sha256").withColumn("n_shingles", F.col("_n")).drop("_n")
+        out = out.where("class_id IS NOT NULL").unionByName(alone)
+    linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    group = F.coalesce(F.when(linked, F.col("component_id")), F.col("doc_id").cast("long"))
+    stays = ~F.coalesce(linked, F.lit(False)) | ((F.col("doc_id") == F.col("component_id")) & (F.col("id") == F.col("_first")))
+    out = out.select("doc_id", "n_shingles", "class_id", group.alias("component_id"), "text_sha256", stays.alias("stays"))
+    return out, fresh
 
 
 def _paired(blocks: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -486,7 +562,20 @@ def _paired(blocks: DataFrame, labels: DataFrame | None) -> DataFrame:
 def drop_near_copies(
     docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
-    """One document of each group stays, the one with the smallest id. Rows with a null id stay."""
-    groups = link_groups(docs, shingle, num, den, text, doc_id)
-    gone = stored(groups.where("doc_id != component_id").select(F.col("doc_id").alias(doc_id)), "gone")
-    return bloom.anti_join(docs, gone, doc_id, gone.count())
+    """One document of each group stays, the one with the smallest id. Rows with a null id stay.
+
+    Of a group's texts that share the smallest id, one stays.
+    """
+    groups, fresh = _groups(docs, shingle, num, den, text, doc_id)
+    gone = stored(groups.where("NOT stays").select(F.col("doc_id").alias(doc_id), "text_sha256"), "gone")
+    if fresh is None:
+        return bloom.anti_join(docs, gone, doc_id, gone.count())
+    # An id may name texts that go and others that stay; only rows whose id is among those that go are shuffled.
+    words = bloom.words_for(gone.count())
+    hashed = F.xxhash64(F.lit(7), F.col(doc_id))
+    probed = bloom.probe(docs, hashed, words, bloom.members(gone, hashed, words))
+    digest = F.sha2(exact_dedup.normalised(F.col(text)).cast("binary"), 256)
+    some = probed.where("_maybe").drop("_maybe").withColumn("_digest", digest)
+    listed = gone.select(doc_id, F.col("text_sha256").alias("_digest")).distinct()
+    some = some.join(listed, [doc_id, "_digest"], "left_anti").select(*docs.columns)
+    return probed.where("NOT _maybe").select(*docs.columns).unionByName(some)

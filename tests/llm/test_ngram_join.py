@@ -72,6 +72,19 @@ def test_defined_cases(make):
     assert kept.columns == make(pairs).columns
 
 
+def test_texts_that_share_an_id_are_judged_by_themselves(make, prose):
+    base, other, third = (prose(seed, 60) for seed in (31, 32, 33))
+    near = lambda words, k: " ".join([*words[:-1], f"n{k}"])
+    pairs = [(3, " ".join(base)), (7, near(base, 1)), (7, " ".join(other)), (9, near(other, 2)), (5, " ".join(third)), (5, near(third, 3))]
+    pairs += [(None, "a text that no other row has"), (8, near(other, 2))]
+    rows = sorted((r.doc_id or 0, r.n_shingles, r.class_id or 0, r.component_id or 0) for r in ngram_join.link_groups(make(pairs), 3, 90, 100).collect())
+    assert rows == [(0, 5, 0, 0), (3, 58, 3, 3), (5, 58, 5, 5), (5, 58, 5, 5), (7, 58, 7, 3), (7, 58, 7, 7), (8, 58, 8, 7), (9, 58, 8, 7)]
+    kept = ngram_join.drop_near_copies(make(pairs), 3, 90, 100)
+    left = [(r.doc_id, r.text) for r in kept.collect()]
+    assert kept.columns == make(pairs).columns and len(left) == 4
+    assert {(3, " ".join(base)), (7, " ".join(other)), (None, pairs[6][1])} < set(left) and sum(i == 5 for i, _ in left) == 1
+
+
 def test_long_text_and_its_near_copy(make, prose):
     words = prose(5, 60_000, 10**6)
     pairs = [(1, " ".join(words)), (2, " ".join(words[:-100])), (3, " ".join(words[30_000:])), (4, "z" * 3_000_000)]
