@@ -177,14 +177,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, vector: str = "embe
     rows = vectors.withColumn("_query", F.coalesce(is_query, F.lit(False)))
     rows = rows.select(F.col(vec_id).cast("long").alias("vec_id"), quantised(F.col(vector)).alias("v"), "_query")
     rows = rows.where("vec_id IS NOT NULL AND v IS NOT NULL")
-    rows = rows.groupBy("vec_id").agg(F.min("v").alias("v"), F.max("_query").alias("_query"))
+    rows = rows.groupBy("vec_id", "v").agg(F.max("_query").alias("_query"))
     # Vectors with the same length and leading dimension are alike; of those, a hash makes blocks of a bounded size.
     sizes = F.transform("v", F.abs)
     lead = F.coalesce(F.array_position(sizes, F.array_max(sizes)), F.lit(0)).cast("int")
     rows = stored(rows.withColumn("dim", F.size("v")).withColumn("lead", lead), "vectors")
     counts = rows.groupBy("dim", "lead").count()
     rows = rows.join(counts, ["dim", "lead"])
-    part = F.pmod(F.xxhash64("vec_id"), F.floor((F.col("count") - 1) / BLOCK) + 1)
+    part = F.pmod(F.xxhash64("vec_id", "v"), F.floor((F.col("count") - 1) / BLOCK) + 1)
     rows = stored(rows.select("vec_id", "v", "_query", "dim", F.xxhash64("dim", "lead", part).alias("block")), "blocks")
     total = rows.count()
     tasks = max(1, -(-total // BLOCK))
@@ -199,7 +199,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, vector: str = "embe
     # Queries of the second round are packed anew, by a hash, with their floors, and meet every block but their own.
     groups = max(1, -(-asked.count() // QUERIES))
     second = asked.withColumn("home", F.col("block")).join(floors, "vec_id", "left")
-    second = second.withColumn("group", F.xxhash64("dim", F.pmod(F.xxhash64("vec_id"), F.lit(groups))))
+    second = second.withColumn("group", F.xxhash64("dim", F.pmod(F.xxhash64("vec_id", "v"), F.lit(groups))))
     packed = _packed(second.select(F.col("group").alias("block"), "vec_id", "v", "floor", "home"), max(1, min(tasks, groups)))
     meets = second.select("group", "dim").distinct().join(dims, "dim").select("group", "block")
     packed = stored(packed, "asked").withColumnRenamed("block", "group").join(meets, "group").drop("group")

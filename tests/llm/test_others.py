@@ -204,6 +204,19 @@ def test_topk_equals_brute_force(spark, monkeypatch):
     assert topk_search.search(vectors.limit(0), F.col("vec_id") % 10 == 0).count() == 0
 
 
+def test_topk_takes_every_vector_of_an_id(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "BLOCK", 8)
+    draw = random.Random(9)
+    rows = [(i % 40, [float(draw.randrange(-30, 30)) for _ in range(4)]) for i in range(100)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk_search.search(vectors, F.col("vec_id") % 10 == 0).orderBy("query_id", "rank").collect()
+    want = []
+    for q in range(0, 40, 10):
+        scores = [(-sum(65536 * x * y for x, y in zip(a, b)), c) for i, a in rows if i == q for c, b in rows if c != q]
+        want += [(q, n, c, -int(s)) for n, (s, c) in enumerate(sorted(scores)[:5], 1)]
+    assert [tuple(r) for r in got] == want
+
+
 def test_topk_with_very_large_components(spark):
     rows = [(0, [1e30, 1.0]), (1, [-1e30, 1.0]), (2, [1.0, 2.0])]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
