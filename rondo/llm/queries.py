@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rondo.llm import (
     exact_dedup,
+    line_dedup,
     mixing,
     ngram_join,
     packing,
@@ -151,3 +152,25 @@ def op1_threshold_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_raked_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's cell, its probability under the target weights, and whether it is drawn."""
     return mixing.plan(_table(spark, sf_dir, "documents"), mixing.TARGETS, mixing.columns_of(), keep=0.5)
+
+
+@_query(
+    r"""
+WITH split AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+lines AS (
+  SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS pos FROM split),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+shared AS (
+  SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5)
+SELECT doc_id, count(*) AS n_lines, count(last) FILTER (WHERE doc_id <> last) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE last IS NULL OR doc_id = last), '')) AS kept_sha256
+FROM keyed LEFT JOIN shared USING (key) GROUP BY doc_id
+"""
+)
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's lines, those dropped as repeated elsewhere, and the checksum of the rest."""
+    return line_dedup.line_dedup(_table(spark, sf_dir, "documents"))
