@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rondo.llm import (
     exact_dedup,
+    importance,
     line_dedup,
     mixing,
     ngram_join,
@@ -174,3 +175,9 @@ FROM keyed LEFT JOIN shared USING (key) GROUP BY doc_id
 def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's lines, those dropped as repeated elsewhere, and the checksum of the rest."""
     return line_dedup.line_dedup(_table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight under the benchmark's word distribution, and the tenth drawn by it."""
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
