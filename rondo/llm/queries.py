@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rondo.llm import (
+    collocations,
     exact_dedup,
     importance,
     line_dedup,
@@ -181,3 +182,47 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's weight under the benchmark's word distribution, and the tenth drawn by it."""
     return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_query(
+    r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+split AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+lengths AS (
+  SELECT unnest(range(1, 6)) AS k),
+runs AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: list_slice(w, i, i + k - 1))) AS p
+  FROM split, lengths WHERE len(w) >= k),
+counts AS (
+  SELECT lang, k, p, count(*) AS f FROM runs GROUP BY lang, k, p),
+totals AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+frequent AS (
+  SELECT * FROM counts WHERE f >= 100),
+covered AS (
+  SELECT DISTINCT s.lang, s.p FROM frequent s JOIN frequent g ON g.lang = s.lang AND g.k = s.k + 1
+    AND (s.p = list_slice(g.p, 1, s.k) OR s.p = list_slice(g.p, 2, s.k + 1))
+  WHERE g.f >= s.f),
+cuts AS (
+  SELECT c.lang, c.p, c.f AS a, x.f AS l, y.f AS r, n, x.k AS cut,
+         CAST((CAST(1000 AS HUGEINT) * c.f * n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM frequent c JOIN frequent x ON x.lang = c.lang AND x.k < c.k AND x.p = list_slice(c.p, 1, x.k)
+  JOIN frequent y ON y.lang = c.lang AND y.k = c.k - x.k AND y.p = list_slice(c.p, x.k + 1, c.k)
+  JOIN totals t ON t.lang = c.lang WHERE c.k >= 2),
+best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) AS i FROM cuts) WHERE i = 1),
+spelled AS (
+  SELECT b.*, array_to_string(b.p, ' ') AS phrase FROM best b ANTI JOIN covered d ON b.lang = d.lang AND b.p = d.p),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM spelled)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+)
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's best collocations of two to five words."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
