@@ -6,7 +6,8 @@ each (a block is cut after ``BLOCK`` words, with as many more as a phrase may ne
 
 1. a merge join of the stored relation with itself on piece and adjacent position: blocks are sorted, so a word's successor is the
    next element, and two overlapping phrases of length k - 1 make one of length k;
-2. a group count, summed in the task first and by Spark over all tasks, on the phrase's words; groups under ``least`` go;
+2. a group count, summed in the task first and by Spark over all tasks. Most phrases occur a few times, so occurrences are counted
+   by short hashes first, and only phrases of hashes with ``least`` occurrences are counted by their words; groups under ``least`` go;
 3. a semi-join of the occurrences with the frequent groups, whose result is stored as the next relation.
 
 The semi-join takes a Bloom filter of the frequent groups, of bounded size whatever the data; an occurrence it lets through in
@@ -39,6 +40,7 @@ from rondo.llm.store import stored
 from rondo.llm.words import SLICE, mix
 
 _U = np.uint64
+_ALL = (1 << 64) - 1
 #: Words a block of occurrences owns at most.
 BLOCK = 1 << 16
 #: Occurrences a task groups at a time.
@@ -141,6 +143,11 @@ class _Maybe:
         mask = (one << (hashed & _U(63))) | (one << ((hashed >> _U(6)) & _U(63)))
         return (self.bits[(hashed >> self.shift).astype(np.int64)] & mask) == mask
 
+    def has_one(self, hashed: int) -> bool:
+        """The same of one signed number, without numpy's cost for short arrays."""
+        mask = (1 << (hashed & 63)) | (1 << (hashed >> 6 & 63))
+        return int(self.bits[(hashed & _ALL) >> int(self.shift)]) & mask == mask
+
 
 def _filter(frequent: DataFrame, name: str) -> Broadcast:
     """The filter of a table's hashes for the tasks: ``bloom.MAX_WORDS`` words at most."""
@@ -163,7 +170,7 @@ class _Known(dict):
             self.clear()
             self[b"."] = 0
         h = word_hash(self.lang, word, self.seed)
-        found = self[word] = h if self.maybe.has(np.array([h], np.int64).view(_U))[0] else 0
+        found = self[word] = h if self.maybe.has_one(h) else 0
         return found
 
 
@@ -253,18 +260,44 @@ def _grouped(g: np.ndarray, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return first, n
 
 
-def count_phrases(relation: DataFrame, k: int, least: int) -> DataFrame:
+def _bucket(g: np.ndarray) -> np.ndarray:
+    """34 bits of a hash, laid where a Bloom filter looks for them; the others are 0 and cost nothing to store."""
+    return (g >> _U(42) << _U(42)) | (g >> _U(30) & _U(0xFFF))
+
+
+def _owned(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Words, and where the phrases of the blocks' own words start, some blocks at a time."""
+    for first, own, w, starts in _blocks(batch):
+        inside = np.zeros(len(w) + 1, np.int64)
+        np.add.at(inside, first, 1)
+        np.add.at(inside, first + own, -1)
+        yield w, np.flatnonzero(starts & (np.cumsum(inside)[:-1] > 0))
+
+
+def crowded_buckets(relation: DataFrame, k: int, least: int) -> DataFrame:
+    """Buckets of phrase hashes that hold ``least`` occurrences or more; every frequent phrase is in one of them."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for w, at in _owned(batch):
+                bucket, n = np.unique(_bucket(_phrase_hash(w, at, k)), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64)), pa.array(n)], ["bucket", "n"])
+
+    each = relation.mapInArrow(work, "bucket long, n long")
+    return each.groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+
+
+def count_phrases(relation: DataFrame, crowded: Broadcast, k: int, least: int) -> DataFrame:
     """g (hash), words and f of every phrase of ``k`` words that occurs ``least`` times or more."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maybe = _Maybe(crowded.value)
         for batch in batches:
-            for first, own, w, starts in _blocks(batch):
-                owned = np.zeros(len(w) + 1, np.int64)
-                np.add.at(owned, first, 1)
-                np.add.at(owned, first + own, -1)
-                at = np.flatnonzero(starts & (np.cumsum(owned)[:-1] > 0))
+            for w, at in _owned(batch):
+                g = _phrase_hash(w, at, k)
+                held = maybe.has(_bucket(g))
+                at, g = at[held], g[held].view(np.int64)
                 phrases = np.stack([w[at + j] for j in range(k)], axis=1)
-                g = _phrase_hash(w, at, k).view(np.int64)
                 one, n = _grouped(g, phrases)
                 offsets = pa.array(np.arange(len(one) + 1) * k, pa.int32())
                 lists = pa.ListArray.from_arrays(offsets, pa.array(phrases[one].ravel()))
@@ -300,7 +333,8 @@ def frequent_phrases(texts: DataFrame, longest: int, least: int) -> tuple[DataFr
     known = _filter(words.where(F.col("f") >= least), "h")
     found, relation = [], stored(first_relation(texts, known, seed, longest), "occurrences-1")
     for k in range(2, longest + 1):
-        found.append(stored(count_phrases(relation, k, least), f"phrases-{k}"))
+        crowded = _filter(stored(crowded_buckets(relation, k, least), f"buckets-{k}"), "bucket")
+        found.append(stored(count_phrases(relation, crowded, k, least), f"phrases-{k}"))
         if k < longest:
             relation = stored(next_relation(relation, _filter(found[-1], "g"), k), f"occurrences-{k}")
     return words, [f.select("words", "f") for f in found]
