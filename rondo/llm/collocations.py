@@ -252,12 +252,16 @@ def _phrase_hash(w: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
     return g
 
 
-def _grouped(g: np.ndarray, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of one phrase of each group, and the sizes of the groups. Phrases are equal if all their words are."""
-    _, first, group, n = np.unique(g, return_index=True, return_inverse=True, return_counts=True)
-    if (phrases != phrases[first[group]]).any():
-        _, first, n = np.unique(phrases, axis=0, return_index=True, return_counts=True)
-    return first, n
+def _summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, phrases and numbers, summed by phrase. Phrases are equal if all their words are."""
+    g, phrases, n = (np.concatenate([x[i] for x in parts]) for i in range(3))
+    order = np.argsort(g, kind="stable")
+    g, phrases, n = g[order], phrases[order], n[order]
+    first = np.flatnonzero(np.append(True, g[1:] != g[:-1])) if len(g) else np.zeros(0, np.int64)
+    if (phrases != np.repeat(phrases[first], np.diff(np.append(first, len(g))), axis=0)).any():
+        _, first, group = np.unique(phrases, axis=0, return_index=True, return_inverse=True)
+        return g[first], phrases[first], np.bincount(group, n).astype(np.int64)
+    return g[first], phrases[first], np.add.reduceat(n, first) if len(g) else n
 
 
 def _bucket(g: np.ndarray) -> np.ndarray:
@@ -287,23 +291,34 @@ def crowded_buckets(relation: DataFrame, k: int, least: int) -> DataFrame:
     return each.groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
-def count_phrases(relation: DataFrame, crowded: Broadcast, k: int, least: int) -> DataFrame:
-    """g (hash), words and f of every phrase of ``k`` words that occurs ``least`` times or more."""
+def _batch(g: np.ndarray, phrases: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    offsets = pa.array(np.arange(len(g) + 1) * phrases.shape[1], pa.int32())
+    lists = pa.ListArray.from_arrays(offsets, pa.array(phrases.ravel()))
+    return pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), lists, pa.array(n)], ["g", "words", "f"])
+
+
+def count_phrases(relation: DataFrame, crowded: Broadcast, k: int, least: int, tasks: int) -> DataFrame:
+    """g (hash), words and f of every phrase of ``k`` words that occurs ``least`` times or more.
+
+    A task passes on a row a phrase, so the relation is read in ``tasks`` parts, fewer than it has files.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maybe = _Maybe(crowded.value)
+        maybe, held = _Maybe(crowded.value), []
         for batch in batches:
             for w, at in _owned(batch):
                 g = _phrase_hash(w, at, k)
-                held = maybe.has(_bucket(g))
-                at, g = at[held], g[held].view(np.int64)
-                phrases = np.stack([w[at + j] for j in range(k)], axis=1)
-                one, n = _grouped(g, phrases)
-                offsets = pa.array(np.arange(len(one) + 1) * k, pa.int32())
-                lists = pa.ListArray.from_arrays(offsets, pa.array(phrases[one].ravel()))
-                yield pa.RecordBatch.from_arrays([pa.array(g[one]), lists, pa.array(n)], ["g", "words", "f"])
-
-    each = relation.mapInArrow(work, "g long, words array<bigint>, f long")
+                crowd = maybe.has(_bucket(g))
+                at, g = at[crowd], g[crowd]
+                held.append((g, np.stack([w[at + j] for j in range(k)], axis=1), np.ones(len(at), np.int64)))
+                if sum(len(x[0]) for x in held) >= 2 * TOGETHER:
+                    held = [_summed(held)]
+                    if len(held[0][0]) >= TOGETHER:
+                        yield _batch(*held.pop())
+        if held:
+            yield _batch(*_summed(held))
+
+    each = relation.coalesce(tasks).mapInArrow(work, "g long, words array<bigint>, f long")
     return each.groupBy("g", "words").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
 
 
@@ -327,14 +342,18 @@ def next_relation(relation: DataFrame, frequent: Broadcast, k: int) -> DataFrame
     return relation.mapInArrow(work, _RELATION)
 
 
-def frequent_phrases(texts: DataFrame, longest: int, least: int) -> tuple[DataFrame, list[DataFrame]]:
-    """The words (lang, word, f, h), and the frequent phrases of each length from 2 on (words, f), all stored."""
+def frequent_phrases(texts: DataFrame, longest: int, least: int, part: int = 1 << 24) -> tuple[DataFrame, list[DataFrame]]:
+    """The words (lang, word, f, h), and the frequent phrases of each length from 2 on (words, f), all stored.
+
+    ``part`` is the number of the corpus's words a task counts phrases of, about 100 MB of text.
+    """
     words, seed = hashed_words(count_words(texts))
+    tasks = 1 + (words.agg(F.sum("f")).first()[0] or 0) // part
     known = _filter(words.where(F.col("f") >= least), "h")
     found, relation = [], stored(first_relation(texts, known, seed, longest), "occurrences-1")
     for k in range(2, longest + 1):
         crowded = _filter(stored(crowded_buckets(relation, k, least), f"buckets-{k}"), "bucket")
-        found.append(stored(count_phrases(relation, crowded, k, least), f"phrases-{k}"))
+        found.append(stored(count_phrases(relation, crowded, k, least, tasks), f"phrases-{k}"))
         if k < longest:
             relation = stored(next_relation(relation, _filter(found[-1], "g"), k), f"occurrences-{k}")
     return words, [f.select("words", "f") for f in found]

@@ -94,8 +94,18 @@ def test_slices_blocks_and_groups_of_any_size(monkeypatch):
 
 def test_groups_are_of_words_and_not_of_hashes():
     phrases = np.array([[1, 2], [3, 4], [1, 2], [5, 6]])
-    first, n = collocations._grouped(np.zeros(4, np.int64), phrases)
-    assert sorted(zip(phrases[first].tolist(), n.tolist())) == [([1, 2], 2), ([3, 4], 1), ([5, 6], 1)]
+    for g in ([0, 0, 0, 0], [7, 2, 7, 9]):
+        parts = [(np.array(g[i : i + 2], np.uint64), phrases[i : i + 2], np.array([1, 10])) for i in (0, 2)]
+        _, found, n = collocations._summed(parts)
+        assert sorted(zip(found.tolist(), n.tolist())) == [([1, 2], 2), ([3, 4], 10), ([5, 6], 10)]
+
+
+def test_partial_counts_of_many_tasks(spark, rows):
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(6)
+    texts = collocations._texts(df, "text", "lang")
+    some = collocations.frequent_phrases(texts, 3, 8, part=100)[1]
+    want = brute(rows, longest=3, least=8, cover=10**9)
+    assert sorted(r.f for f in some for r in f.collect()) == sorted(row[3] for row in want)
 
 
 def test_words_are_hashed_anew_if_two_meet(spark, monkeypatch):
