@@ -44,9 +44,10 @@ _ALL = (1 << 64) - 1
 #: Words a block of occurrences owns at most.
 BLOCK = 1 << 16
 #: Occurrences a task groups at a time.
-TOGETHER = 1 << 20
-#: Distinct words a task counts or remembers before it passes them on.
-_DISTINCT = 300_000
+TOGETHER = 1 << 19
+#: Distinct words a task counts before it passes them on, and frequent ones it remembers for a language.
+_DISTINCT = 200_000
+_REMEMBERED = 100_000
 #: Languages whose words a task remembers.
 _LANGS = 20
 #: A-Z become a-z, what ends a piece a full stop, a tab a space.
@@ -159,19 +160,21 @@ def _filter(frequent: DataFrame, name: str) -> Broadcast:
 
 
 class _Known(dict):
-    """The hash of a word if it may be frequent, else 0; remembered for the next time."""
+    """The hash of a word if it may be frequent, else 0. Words that may be are remembered for the next time."""
 
     def __init__(self, lang: bytes, seed: int, maybe: _Maybe):
         self.lang, self.seed, self.maybe = lang, seed, maybe
         self[b"."] = 0
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= _DISTINCT:
+        h = word_hash(self.lang, word, self.seed)
+        if not self.maybe.has_one(h):
+            return 0
+        if len(self) >= _REMEMBERED:
             self.clear()
             self[b"."] = 0
-        h = word_hash(self.lang, word, self.seed)
-        found = self[word] = h if self.maybe.has_one(h) else 0
-        return found
+        self[word] = h
+        return h
 
 
 def _follows(flags: np.ndarray) -> np.ndarray:
