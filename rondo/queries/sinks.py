@@ -7,14 +7,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rondo.operators.layout import cluster_rows, create_namespace, create_tables, drop_namespace, drop_tables
+from rondo.operators.joins import hot_keys
+from rondo.operators.layout import (
+    cluster_rows,
+    co_located_join,
+    create_namespace,
+    create_tables,
+    drop_namespace,
+    drop_tables,
+    write_bucketed,
+)
 from rondo.operators.quality import check_row_counts
 from rondo.operators.sinks import append_rows, load_rows, reload_rows, write_partitioned, write_plain
 from rondo.plans import star
 from rondo.plans.query_tables import events_denormalised, user_songs
 from rondo.queries.base import query
 from rondo.queries.scans import denormalised_as_csv
-from rondo.queries.tables import PLAY, QUESTION_SQL, USER, USERS_DISTINCT_SQL, distinct_join
+from rondo.queries.tables import LEFT_MD5_SQL, PLAY, QUESTION_SQL, USER, USERS_DISTINCT_SQL, distinct_join
 from rondo.schemas import STAR, TABLE_ORDER
 from rondo.session import scratch_path, shuffle_tasks
 from rondo.sources.files import read_denormalised, read_partitioned, read_table
@@ -180,3 +189,52 @@ def cluster_layout(spark: SparkSession, sf: str) -> DataFrame:
     write_plain(cluster_rows(rows, ["userid", "sessionid"], ["itemInSession"]), path)
     return read_table(spark, path)
 
+
+
+#: Buckets of the co-located tables: as many tasks join them.
+BUCKETS = 16
+#: Plays of one song or moment beyond which its rows are spread.
+PLAYS_PER_KEY = 100_000
+
+
+def _bucketed(spark: SparkSession, tables: dict[str, DataFrame], by: dict[str, str], hot: DataFrame) -> tuple[str, dict[str, DataFrame]]:
+    """The tables stored in buckets of one column each, in a namespace of its own."""
+    name, location = f"plays_{uuid.uuid4().hex[:12]}", scratch_path(spark, "buckets")
+    create_namespace(spark, name, f"{location}/_default")
+    for table, df in tables.items():
+        key = by[table]
+        cut = hot if key in hot.columns else None
+        write_bucketed(df, f"{name}.{table}", [key], BUCKETS, [key], f"{location}/{table}", cut)
+    return name, {table: spark.table(f"{name}.{table}") for table in tables}
+
+
+def _joined(spark: SparkSession, plays: DataFrame, other: DataFrame, key: str, how: str) -> DataFrame:
+    """Plays joined with a dimension, both stored in buckets of the key; the result is stored before the tables go."""
+    hot = hot_keys(plays, [key], PLAYS_PER_KEY, nulls=True)
+    name, stored = _bucketed(spark, {"songplays": plays, "dimension": other}, {"songplays": key, "dimension": f"_{key}"}, hot)
+    joined = co_located_join(stored["songplays"], stored["dimension"], [(key, f"_{key}")], how, hot.na.drop(), right_unique=True)
+    path = scratch_path(spark, "joined")
+    write_plain(joined.drop(f"_{key}"), path)
+    drop_namespace(spark, name)
+    return read_table(spark, path)
+
+
+@query("cluster_bucketed_songs", f"SELECT p.*, title, duration FROM ({LEFT_MD5_SQL}) p LEFT JOIN ({SONGS_SQL}) s ON s.song_id = p.song_id")
+def cluster_bucketed_songs(spark: SparkSession, sf: str) -> DataFrame:
+    """Plays and songs stored in buckets of the song, joined where they lie; plays of no known song stay."""
+    plays = star.songplays_left_md5(staging_events(spark, sf, [c for c in PLAY if c != "itemInSession"]), staging_songs(spark, sf))
+    songs = star.songs_distinct(staging_songs(spark, sf)).selectExpr("song_id AS _song_id", "title", "duration")
+    return _joined(spark, plays, songs, "song_id", "left")
+
+
+@query(
+    "cluster_bucketed_time",
+    f"""SELECT p.*, CAST(hour(start_time) AS INTEGER) AS hour, CAST(weekofyear(start_time) AS INTEGER) AS week,
+               strftime(start_time, '%A') AS weekday
+        FROM ({LEFT_MD5_SQL}) p""",
+)
+def cluster_bucketed_time(spark: SparkSession, sf: str) -> DataFrame:
+    """Plays and the calendar stored in buckets of the start time, joined where they lie."""
+    plays = star.songplays_left_md5(staging_events(spark, sf, [c for c in PLAY if c != "itemInSession"]), staging_songs(spark, sf))
+    time = star.time_from_songplays(plays, distinct=True, weekday_style="full")
+    return _joined(spark, plays, time.selectExpr("start_time AS _start_time", "hour", "week", "weekday"), "start_time", "inner")

@@ -1,0 +1,59 @@
+"""Co-located tables and published versions."""
+
+from __future__ import annotations
+
+import pytest
+
+from rondo.operators.joins import hot_keys
+from rondo.operators.layout import co_located_join, create_namespace, drop_namespace, write_bucketed
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def bucketed(spark, tmp_path):
+    create_namespace(spark, "buckets", str(tmp_path / "db"))
+
+    def store(name, df, key, **kw):
+        write_bucketed(df, f"buckets.{name}", [key], 4, [key], str(tmp_path / name), **kw)
+        return spark.table(f"buckets.{name}"), tmp_path / name
+
+    yield store
+    drop_namespace(spark, "buckets")
+
+
+def sides(spark):
+    left = spark.range(400).selectExpr("IF(id < 300, 7, IF(id % 9 = 0, NULL, id % 50)) AS k", "id AS v")
+    right = spark.range(0, 60, 2).selectExpr("id AS rk", "id * 10 AS w").unionByName(spark.sql("SELECT 7L AS rk, 70L AS w"))
+    return left, right
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("cut", [False, True])
+def test_joined_without_moving_a_row(spark, bucketed, rows, how, cut):
+    left, right = sides(spark)
+    hot = hot_keys(left, ["k"], 100, nulls=True) if cut else None
+    (a, _), (b, _) = bucketed("a", left, "k", hot=hot), bucketed("b", right, "rk")
+    joined = co_located_join(a, b, [("k", "rk")], how, hot, right_unique=True)
+    assert rows(joined) == rows(left.join(right, left.k == right.rk, how))
+    moved = [line for line in plan(joined).splitlines() if "hashpartitioning" in line or "rangepartitioning" in line]
+    # Only the list of hot keys is counted and shuffled.
+    assert "SortMergeJoin" in plan(joined) and all("k#" in line or "_n" in line for line in moved) and (cut or not moved)
+
+
+def test_a_bucket_is_one_file_and_a_hot_key_several(spark, bucketed):
+    left, _ = sides(spark)
+    _, plain = bucketed("plain", left, "k")
+    _, spread = bucketed("spread", left, "k", hot=hot_keys(left, ["k"], 100))
+    assert len(list(plain.glob("*.parquet"))) == 4
+    assert len(list(spread.glob("*.parquet"))) > 4
+
+
+def test_hot_keys_need_a_unique_side(spark):
+    left, right = sides(spark)
+    with pytest.raises(ValueError, match="unique"):
+        co_located_join(left, right, [("k", "rk")], hot=hot_keys(left, ["k"], 100))
+    with pytest.raises(ValueError, match="how"):
+        co_located_join(left, right, [("k", "rk")], "full")
