@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from rondo.operators.reduce import first_per_key, last_per_key
 
 
-def _without(rows: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
+def without_keys(rows: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is not among the others'; a null is a key value like any other, so reloads stay idempotent."""
     known = others.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
     return rows.join(known, [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys], "left_anti")
@@ -25,7 +25,7 @@ def insert_ignore(
 ) -> DataFrame:
     """The first new row of every key not yet in ``target``; append the result to the target."""
     first = first_per_key(new, keys, order)
-    return first if target is None else _without(first, target, keys)
+    return first if target is None else without_keys(first, target, keys)
 
 
 def upsert_ignore(
@@ -94,5 +94,5 @@ def upsert_last_write(
     last = last_per_key(new, keys, order)
     if target is None:
         return last
-    kept = _without(target, last, keys)
+    kept = without_keys(target, last, keys)
     return kept.unionByName(last.select(*target.columns))

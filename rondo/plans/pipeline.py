@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from rondo.operators.layout import create_tables
 from rondo.operators.quality import check_registry, require_non_empty
-from rondo.operators.sinks import append_rows, load_rows, reload_rows, write_partitioned, write_plain
-from rondo.operators.upsert import insert_ignore
+from rondo.operators.published import Parts, Published
+from rondo.operators.reduce import first_per_key
+from rondo.operators.sinks import append_rows, load_rows, write_partitioned, write_plain
+from rondo.operators.upsert import upsert_update
 from rondo.plans import star
 from rondo.schemas import LOG, LOG_WITH_ID, PRIMARY_KEYS, SONG, STAR, TABLE_ORDER
 from rondo.session import scratch_path, shuffle_tasks
@@ -80,6 +82,27 @@ def run_pipeline(
     return require_non_empty({name: spark.table(table(name)) for name in TABLE_ORDER})
 
 
+#: Buckets of the tables that are keyed by an id; plays and times are cut by day.
+KEY_BUCKETS = 64
+
+
+def keyed_store(spark: SparkSession, root: str, buckets: int = KEY_BUCKETS) -> Published:
+    """The star tables that ``run_keyed`` publishes under a folder."""
+    cut = {"users": "user_id", "songs": "song_id", "artists": "artist_id"}
+    parts = {name: Parts((cut[name],), buckets) if name in cut else Parts(("start_time",)) for name in TABLE_ORDER}
+    return Published(spark, root, {name: (STAR[name], parts[name]) for name in TABLE_ORDER})
+
+
+def _expose(spark: SparkSession, namespace: str, store: Published) -> None:
+    """A view of every published table in the catalogue."""
+    manifest = store.manifest()
+    for name, (schema, _) in store.tables.items():
+        folders = [f for own in manifest["tables"].get(name, {}).values() for f in own]
+        columns = ", ".join(f"CAST({f.name if folders else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema)
+        source = f"parquet.`{store.root}/{{{','.join(folders)}}}`" if folders else "range(0)"
+        spark.sql(f"CREATE OR REPLACE VIEW `{namespace}`.`{name}` AS SELECT {columns} FROM {source}")
+
+
 def run_keyed(
     spark: SparkSession,
     log_path: str,
@@ -92,36 +115,43 @@ def run_keyed(
     """Load the star tables by key, so that loading a day again changes nothing.
 
     Songs, artists, times and plays keep the first row of a key, stored ones before new ones; users keep their first
-    row and take the level of the load's last play. New rows are computed in full before a table is written.
+    row and take the level of the load's last play. A load reads and writes only the days and key buckets that its rows fall
+    into, and publishes all tables at once under ``location`` (see ``rondo.operators.published``): one that dies leaves the
+    former star whole. ``namespace`` gets a view of each table as it was published last.
     Returns the check report: row counts, repeated keys and nulls of every table, and orphans of the fact table.
     """
     create_tables(spark, namespace, STAGING, location)
-    create_tables(spark, namespace, {t: STAR[t] for t in TABLE_ORDER}, location)
+    store = keyed_store(spark, location or f"{spark.catalog.getDatabase(namespace).locationUri}/published")
 
     def table(name: str) -> str:
         return f"{namespace}.{name}"
 
-    def settled(df: DataFrame) -> DataFrame:
-        path = scratch_path(spark, "settled")
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    def keep_first(name: str, rows: DataFrame) -> None:
-        keys = PRIMARY_KEYS[name]
-        order = [c for c in rows.columns if c not in keys]
-        append_rows(settled(insert_ignore(rows, keys, order, spark.table(table(name)))), table(name))
-
     load_dimension(
         lambda: stage(spark, log_path, LOG_WITH_ID, day=day, day_pattern=day_pattern), table("staging_events"), delete_load=True
     )
     load_dimension(lambda: stage(spark, song_path, SONG), table("staging_songs"), delete_load=True)
-    events, songs = spark.table(table("staging_events")), spark.table(table("staging_songs"))
-    keep_first("songs", star.songs_dim(songs))
-    keep_first("artists", star.artists_dim(songs))
-    reload_rows(settled(star.users_upsert(events, target=spark.table(table("users")))), table("users"))
-    keep_first("songplays", star.songplays_lookup(events, songs, keep_first=["event_id"]))
-    keep_first("time", _time_as_text(star.time_from_songplays(spark.table(table("songplays")), distinct=True)))
-    return check_registry({name: spark.table(table(name)) for name in TABLE_ORDER})
+    load_keyed(store, spark.table(table("staging_events")), spark.table(table("staging_songs")))
+    _expose(spark, namespace, store)
+    return check_registry({name: store.read(name) for name in TABLE_ORDER})
+
+
+def load_keyed(store: Published, events: DataFrame, songs: DataFrame) -> int:
+    """Merge staged plays and songs into the published star; the number of the version that shows them."""
+    load = store.begin()
+    load.insert_ignore("songs", star.songs_dim(songs), PRIMARY_KEYS["songs"])
+    load.insert_ignore("artists", star.artists_dim(songs), PRIMARY_KEYS["artists"])
+    load.upsert("users", star.users_upsert(events), _newer_level)
+    plays = star.songplays_lookup(events, songs, keep_first=["event_id"])
+    order = [c for c in plays.columns if c not in PRIMARY_KEYS["songplays"]]
+    fresh = load.insert_ignore("songplays", first_per_key(plays, PRIMARY_KEYS["songplays"], order), PRIMARY_KEYS["songplays"])
+    times = _time_as_text(star.time_from_songplays(fresh, distinct=True))
+    load.insert_ignore("time", times, PRIMARY_KEYS["time"])
+    return load.publish()
+
+
+def _newer_level(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """Stored users with the new level, and the users that are new."""
+    return upsert_update(new.withColumn("_at", F.lit(0)), ["user_id"], ["_at"], ["level"], stored)
 
 
 def _time_as_text(time: DataFrame) -> DataFrame:

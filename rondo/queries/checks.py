@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rondo.operators.layout import create_namespace, drop_namespace
 from rondo.operators.quality import check_foreign_key, check_not_null, check_row_counts, check_unique_key
 from rondo.plans import star
-from rondo.plans.pipeline import load_dimension, load_fact, run_keyed, run_lake, run_pipeline
+from rondo.plans.pipeline import keyed_store, load_dimension, load_fact, run_keyed, run_lake, run_pipeline
 from rondo.queries.base import query
 from rondo.queries.columns import LOOKUP_SQL
 from rondo.queries.sinks import NOT_BLANK, SONGS_SQL, STAR_COUNTS_SQL, _database, _read_and_drop
@@ -172,9 +172,8 @@ def _keyed(spark: SparkSession, sf: str) -> tuple[DataFrame, Callable[[str], Dat
         report = run_keyed(spark, f"{raw}/log", f"{raw}/songs", namespace, location)
     path = scratch_path(spark, "report")
     report.write.parquet(path)
-    schemas = {name: spark.table(f"{namespace}.{name}").schema for name in TABLE_ORDER}
     drop_namespace(spark, namespace)
-    return spark.read.parquet(path), lambda name: spark.read.schema(schemas[name]).parquet(f"{location}/{name}")
+    return spark.read.parquet(path), keyed_store(spark, location).read
 
 
 @query("run_keyed_songplays", SONGPLAYS_LOOKUP_SQL, LOOKUP_SQL)

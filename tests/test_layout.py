@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql.types import StructType
 
+from rondo.operators import published
 from rondo.operators.joins import hot_keys
 from rondo.operators.layout import co_located_join, create_namespace, drop_namespace, write_bucketed
+from rondo.operators.published import Parts, Published
+from rondo.plans.pipeline import keyed_store, load_keyed
+from rondo.schemas import LOG_WITH_ID, SONG, TABLE_ORDER
 
 
 def plan(df):
@@ -57,3 +62,147 @@ def test_hot_keys_need_a_unique_side(spark):
         co_located_join(left, right, [("k", "rk")], hot=hot_keys(left, ["k"], 100))
     with pytest.raises(ValueError, match="how"):
         co_located_join(left, right, [("k", "rk")], "full")
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    shapes = {
+        "seen": (StructType.fromDDL("id int, v string, at timestamp_ntz"), Parts(("at",))),
+        "last": (StructType.fromDDL("id int, v string"), Parts(("id",), 4)),
+    }
+    return Published(spark, str(tmp_path / "store"), shapes)
+
+
+def seen(spark, *pairs):
+    """Rows of (id, v, day)."""
+    df = spark.createDataFrame(list(pairs), "id int, v string, day int")
+    return df.selectExpr("id", "v", "timestamp_ntz'2024-01-01 10:00:00' + make_dt_interval(day) AS at")
+
+
+def last(spark, *pairs):
+    return spark.createDataFrame(list(pairs), "id int, v string")
+
+
+def newest(old, new):
+    return new.unionByName(old.join(new, "id", "left_anti"))
+
+
+def files(tmp_path):
+    return {f: f.stat().st_mtime_ns for f in (tmp_path / "store").rglob("*.parquet")}
+
+
+def test_a_load_is_seen_whole_or_not_at_all(spark, store, rows):
+    load = store.begin()
+    load.insert_ignore("seen", seen(spark, (1, "a", 0), (2, "b", 1)), ["id"])
+    load.upsert("last", last(spark, (1, "x")), newest)
+    assert store.read("seen").count() == 0 and load.read("seen").count() == 2
+    assert load.publish() == 1
+    # Dies between its two tables.
+    died = store.begin()
+    died.insert_ignore("seen", seen(spark, (3, "c", 0)), ["id"])
+    assert rows(store.read("seen"), "id", "v") == [(1, "a"), (2, "b")] and rows(store.read("last")) == [(1, "x")]
+    again = store.begin()
+    again.insert_ignore("seen", seen(spark, (3, "c", 0), (1, "z", 0)), ["id"])
+    again.upsert("last", last(spark, (1, "y"), (3, "y")), newest)
+    assert again.publish() == 2
+    assert rows(store.read("seen"), "id", "v") == [(1, "a"), (2, "b"), (3, "c")]
+    assert rows(store.read("last")) == [(1, "y"), (3, "y")]
+    assert rows(store.read("last", manifest=store.manifest(1))) == [(1, "x")]
+
+
+def test_of_two_loads_at_once_one_publishes(spark, store):
+    first, second = store.begin(), store.begin()
+    for load in (first, second):
+        load.append("last", last(spark, (1, "x")))
+    first.publish()
+    with pytest.raises(Exception, match="(?i)already exists"):
+        second.publish()
+    assert store.read("last").count() == 1
+
+
+def test_parts_without_changes_keep_their_files(spark, store, tmp_path):
+    load = store.begin()
+    load.insert_ignore("seen", seen(spark, *[(i, "a", i % 3) for i in range(30)]), ["id"])
+    load.upsert("last", last(spark, *[(i, "a") for i in range(40)]), newest)
+    load.publish()
+    before, stored = files(tmp_path), store.manifest()["tables"]
+    load = store.begin()
+    # One new row and one known one, both on the second day; one user changes, the others are given as they are.
+    load.insert_ignore("seen", seen(spark, (100, "n", 1), (1, "n", 1)), ["id"])
+    load.upsert("last", last(spark, (5, "b"), *[(i, "a") for i in range(20) if i != 5]), newest)
+    load.publish()
+    now, after = files(tmp_path), store.manifest()["tables"]
+    assert all(now[f] == at for f, at in before.items())
+    assert {p for p in after["seen"] if after["seen"][p] != stored["seen"][p]} == {"2024-01-02"}
+    assert sum(after["last"][p] != stored["last"][p] for p in after["last"]) == 1
+    assert store.read("seen").count() == 31 and store.read("last").where("v = 'b'").count() == 1
+
+
+def test_only_touched_parts_are_read(spark, store):
+    load = store.begin()
+    load.append("seen", seen(spark, *[(i, "a", i % 3) for i in range(30)]))
+    load.publish()
+    one = store.read("seen", ["2024-01-02"])
+    assert one.count() == 10 and len(one.inputFiles()) < len(store.read("seen").inputFiles())
+
+
+def test_many_small_loads_are_folded(spark, store, monkeypatch):
+    monkeypatch.setattr(published, "MOST_FOLDERS", 3)
+    for n in range(5):
+        load = store.begin()
+        load.append("seen", seen(spark, (n, "a", 0)))
+        load.publish()
+    assert len(store.manifest()["tables"]["seen"]["2024-01-01"]) == 2 and store.read("seen").count() == 5
+
+
+def test_nulls_empty_loads_and_replacing(spark, store, rows):
+    load = store.begin()
+    load.replace("last", last(spark, (None, "n"), (1, None), (1, None)))
+    load.append("seen", seen(spark, (1, "a", None)))
+    with pytest.raises(ValueError, match="twice"):
+        load.append("seen", seen(spark, (2, "a", 0)))
+    load.publish()
+    load = store.begin()
+    load.insert_ignore("last", last(spark, (None, "m"), (2, "m")), ["id"])
+    load.upsert("seen", seen(spark), lambda old, new: old)
+    load.publish()
+    assert rows(store.read("last")) == [(1, None), (1, None), (2, "m"), (None, "n")]
+    assert store.manifest()["tables"]["seen"].keys() == {"none"}
+    load = store.begin()
+    load.replace("last", last(spark))
+    load.publish()
+    assert store.read("last").count() == 0 and store.manifest()["version"] == 3
+
+
+def test_a_keyed_run_that_dies_leaves_the_former_star(spark, tmp_path, monkeypatch):
+    def staged(plays):
+        rows = [dict(page="NextSong", ts=1_541_100_000_000 + 1000 * i, userId=str(i % 5), level=level, sessionId=i, itemInSession=0,
+                     song="Sun", artist="Ann", length=200.5, event_id=i) for i, level in plays]
+        events = spark.createDataFrame([tuple(r.get(f) for f in LOG_WITH_ID.names) for r in rows], LOG_WITH_ID)
+        song = dict(num_songs=1, artist_id="AR1", artist_name="Ann", song_id="SO1", title="Sun", duration=200.5, year=2000)
+        return events, spark.createDataFrame([tuple(song.get(f) for f in SONG.names)], SONG)
+
+    def contents():
+        return {name: sorted(map(str, store.read(name).collect())) for name in TABLE_ORDER}
+
+    store = keyed_store(spark, str(tmp_path / "star"), buckets=4)
+    load_keyed(store, *staged([(i, "free") for i in range(10)]))
+    before = contents()
+    assert len(before["songplays"]) == len(before["time"]) == 10
+    more = staged([(i, "paid") for i in range(5, 15)])
+    real = published.Load.insert_ignore
+
+    def dies(load, name, *args):
+        if name == "time":
+            raise RuntimeError("lost")
+        return real(load, name, *args)
+
+    monkeypatch.setattr(published.Load, "insert_ignore", dies)
+    with pytest.raises(RuntimeError, match="lost"):
+        load_keyed(store, *more)
+    assert contents() == before
+    monkeypatch.undo()
+    load_keyed(store, *more)
+    after = contents()
+    assert len(after["songplays"]) == len(after["time"]) == 15 and after["songs"] == before["songs"]
+    assert all("paid" in row for row in after["users"])
