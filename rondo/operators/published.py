@@ -32,14 +32,17 @@ PART = "_part"
 
 @dataclass(frozen=True)
 class Parts:
-    """How a table is cut: by the day of a column, or by a hash of columns into a number of buckets."""
+    """How a table is cut: by a hash of columns into ``buckets``, by every ``step`` of a number, else by the day of a column."""
 
     columns: tuple[str, ...]
     buckets: int = 0
+    step: int = 0
 
     def column(self) -> Column:
         if self.buckets:
             return F.pmod(F.xxhash64(*self.columns), F.lit(self.buckets)).cast("string")
+        if self.step:
+            return F.coalesce(F.floor(F.col(self.columns[0]) / self.step).cast("string"), F.lit("none"))
         return F.coalesce(F.col(self.columns[0]).cast("date").cast("string"), F.lit("none"))
 
 
@@ -71,7 +74,14 @@ class Published:
         schema = self.tables[name][0]
         stored = (manifest or self.manifest())["tables"].get(name, {})
         folders = [f"{self.root}/{f}" for part, own in stored.items() if parts is None or part in parts for f in own]
-        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        try:
+            return self.spark.read.schema(schema).parquet(*folders)
+        except AnalysisException as error:
+            if not _missing(error):
+                raise
+            raise RuntimeError(f"stored parts of {name} are gone; restore {self.root}/{name}") from error
 
     def begin(self) -> Load:
         """A load on top of the latest version."""
@@ -130,16 +140,21 @@ class Load:
         written = self._write(name, self._taken(name, rows))
         self.after["tables"][name] = {part: [folder] for part, folder in written.items()}
 
-    def append(self, name: str, rows: DataFrame) -> None:
-        """Rows added to the parts they fall into."""
-        self._append(name, self._taken(name, rows))
+    def append(self, name: str, rows: DataFrame, fold: Callable[[DataFrame], DataFrame] | None = None) -> None:
+        """Rows added to the parts they fall into.
+
+        A part of too many folders is written as one, and ``fold`` then reduces its rows, as by merging the states of a key.
+        """
+        self._append(name, self._taken(name, rows), fold)
 
-    def _append(self, name: str, settled: DataFrame) -> None:
+    def _append(self, name: str, settled: DataFrame, fold: Callable[[DataFrame], DataFrame] | None = None) -> None:
         stored = self._stored(name)
         full = [p for p in self._touched(settled) if len(stored.get(p, [])) >= MOST_FOLDERS]
         if full:
-            old = self._cut(name, self.store.read(name, full, self.before))
-            settled = settled.unionByName(old)
+            whole = settled.where(F.col(PART).isin(full)).unionByName(self._cut(name, self.store.read(name, full, self.before)))
+            if fold is not None:
+                whole = self._cut(name, fold(whole.drop(PART)))
+            settled = settled.where(~F.col(PART).isin(full)).unionByName(whole)
         written = self._write(name, settled)
         self._set(name, {p: [f] if p in full else [*stored.get(p, []), f] for p, f in written.items()})
 

@@ -56,8 +56,12 @@ def merge_states(
     old: DataFrame, new: DataFrame, keys: Sequence[str], keep: Sequence[str], update: Sequence[str]
 ) -> DataFrame:
     """Combine two ``key_state`` frames; the outcome does not depend on which one came first."""
-    both = old.unionByName(new)
-    return both.groupBy(*keys).agg(
+    return one_state(old.unionByName(new), keys, keep, update)
+
+
+def one_state(states: DataFrame, keys: Sequence[str], keep: Sequence[str], update: Sequence[str]) -> DataFrame:
+    """One ``key_state`` row per key from any number of them."""
+    return states.groupBy(*keys).agg(
         *[F.min_by(F.col(c), "first_at").alias(c) for c in keep],
         *[F.max_by(F.col(c), "last_at").alias(c) for c in update],
         F.min("first_at").alias("first_at"),

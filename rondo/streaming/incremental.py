@@ -1,42 +1,38 @@
 """Incremental load of the play log: new files go through the batch operators, one micro-batch at a time.
 
-``foreachBatch`` may repeat a batch after a failure, so every write is keyed by the batch number and repeats as
-the same write. The users state holds the order marks of its first and last play, so merging is independent of
-the sequence of batches; it alternates between two folders, and the one being replaced is never the one read. Each
-folder has a marker with its batch number, written last: a batch that doesn't find its predecessor's state stops.
+A batch becomes one published version of plays, users and rejects (``rondo.operators.published``), with its number in the
+manifest, so readers see a batch whole or not at all. ``foreachBatch`` may repeat a batch after a failure; every step gives the same
+outcome when repeated: plays are kept first, states of users merge by their order marks whatever the sequence, and the rejects of a
+batch replace those of its former try. A batch whose number doesn't follow the published one stops.
 
-Lines that are no JSON object, and plays without a readable time, are stored as rejects with a reason and counted.
+What a batch reads and writes follows its own rows, not what is stored. Plays are compared with the stored plays of the same
+days. The states of the users in the batch are appended in key buckets, and merged with the earlier ones when they are read; a
+bucket of many appended folders is written as one now and then.
+
+Lines that are no JSON object, and plays without a readable time, are stored as rejects with a reason and counted. Plays that
+arrive more than ``late_days`` behind the newest are loaded like all others and counted as late.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from rondo.functions.clean import blank_to_null, to_int
 from rondo.functions.keys import natural_key
 from rondo.functions.timeparts import ms_to_timestamp
-from rondo.operators.sinks import write_partitioned
-from rondo.operators.upsert import insert_ignore, key_state, merge_states
+from rondo.operators.published import Load, Parts, Published
+from rondo.operators.reduce import first_per_key
+from rondo.operators.upsert import key_state, one_state
 from rondo.plans.star import lookup_first_match, next_song, time_from_songplays
-from rondo.schemas import LOG_WITH_ID, STAR
+from rondo.schemas import LOG_WITH_ID, STAR, shape
 
 ORDER = ["ts", "event_id"]
 KEEP = ["first_name", "last_name", "gender"]
 UPDATE = ["level"]
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as missing:
-        if "PATH_NOT_FOUND" in str(missing) or "UNABLE_TO_INFER_SCHEMA" in str(missing):
-            return None
-        raise
-
-
 def _users(plays: DataFrame) -> DataFrame:
     rows = plays.select(
         to_int("userId").alias("user_id"),
@@ -49,6 +45,11 @@ def _users(plays: DataFrame) -> DataFrame:
     return key_state(rows, ["user_id"], ORDER, KEEP, UPDATE)
 
 
+def _merged(states: DataFrame) -> DataFrame:
+    """One state a user."""
+    return one_state(states, ["user_id"], KEEP, UPDATE)
+
+
 def _plays(plays: DataFrame, songs: DataFrame | None) -> DataFrame:
     if songs is None:
         nothing = F.lit(None).cast("string")
@@ -67,83 +68,104 @@ def _plays(plays: DataFrame, songs: DataFrame | None) -> DataFrame:
         "location",
         F.col("userAgent").alias("user_agent"),
         *ORDER,
-        start.cast("date").alias("day"),
     )
 
 
 CORRUPT = "_corrupt_record"
+REASON = "_reason"
+BATCH = "batch_id"
+#: Buckets of the users' states.
+USER_BUCKETS = 64
+_MARKS = shape("ts long, event_id long")
+_STATE = StructType(
+    [
+        *shape("user_id int, first_name string, last_name string, gender string, level string"),
+        StructField("first_at", _MARKS),
+        StructField("last_at", _MARKS),
+    ]
+)
+#: Batches whose rejects are stored together.
+REJECT_BATCHES = 1000
+_PLAY = StructType([*STAR["songplays"], *_MARKS])
 
 
 class IncrementalLoad:
     """Songplays (keep-first) and users (level of the last play) kept under ``target``.
 
-    Plays are matched with ``songs``, the staged catalogue as it is when they are loaded.
+    Plays are matched with ``songs``, the staged catalogue as it is when they are loaded. ``schema`` is the log's.
     """
 
-    def __init__(self, spark: SparkSession, target: str, songs: DataFrame | None = None):
-        self.spark = spark
-        self.target = target.rstrip("/")
-        self.songs = songs
-
-    def _slot(self, batch_id: int) -> str:
-        return f"{self.target}/users/slot={batch_id % 2}"
+    def __init__(
+        self,
+        spark: SparkSession,
+        target: str,
+        songs: DataFrame | None = None,
+        schema: StructType = LOG_WITH_ID,
+        late_days: int = 1,
+    ):
+        self.spark, self.target, self.songs, self.late_days = spark, target.rstrip("/"), songs, late_days
+        self._set_schema(schema)
+
+    def _set_schema(self, schema: StructType) -> None:
+        self.schema = StructType([*schema, StructField(CORRUPT, StringType())])
+        rejects = StructType([*self.schema, StructField(REASON, StringType()), StructField(BATCH, LongType())])
+        shapes = {
+            "songplays": (_PLAY, Parts(("start_time",))),
+            "users": (_STATE, Parts(("user_id",), USER_BUCKETS)),
+            "rejects": (rejects, Parts((BATCH,), step=REJECT_BATCHES)),
+        }
+        self.store = Published(self.spark, self.target, shapes)
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """Load one micro-batch.
 
-        Its plays are first stored, so the raw files are parsed once and each later step reads its own columns.
+        Its rows are first stored, so the raw files are parsed once and each later step reads its own columns.
         """
-        before = self._marker(batch_id)
-        if batch_id and before != batch_id - 1:
-            raise RuntimeError(f"batch {batch_id} follows a users state of batch {before}; restore {self.target}/users")
-        if not batch_id and (self._marker(0) or self._marker(1) or 0) > 0:
-            raise RuntimeError(f"batch numbers start again over stored tables; restore {self.target}/_progress")
-        staged = f"{self.target}/_staged/slot={batch_id % 2}"
+        load = self.store.begin()
+        done = load.before["marks"].get("batch")
+        if done is not None and batch_id < done:
+            raise RuntimeError(f"batch {batch_id} comes after batch {done}: numbers start again; restore {self.target}/_progress")
+        if batch_id > (0 if done is None else done + 1):
+            raise RuntimeError(f"batch {batch_id} follows batch {done}; restore {self.target}/published")
         if CORRUPT not in batch.columns:
             batch = batch.withColumn(CORRUPT, F.lit(None).cast("string"))
-        parsed = blank_to_null(batch).withColumn(
-            "_reason",
-            F.when(F.col(CORRUPT).isNotNull(), "malformed line").when(
-                (F.col("page") == "NextSong") & F.col("ts").isNull(), "no time of play"
-            ),
-        )
+        no_time = (F.col("page") == "NextSong") & F.col("ts").isNull()
+        reason = F.when(F.col(CORRUPT).isNotNull(), "malformed line").when(no_time, "no time of play")
+        parsed = blank_to_null(batch.select(*self.schema.names)).withColumn(REASON, reason)
+        staged = f"{self.target}/_staged/slot={batch_id % 2}"
         parsed.write.mode("overwrite").parquet(staged)
         rows = self.spark.read.schema(parsed.schema).parquet(staged)
-        rejects = rows.where("_reason IS NOT NULL").drop("batch_id")
-        rejects.write.mode("overwrite").parquet(f"{self.target}/rejects/batch_id={batch_id}")
-        plays = next_song(rows.where("_reason IS NULL").drop(CORRUPT, "_reason"))
-        self._load_users(_users(plays), batch_id)
-        self._load_plays(plays, batch_id)
-
-    def _marker(self, batch_id: int) -> int | None:
-        """The number in the marker that the batch before ``batch_id`` wrote, none if there is none."""
-        found = _stored(self.spark, f"{self.target}/users_batch/slot={(batch_id - 1) % 2}")
-        return None if found is None else found.agg(F.max("batch_id")).first()[0]
-
-    def _load_users(self, state: DataFrame, batch_id: int) -> None:
-        if batch_id:
-            old = _stored(self.spark, self._slot(batch_id - 1))
-            if old is None:
-                raise RuntimeError(f"the users state of batch {batch_id - 1} is gone; restore {self.target}/users")
-            state = merge_states(old.drop("batch_id"), state, ["user_id"], KEEP, UPDATE)
-        state.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(self._slot(batch_id))
-        number = self.spark.range(1).select(F.lit(batch_id).alias("batch_id"))
-        number.write.mode("overwrite").parquet(f"{self.target}/users_batch/slot={batch_id % 2}")
-
-    def _load_plays(self, plays: DataFrame, batch_id: int) -> None:
-        earlier = _stored(self.spark, f"{self.target}/songplays")
-        if earlier is not None:
-            # The id includes the time of play, so an earlier row with the same id lies in the same day, and only
-            # the days of this batch are kept of the earlier rows.
-            day = ms_to_timestamp("ts").cast("date").alias("day")
-            earlier = earlier.where(F.col("batch_id") < batch_id).join(plays.select(day).distinct(), "day", "left_semi")
-        fresh = insert_ignore(_plays(plays, self.songs), ["songplay_id", "day"], ORDER, earlier)
-        write_partitioned(fresh, f"{self.target}/songplays/batch_id={batch_id}", ["day"])
-
-    def run(self, log_path: str, schema: StructType = LOG_WITH_ID, files_per_batch: int = 1000) -> None:
+
+        rejects = rows.where(f"{REASON} IS NOT NULL").withColumn(BATCH, F.lit(batch_id).cast("long"))
+        if batch_id == done:
+            load.upsert("rejects", rejects, lambda old, new: old.where(F.col(BATCH) != batch_id).unionByName(new))
+        else:
+            load.append("rejects", rejects)
+        plays = next_song(rows.where(f"{REASON} IS NULL").drop(CORRUPT, REASON))
+        # Nothing stored is read for the users; that it is still there is seen from the listing.
+        self.store.read("users", manifest=load.before)
+        load.append("users", _users(plays), _merged)
+        first = first_per_key(_plays(plays, self.songs), ["songplay_id"], ORDER)
+        self._count_late(load, load.insert_ignore("songplays", first, ["songplay_id"]))
+        load.mark("batch", batch_id)
+        load.publish()
+
+    def _count_late(self, load: Load, fresh: DataFrame) -> None:
+        """Count new plays that are more than ``late_days`` behind the newest of the batches before."""
+        before = load.before["marks"]
+        newest = before.get("newest")
+        behind = F.lit(False) if newest is None else F.col("ts") < newest - self.late_days * 86_400_000
+        late, last = fresh.agg(F.count_if(behind), F.max("ts")).first()
+        load.mark("late", before.get("late", 0) + late)
+        if last is not None:
+            load.mark("newest", max(last, newest or last))
+
+    def run(self, log_path: str, schema: StructType | None = None, files_per_batch: int = 1000) -> None:
         """Load every file not yet loaded, then stop."""
+        if schema is not None:
+            self._set_schema(schema)
         stream = (
-            self.spark.readStream.schema(StructType([*schema, StructField(CORRUPT, StringType())]))
+            self.spark.readStream.schema(self.schema)
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT)
             .option("maxFilesPerTrigger", files_per_batch)
@@ -160,16 +182,19 @@ class IncrementalLoad:
 
     def users(self) -> DataFrame:
         """The users table as of the last completed batch."""
-        latest = self.spark.read.parquet(f"{self.target}/users_batch").agg(F.max("batch_id")).first()[0]
-        return self.spark.read.parquet(self._slot(latest)).select("user_id", *KEEP, *UPDATE)
+        return _merged(self.store.read("users")).select("user_id", *KEEP, *UPDATE)
 
     def rejects(self) -> DataFrame:
-        """Input not loaded, one row per line or play, with the reason."""
-        return self.spark.read.option("mergeSchema", "true").parquet(f"{self.target}/rejects")
+        """Input not loaded, one row per line or play, with the reason and the number of its batch."""
+        return self.store.read("rejects")
+
+    def late(self) -> int:
+        """Plays loaded so far that came late."""
+        return self.store.manifest()["marks"].get("late", 0)
 
     def songplays(self) -> DataFrame:
         """All plays loaded so far."""
-        return self.spark.read.parquet(f"{self.target}/songplays").select(*STAR["songplays"].names)
+        return self.store.read("songplays").select(*STAR["songplays"].names)
 
     def time(self) -> DataFrame:
         """Calendar of the plays loaded so far."""

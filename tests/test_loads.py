@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType, StructType
 
 from rondo.functions.clean import count_cut
 from rondo.functions.keys import natural_key
+from rondo.operators import published
 from rondo.plans import star
 from rondo.plans.pipeline import run_lake
 from rondo.schemas import LOG, LOG_WITH_ID, SONG
@@ -125,3 +126,45 @@ def test_lake_checks_its_targets_first_and_can_be_rerun(spark, tmp_path):
         run_lake(spark, *where)
     run_lake(spark, *where, mode="overwrite", match="artist")
     assert spark.read.parquet(paths["songplays"]).count() == 1
+
+
+def written(folder, before=()):
+    return sum(f.stat().st_size for f in folder.rglob("*.parquet") if f not in before)
+
+
+def test_a_small_batch_writes_little_whatever_is_stored(spark, tmp_path):
+    sizes = []
+    for name, stored in (("few", 50), ("many", 5000)):
+        load = IncrementalLoad(spark, str(tmp_path / name))
+        log = tmp_path / f"{name}-log"
+        deliver(log, "first", *[{"userId": str(u), "event_id": u, "sessionId": u} for u in range(stored)])
+        load.run(str(log))
+        out = tmp_path / name
+        before = set(out.rglob("*.parquet"))
+        deliver(log, "second", {"userId": "3", "level": "paid", "event_id": 10_000, "ts": PLAY["ts"] + 86_400_000})
+        load.run(str(log))
+        sizes.append(sum(written(out / t, before) for t in ("users", "songplays")))
+        assert load.users().count() == stored and load.users().where("level = 'paid'").count() == 1
+    assert sizes[1] < 1.1 * sizes[0]
+
+
+def test_late_plays_are_loaded_and_counted(spark, tmp_path):
+    day = 86_400_000
+    load = loaded(spark, tmp_path, [{}], [{"event_id": 2, "ts": PLAY["ts"] - 3 * day}, {"event_id": 3, "ts": PLAY["ts"] - day // 2}])
+    assert load.songplays().count() == 3 and load.late() == 1
+
+
+def test_states_are_folded_and_stay_the_same(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(published, "MOST_FOLDERS", 2)
+    levels = ["free", "paid", "free", "paid"]
+    load = loaded(spark, tmp_path, *[[{"event_id": n, "itemInSession": n, "ts": PLAY["ts"] + n, "level": x}] for n, x in enumerate(levels)])
+    stored = load.store.manifest()["tables"]["users"]
+    assert [len(f) for f in stored.values()] == [2] and load.users().collect()[0].level == "paid"
+    assert load.store.read("users").count() == 2
+
+
+def test_rejects_of_a_repeated_batch_are_stored_once(spark, tmp_path):
+    load = loaded(spark, tmp_path, ['{"artist": ', {"ts": None, "event_id": 3}])
+    batch = spark.read.schema(load.schema).json(str(tmp_path / "log"), mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record")
+    load.apply(batch, 0)
+    assert load.rejects().count() == 2 and load.store.manifest()["version"] == 2
