@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rondo.schemas import FOREIGN_KEYS, NOT_NULL, PRIMARY_KEYS
@@ -37,6 +37,38 @@ def check_foreign_key(child: DataFrame, column: str, parent: DataFrame, parent_c
     return counts.join(known, "key", "left_anti")
 
 
+class WriteChecks:
+    """Checks of a table taken while it is written, so that it isn't read again for them.
+
+    Write ``rows`` once, by any writer; then ``counts`` and ``nulls`` give the reports of ``check_row_counts`` and
+    ``check_not_null``, and ``bounds`` the least and greatest value of each key column. They wait for the write.
+    """
+
+    def __init__(self, df: DataFrame, table: str, not_null: Sequence[str] = (), keys: Sequence[str] = ()):
+        self.table, self.not_null, self.keys, self._spark = table, list(not_null), list(keys), df.sparkSession
+        self._seen = Observation()
+        self.rows = df.observe(
+            self._seen,
+            F.count(F.lit(1)).alias("n_rows"),
+            *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in self.not_null],
+            *[f(c).alias(f"{f.__name__}_{c}") for c in self.keys for f in (F.min, F.max)],
+        )
+
+    def _frame(self, rows: list[tuple], schema: str) -> DataFrame:
+        return self._spark.createDataFrame(rows, schema)
+
+    def counts(self) -> DataFrame:
+        n = self._seen.get["n_rows"]
+        return self._frame([(self.table, n, n > 0)], "table_name string, n_rows long, passed boolean")
+
+    def nulls(self) -> DataFrame:
+        rows = [(self.table, c, self._seen.get[f"null_{c}"]) for c in self.not_null]
+        return self._frame(rows, "table_name string, column_name string, null_rows long")
+
+    def bounds(self) -> dict[str, tuple]:
+        return {c: (self._seen.get[f"min_{c}"], self._seen.get[f"max_{c}"]) for c in self.keys}
+
+
 def count_rows(df: DataFrame, name: str = "n_rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 

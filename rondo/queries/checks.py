@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rondo.operators.layout import create_namespace, drop_namespace
-from rondo.operators.quality import check_foreign_key, check_not_null, check_row_counts, check_unique_key
+from rondo.operators.quality import WriteChecks, check_foreign_key, check_not_null, check_row_counts, check_unique_key
 from rondo.plans import star
 from rondo.plans.pipeline import keyed_store, load_dimension, load_fact, run_keyed, run_lake, run_pipeline
 from rondo.queries.base import query
@@ -116,6 +117,42 @@ def quality_row_counts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _written(spark: SparkSession, checks: list[WriteChecks]) -> list[WriteChecks]:
+    """Store the tables; their checks are taken on the way."""
+    for check in checks:
+        check.rows.write.parquet(scratch_path(spark, check.table))
+    return checks
+
+
+@query("quality_row_counts_written", f"SELECT table_name, n_rows, n_rows > 0 AS passed FROM ({STAR_COUNTS_SQL})")
+def quality_row_counts_written(spark: SparkSession, sf: str) -> DataFrame:
+    """Row counts of the five tables, taken while they are written."""
+    events, songs = staging_events(spark, sf, sorted({*PLAIN_PLAY, *USER})), staging_songs(spark, sf)
+    tables = {
+        "songplays": star.songplays_inner(events, songs),
+        "users": star.users_distinct(events),
+        "songs": star.songs_distinct(songs),
+        "artists": star.artists_distinct(songs),
+        "time": star.time_nextsong(events),
+    }
+    checks = _written(spark, [WriteChecks(df, name) for name, df in tables.items()])
+    return reduce(DataFrame.unionByName, [c.counts() for c in checks])
+
+
+@query(
+    "check_not_null_written",
+    "".join(
+        f"""{'UNION ALL ' if i else ''}SELECT 'songplays' AS table_name, '{c}' AS column_name,
+        count(*) FILTER (WHERE {c} IS NULL) AS null_rows FROM ({LEFT_MD5_SQL}) """
+        for i, c in enumerate([*NOT_NULL["songplays"], "song_id", "artist_id"])
+    ),
+)
+def null_counts_written(spark: SparkSession, sf: str) -> DataFrame:
+    """Nulls in the fact table's columns, counted while it is written."""
+    plays = star.songplays_left_md5(staging_events(spark, sf, PLAIN_PLAY), staging_songs(spark, sf))
+    return _written(spark, [WriteChecks(plays, "songplays", [*NOT_NULL["songplays"], "song_id", "artist_id"])])[0].nulls()
+
+
 @query("load_fact", LEFT_MD5_SQL)
 def loaded_fact(spark: SparkSession, sf: str) -> DataFrame:
     namespace, location = _database(spark)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from rondo.functions.clean import blank_to_null
 from rondo.functions.timeparts import calendar_parts, ms_to_timestamp
@@ -16,6 +19,7 @@ from rondo.queries.base import query
 from rondo.schemas import EVENT_CSV, LOG, LOG_WITH_ID, SONG
 from rondo.session import scratch_path, shuffle_tasks
 from rondo.sources import files
+from rondo.sources.jsonpaths import stage_by_paths
 from rondo.sources.views import staging_events, staging_songs
 
 LOG_SQL = ", ".join(f'"{c}"' for c in LOG.names)
@@ -139,6 +143,39 @@ def stage_events_bulk(spark: SparkSession, sf: str) -> DataFrame:
     return files.stage(spark, log_as_json(spark, sf), LOG, fields=STAGED_NAMES)
 
 
+#: Where each staged column lies in a nested log record.
+NESTED_PATHS = {
+    "artist": "$.play.song.artist", "auth": "$['auth']", "first_name": "$.user['names'][0]", "gender": "$.user.gender",
+    "item_in_session": "$.session[1]", "last_name": "$.user.names[1]", "length": "$.play.song.length", "level": "$.user.level",
+    "location": "$.user.location", "method": "$.request.method", "page": "$.page", "registration": "$.user.registration",
+    "session_id": "$.session[0]", "song": "$.play[\"song\"].title", "status": "$.request.status", "ts": "$.ts",
+    "user_agent": "$.request.agents[0].text", "user_id": "$.user.id",
+}
+
+
+@query(
+    "stage_events_jsonpaths",
+    "SELECT "
+    + ", ".join(f'"{source}" AS {target}' for target, source in STAGED_NAMES.items() if target != "user_id")
+    + ", nullif(\"userId\", '') AS user_id FROM staging_events",
+)
+def stage_events_jsonpaths(spark: SparkSession, sf: str) -> DataFrame:
+    """Nested log records staged by a stored JSONPaths document."""
+    path = scratch_path(spark, "nested")
+    nested = staging_events(spark, sf, LOG.names).selectExpr(
+        "auth", "page", "ts", "array(sessionId, itemInSession) AS session",
+        "named_struct('song', named_struct('artist', artist, 'title', song, 'length', length)) AS play",
+        "named_struct('id', userId, 'names', array(firstName, lastName), 'gender', gender, 'level', level, 'location', location,"
+        " 'registration', registration) AS user",
+        "named_struct('method', method, 'status', status, 'agents', array(named_struct('text', userAgent))) AS request",
+    )
+    nested.write.json(f"{path}/log")
+    document = spark.range(1).select(F.lit(json.dumps({"jsonpaths": list(NESTED_PATHS.values())})).alias("value"))
+    document.coalesce(1).write.text(f"{path}/paths")
+    fields = [StructField(target, LOG[STAGED_NAMES[target]].dataType) for target in NESTED_PATHS]
+    return stage_by_paths(spark, f"{path}/log", f"{path}/paths", StructType(fields))
+
+
 @query("stage_songs_bulk", f"SELECT {SONG_SQL} FROM staging_songs")
 def stage_songs_bulk(spark: SparkSession, sf: str) -> DataFrame:
     return files.stage(spark, songs_as_json(spark, sf), SONG, clean_text=False)
@@ -150,7 +187,7 @@ def stage_songs_bulk(spark: SparkSession, sf: str) -> DataFrame:
         FROM staging_songs""",
 )
 def stage_options(spark: SparkSession, sf: str) -> DataFrame:
-    """The CSV form of the templated load: header skipped, blanks to null, long text cut."""
+    """The CSV form of the templated load: header skipped, blanks to null, text kept whole."""
     path = scratch_path(spark, "song-csv")
     staging_songs(spark, sf).select(*SONG.names).write.option("header", "true").csv(path)
     return files.stage(spark, path, SONG, fmt="csv")
