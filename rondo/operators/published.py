@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from rondo.operators.numbering import identity_ids
 from rondo.operators.upsert import without_keys
 from rondo.session import scratch_path
 
@@ -158,6 +159,17 @@ class Load:
         written = self._write(name, settled)
         self._set(name, {p: [f] if p in full else [*stored.get(p, []), f] for p, f in written.items()})
 
+    def append_numbered(self, name: str, rows: DataFrame, order: list[str], column: str) -> None:
+        """Rows added with consecutive numbers by ``order`` in ``column``, going on from the table's last published number.
+
+        The next free number is published with the rows, so a load that dies has used none and a repeated one takes the same.
+        """
+        mark = f"{name}.{column}"
+        start = self.before["marks"].get(mark, 0)
+        numbered = self._taken(name, identity_ids(rows, order, column, start))
+        self.mark(mark, start + numbered.count())
+        self._append(name, numbered)
+
     def insert_ignore(self, name: str, first: DataFrame, keys: list[str]) -> DataFrame:
         """Add the rows whose key isn't stored; ``first`` has one row a key, and a key's rows always fall into one part.
 

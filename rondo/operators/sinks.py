@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rondo.operators.joins import hot_keys
+from rondo.operators.layout import cluster_rows
 
 
 def write_partitioned(
@@ -32,6 +33,24 @@ def write_partitioned(
     placed.write.mode(mode).partitionBy(*by).parquet(path)
 
 
+def write_lookup(
+    df: DataFrame, path: str, key: Sequence[str], then: Sequence[str] = (), mode: str = "errorifexists", group_bytes: int = 16 << 20
+) -> None:
+    """Parquet laid out for lookups by value of ``key``.
+
+    Rows are clustered by ``key`` and ``then``, so the value ranges of files, row groups and pages are narrow, and each row group
+    has a Bloom filter of every key column: a lookup reads pages of the row groups that hold its value, and none for a value that isn't
+    there. The filters size themselves by their row group's values.
+    """
+    options = {
+        **{f"parquet.bloom.filter.enabled#{c}": "true" for c in key},
+        "parquet.bloom.filter.adaptive.enabled": "true",
+        "parquet.block.size": str(group_bytes),
+        "parquet.page.row.count.limit": "2000",
+    }
+    cluster_rows(df, key, then).write.mode(mode).options(**options).parquet(path)
+
+
 def write_plain(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Unpartitioned parquet; by default an existing path is an error."""
     df.write.mode(mode).parquet(path)

@@ -263,3 +263,16 @@ def join_time(songplays: DataFrame, time: DataFrame, **skew) -> DataFrame:
     """Year and month by joining the time table, as an equivalent of deriving them from start_time."""
     parts = time.select(F.col("start_time").alias("_at"), "year", "month")
     return skew_join(songplays, parts, [("start_time", "_at")], "inner", right_unique=True, **skew).drop("_at")
+
+
+def plays_at(songplays: DataFrame, time: DataFrame, when: Column | str, by: Sequence[str] = ("year", "month")) -> DataFrame:
+    """Plays, stored in folders ``by`` calendar parts, at the moments of the time table that fulfil a condition, with their calendar.
+
+    The folders that hold such moments are found first. They are no more than there are days, so they may be broadcast, and the scan
+    of the plays skips all other folders while it runs.
+    """
+    wanted = time.where(when)
+    inside = songplays.join(F.broadcast(wanted.select(*by).distinct()), list(by), "left_semi")
+    parts = [c for c in ("hour", "day", "week", "month", "year", "weekday") if c not in by]
+    moments = wanted.select(F.col("start_time").alias("_at"), *parts)
+    return inside.join(moments, F.col("start_time") == F.col("_at")).drop("_at")

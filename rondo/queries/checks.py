@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rondo.operators.layout import create_namespace, drop_namespace
 from rondo.operators.quality import WriteChecks, check_foreign_key, check_not_null, check_row_counts, check_unique_key
+from rondo.operators.unique import repeated_keys as find_repeated
 from rondo.plans import star
 from rondo.plans.pipeline import keyed_store, load_dimension, load_fact, run_keyed, run_lake, run_pipeline
 from rondo.queries.base import query
@@ -71,6 +72,17 @@ def repeated_keys(spark: SparkSession, sf: str) -> DataFrame:
     return check_unique_key(songplays, ["songplay_id"])
 
 
+@query(
+    "check_unique_key_wide",
+    """SELECT song, artist, "userAgent", level, count(*) AS n_rows FROM staging_events WHERE page = 'NextSong'
+       GROUP BY ALL HAVING count(*) > 1""",
+)
+def repeated_wide_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """A key of four texts: only rows whose key may be repeated are shuffled with it."""
+    key = ["song", "artist", "userAgent", "level"]
+    return find_repeated(star.next_song(staging_events(spark, sf, ["page", *key])), key)
+
+
 @query(
     "check_foreign_key",
     """SELECT song AS key, count(*) AS n_rows FROM staging_events

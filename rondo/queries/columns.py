@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from rondo.functions.clean import blank_to_null, count_cut, count_rejects, to_double, to_int, to_whole_decimal, truncate_text
 from rondo.functions.keys import concat_text, natural_key, session_second_key
 from rondo.functions.timeparts import date_path, ms_to_second, ms_to_timestamp
 from rondo.operators.numbering import identity_ids
+from rondo.operators.published import Parts, Published
 from rondo.operators.quality import unique_ids
 from rondo.plans.query_tables import events_denormalised
 from rondo.plans.star import LENGTH, lookup_first_match, match_catalogue, next_song
@@ -290,6 +291,24 @@ def surrogate_identity(spark: SparkSession, sf: str) -> DataFrame:
     return identity_ids(plays, ["ts", "event_id"], "songplay_id")
 
 
+@query(
+    "surrogate_identity_appended",
+    """SELECT row_number() OVER (ORDER BY level <> 'paid', ts, event_id) - 1 AS songplay_id, event_id, ts
+       FROM staging_events WHERE page = 'NextSong'""",
+)
+def surrogate_identity_appended(spark: SparkSession, sf: str) -> DataFrame:
+    """Plays of even days loaded first, then those of odd days: the second load's numbers go on where the first one's end."""
+    shape = StructType([StructField(c, LongType()) for c in ("songplay_id", "event_id", "ts")])
+    store = Published(spark, scratch_path(spark, "numbered"), {"songplays": (shape, Parts(("ts",), step=86_400_000))})
+    plays = next_song(staging_events(spark, sf, ["event_id", "ts", "page", "level"]))
+    for level in ("paid", "free"):
+        load = store.begin()
+        own = plays.where(F.col("level") == level).select("event_id", "ts")
+        load.append_numbered("songplays", own, ["ts", "event_id"], "songplay_id")
+        load.publish()
+    return store.read("songplays")
+
+
 @query(
     "surrogate_row_index",
     """SELECT md5(concat_ws('|', "sessionId"::VARCHAR, "itemInSession"::VARCHAR, ts::VARCHAR)) AS songplay_id,
