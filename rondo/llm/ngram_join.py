@@ -17,10 +17,11 @@ Only those are verified on the texts.
 
 No group is ever expanded into its pairs. Equal texts are one class from the start. In the first rounds each group, at
 first a class, is verified against one other group by one pair; groups at least halve in number each time, and nearly all
-of what belongs together is joined. In the last round all pairs that share a word and pass the sketches, but lie in
-different groups, are verified, so no link between groups is missed. Lists of classes that share a word are cut into
-blocks, and blocks are compared in tasks of their own. Memory is bounded by one shuffle bucket, whose number follows the
-data, and two blocks.
+of what belongs together is joined. In the last round all classes that share a word with a class of another group and pass the sketches
+with it get their shingle sets, and are verified where they meet: a task puts out a spanning forest of the links it finds, so no
+link between groups is missed and no more rows are made than there are classes. Lists of classes that share a word are cut into blocks,
+and blocks are compared in tasks of their own. Memory is bounded by one shuffle bucket, whose number follows the data (but the
+holders of one sketch word meet in one of them, 16 bytes a class), and two blocks or two parts of sets of ``SET_BYTES``.
 
 Defined cases: null and empty texts have an empty set, and are linked with nothing, not even each other. Rows that share
 an id but not the text are documents of their own, each compared by its own text; rows that share both are one. Rows with
@@ -32,7 +33,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 from itertools import count as numbers
 
 import numpy as np
@@ -48,7 +49,7 @@ from rondo.llm.words import mix, shingle_sets
 _U = np.uint64
 #: Sketch words in one shuffle bucket, about; 16 bytes each.
 BUCKET = 400_000
-#: Rounds that verify one pair for each group, before all pairs left are verified.
+#: Rounds that verify one pair for each group, before all classes left are compared.
 ROUNDS = 3
 #: Bits of the second sketch, at most; a longer set's sketch is as valid, and passes more wrong pairs.
 MOST_BITS = 4096
@@ -56,6 +57,8 @@ MOST_BITS = 4096
 FEW = 12
 #: Members of one block of a candidate list, about.
 BLOCK = 4096
+#: Bytes of the shingle sets that the last round compares in one task, about.
+SET_BYTES = 16 << 20
 #: Sketch words for each shingle of a band's largest set, as a fraction, or D + 1 and a tenth more if those are more.
 WORDS = 1, 5
 
@@ -234,7 +237,7 @@ def _shared(buckets: int):
 _SENT = "key long, parts int, part int, id long, n long, alone long, bits binary"
 
 
-def _rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _rarest(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[pa.RecordBatch]:
     """A row for each key a class sends: (key, parts of the key's list, part, id, set size, own keys, sketch).
 
     Also a row for each class, without a key.
@@ -263,7 +266,7 @@ def _rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent = np.flatnonzero(place < np.repeat(np.where(beyond > 0, run, run + beyond), run))
         group = np.repeat(np.arange(len(run)), run)[sent]
         whose = own[group]
-        parts = ((times[sent] - 1) // BLOCK + 1).astype(np.int32)
+        parts = ((times[sent] - 1) // block + 1).astype(np.int32)
         part = (mix(ids[sent].view(_U)) % parts.astype(_U)).astype(np.int32)
         alone = np.maximum(-beyond, 0)[group]
         for at in range(0, len(sent), 20_000):
@@ -303,18 +306,15 @@ def _close(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.
 _PAIRS = "a long, b long, la long, lb long"
 
 
-def _candidates(num: int, den: int, how: str):
-    """Pairs (a, b) of classes in two blocks of one list, of different groups, that may link.
-
-    ``how``: "each": one pair for each group that isn't the most central; "all".
-    """
+def _candidates(num: int, den: int):
+    """Pairs (a, b) of classes in two blocks of one list, of different groups, that may link: one for each group but the most central."""
     names = ["a", "b", "la", "lb"]
 
     def few(members: list[dict]) -> Iterator[tuple[int, int, int, int]]:
         """Pairs of a short block, without the cost of making arrays."""
         met: set[int] = set()
         for at, one in enumerate(members):
-            if how == "each" and one["label"] in met:
+            if one["label"] in met:
                 continue
             for other in members[:at]:
                 low, high = sorted((one["n"], other["n"]))
@@ -322,29 +322,18 @@ def _candidates(num: int, den: int, how: str):
                     continue
                 if _apart(one["bits"], other["bits"]) <= difference(low, high, num, den):
                     yield one["id"], other["id"], one["label"], other["label"]
-                    if how == "each":
-                        met.add(one["label"])
-                        break
+                    met.add(one["label"])
+                    break
 
     def many(members: list[dict], others: list[dict], same: bool) -> Iterator[tuple[int, int, int, int]]:
-        sides = [[np.array([m[k] for m in x], np.int64) for k in ("id", "label", "n")] for x in (members, others)]
-        both = _matrix([m["bits"] for m in members] + [m["bits"] for m in others])
-        left, right = both[: len(members)], both[len(members) :]
-        (ids, labels, sizes), (ids2, labels2, sizes2) = sides
+        (ids, labels, _), (ids2, labels2, _) = _columns(members), _columns(others)
         met: set[int] = set()
-        for at in range(0, len(ids), 512):
-            cut = slice(at, at + 512)
-            ok = _close(left[cut], right, sizes[cut], sizes2, num, den)
-            ok &= labels[cut, None] != labels2[None, :]
+        for at, ok in _close_tiles(members, others, num, den):
             if same:
-                ok &= np.arange(len(ids))[cut, None] > np.arange(len(ids2))[None, :]
-            if how == "all":
-                i, j = np.nonzero(ok)
-                i = i + at
-            else:
-                rows = np.flatnonzero(ok.any(1))
-                rows = np.array([r for r in rows if (x := int(labels[r + at])) not in met and not met.add(x)], np.int64)
-                i, j = rows + at, ok[rows].argmax(1)
+                ok &= np.arange(at, at + len(ok))[:, None] > np.arange(len(ids2))[None, :]
+            rows = np.flatnonzero(ok.any(1))
+            rows = np.array([r for r in rows if (x := int(labels[r + at])) not in met and not met.add(x)], np.int64)
+            i, j = rows + at, ok[rows].argmax(1)
             yield from zip(ids[i].tolist(), ids2[j].tolist(), labels[i].tolist(), labels2[j].tolist())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -367,6 +356,153 @@ def _candidates(num: int, den: int, how: str):
     return run
 
 
+def _columns(members: list[dict]) -> list[np.ndarray]:
+    return [np.array([m[k] for m in members], np.int64) for k in ("id", "label", "n")]
+
+
+def _close_tiles(members: list[dict], others: list[dict], num: int, den: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Which of ``members``, some rows at a time, may link with which of ``others`` in another group."""
+    both = _matrix([m["bits"] for m in members] + [m["bits"] for m in others])
+    left, right = both[: len(members)], both[len(members) :]
+    (_, labels, sizes), (_, labels2, sizes2) = _columns(members), _columns(others)
+    for at in range(0, len(members), 512):
+        cut = slice(at, at + 512)
+        yield at, _close(left[cut], right, sizes[cut], sizes2, num, den) & (labels[cut, None] != labels2[None, :])
+
+
+_NEAR = "g long, side int, id long, label long"
+_GOLD = 0x9E3779B97F4A7C15
+
+
+def _group(*numbers_: int) -> int:
+    """A number for a group of classes that are compared in one task; two groups of one number are compared together."""
+    out = _U(0)
+    with np.errstate(over="ignore"):
+        for x in numbers_:
+            out = mix(out * _U(_GOLD) + _U(x & ((1 << 64) - 1)))
+    return int(out.view(np.int64))
+
+
+def _near(num: int, den: int, set_bytes: int):
+    """Classes of two blocks of one list that have a candidate in another group, by groups whose sets fit into a task.
+
+    Side 0 is compared with all of its group, sides 1 and 2 with each other. Where the sets of a list hold more than ``set_bytes``, it is
+    cut into parts by id, and each two parts are a group.
+    """
+
+    def placed(own: tuple[int, ...], members: list[dict], others: list[dict] | None) -> Iterator[tuple[int, int, int, int]]:
+        held = 8 * sum(m["n"] for m in members + (others or []))
+        parts = held // set_bytes + 1
+        group = lru_cache(None)(lambda low, high: _group(*own, low, high))
+        for side, rows in ((1, members), (2, others or [])):
+            for m in rows:
+                at = _group(m["id"]) % parts if parts > 1 else 0
+                if others is None:
+                    yield group(at, at), 0, m["id"], m["label"]
+                for t in range(parts):
+                    if others is not None:
+                        yield group(at, t) if side == 1 else group(t, at), side, m["id"], m["label"]
+                    elif t != at:
+                        yield group(min(at, t), max(at, t)), 1 if at < t else 2, m["id"], m["label"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[int, int, int, int]] = []
+            for i in range(batch.num_rows):
+                members, others = (batch.column(c)[i].as_py() for c in ("members", "members2"))
+                some = members if others is None else others
+                left, right = np.zeros(len(members), bool), np.zeros(len(some), bool)
+                for at, ok in _close_tiles(members, some, num, den):
+                    left[at : at + len(ok)] = ok.any(1)
+                    right |= ok.any(0)
+                if not left.any():
+                    continue
+                kept = [m for m, ok in zip(members, left) if ok]
+                over = None if others is None else [m for m, ok in zip(others, right) if ok]
+                out.extend(placed(tuple(int(batch.column(c)[i].as_py()) for c in ("key", "part", "part2")), kept, over))
+                if len(out) > 100_000:
+                    yield _numbers(out)
+                    out = []
+            if out:
+                yield _numbers(out)
+
+    return run
+
+
+def _numbers(rows: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["g", "side", "id", "label"])
+
+
+def _sets(size: int):
+    """The shingle set of each class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (whole.slice(at, 256) for whole in batches for at in range(0, whole.num_rows, 256)):
+            found = [hashes.tobytes() for hashes in shingle_sets(batch.column("text"), size)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.binary())], ["id", "hashes"])
+
+    return run
+
+
+def forest(labels: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links between groups: pairs of labels, fewer than there are labels.
+
+    Overlaps are counted exactly, for one set with all others at once, over the lists of sets that hold a shingle.
+    """
+    sizes = np.array([len(x) for x in sets], np.int64)
+    _, code = np.unique(np.concatenate(sets), return_inverse=True)
+    holders = np.repeat(np.arange(len(sets)), sizes)[np.argsort(code, kind="stable")]
+    ends = np.cumsum(np.bincount(code))
+    begins = ends - np.bincount(code)
+    offsets = np.append(0, np.cumsum(sizes))
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (y := root.get(x, x)) != x:
+            root[x] = root.get(y, y)
+            x = y
+        return x
+
+    out = []
+    for i in range(len(sets) - 1):
+        own = code[offsets[i] : offsets[i + 1]]
+        if not len(own):
+            continue
+        met = np.concatenate([holders[b:e] for b, e in zip(begins[own].tolist(), ends[own].tolist())])
+        both = np.bincount(met, minlength=len(sets))
+        ok = (den * both >= num * (sizes[i] + sizes - both)) & (labels != labels[i])
+        if sides[i]:
+            ok &= (sides == 0) | (sides != sides[i])
+        for j in (np.flatnonzero(ok[i + 1 :]) + i + 1).tolist():
+            a, b = find(int(labels[i])), find(int(labels[j]))
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                out.append((int(labels[i]), int(labels[j])))
+    return out
+
+
+def _forest(num: int, den: int):
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        labels, sides = (table.column(c).to_numpy() for c in ("label", "side"))
+        sets = [np.frombuffer(x.as_buffer(), _U) for x in table.column("hashes").combine_chunks()]
+        found = forest(labels, sides, sets, num, den)
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([x for _, x in found], pa.int64())})
+
+    return run
+
+
+def _last_links(whole: DataFrame, texts: DataFrame, num: int, den: int, size: int) -> DataFrame:
+    """Links (a, b) between groups' labels that join all groups with a link between any two of their classes.
+
+    Candidates are verified where they meet, so what is put out grows with the classes and not with their pairs.
+    """
+    near = stored(whole.mapInArrow(_near(num, den, SET_BYTES), _NEAR), "near")
+    sets = bloom.thin(texts, near, "id", near.count()).mapInArrow(_sets(size), "id long, hashes binary")
+    return near.join(sets, "id").groupBy("g").applyInArrow(_forest(num, den), "a long, b long")
+
+
 def _verify(num: int, den: int, size: int):
     """Pairs whose sets overlap enough, computed on the texts; sets of texts met again soon are kept."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -475,7 +611,7 @@ def _groups(
     packed = classes.mapInArrow(_sketch(num, den, shingle, buckets), _PACKED)
     packed = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_shared(buckets), _PACKED)
     packed = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    sent = stored(packed.mapInArrow(_rarest, _SENT), "sent-words")
+    sent = stored(packed.mapInArrow(partial(_rarest, block=BLOCK), _SENT), "sent-words")
     sizes = sent.where("key IS NULL").groupBy("id").agg(F.max("n").alias("n"))
     sent = sent.where("key IS NOT NULL")
     member = F.struct("alone", "id", "n", "bits")
@@ -487,24 +623,28 @@ def _groups(
     texts = bloom.semi_join(_noded(rows, fresh, digest), needed, "id", needed.count())
     texts = stored(texts.dropDuplicates(["id"]), "texts")
     labels = needed.withColumn("label", F.col("id"))
+
+    def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+        roots = components(links).withColumnRenamed("node", "label")
+        joined = labels.join(roots, "label", "left")
+        return stored(joined.select("id", F.coalesce("root", "label").alias("label")), "labels")
+
     tested = None
-    for how in [*["each"] * ROUNDS, "all"]:
-        pairs = _paired(blocks, None if tested is None else labels).mapInArrow(_candidates(num, den, how), _PAIRS)
-        if how == "each":
-            # A group's pair that most of its words speak for.
-            found = pairs.groupBy("a", "b", "la", "lb").count()
-            best = F.max_by(F.struct("a", "b", "lb"), F.struct("count", -F.col("b"), -F.col("a"))).alias("_best")
-            pairs = found.groupBy("la").agg(best).select("la", "_best.*")
+    for _ in range(ROUNDS):
+        pairs = _paired(blocks, None if tested is None else labels).mapInArrow(_candidates(num, den), _PAIRS)
+        # A group's pair that most of its words speak for.
+        found = pairs.groupBy("a", "b", "la", "lb").count()
+        best = F.max_by(F.struct("a", "b", "lb"), F.struct("count", -F.col("b"), -F.col("a"))).alias("_best")
+        pairs = found.groupBy("la").agg(best).select("la", "_best.*")
         low, high = F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")
         pairs = pairs.select(high, low, F.least("la", "lb").alias("la"), F.greatest("la", "lb").alias("lb")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, f"pairs-{how}")
+        pairs = stored(pairs, "pairs")
         tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
         linked = _linked(pairs, texts, num, den, shingle).join(pairs, ["a", "b"])
-        merged = components(linked.select(F.col("la").alias("a"), F.col("lb").alias("b")))
-        labels = labels.join(merged.withColumnRenamed("node", "label"), "label", "left")
-        labels = stored(labels.select("id", F.coalesce("root", "label").alias("label")), "labels")
+        labels = merged(labels, linked.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+    labels = merged(labels, _last_links(_paired(blocks, labels), texts, num, den, shingle))
 
     nodes = sizes.join(labels, "id", "left").select(
         "id", F.col("n").alias("n_shingles"), F.coalesce("label", "id").alias("component_id")
@@ -552,11 +692,12 @@ def _paired(blocks: DataFrame, labels: DataFrame | None) -> DataFrame:
         member = F.struct("alone", "id", "n", "bits", "label")
         whole = stored(rows.groupBy("key", "parts", "part").agg(F.collect_list(member).alias("members")), "labelled")
     # A block meets itself without a join; only lists of several blocks are joined.
-    alone = whole.withColumn("members2", F.lit(None).cast(whole.schema["members"].dataType)).select("members", "members2")
+    columns = ["key", "part", "part2", "members", "members2"]
+    alone = whole.withColumn("part2", F.col("part")).withColumn("members2", F.lit(None).cast(whole.schema["members"].dataType))
     longer = whole.where("parts > 1")
     other = longer.select("key", F.col("part").alias("part2"), F.col("members").alias("members2"))
-    two = longer.join(other, "key").where("part < part2").select("members", "members2")
-    return alone.unionByName(two)
+    two = longer.join(other, "key").where("part < part2")
+    return alone.select(columns).unionByName(two.select(columns))
 
 
 def drop_near_copies(

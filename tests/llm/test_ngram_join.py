@@ -104,6 +104,56 @@ def test_blocks_of_a_list_are_compared(make, prose, monkeypatch):
     assert got == {0}
 
 
+@pytest.mark.parametrize("cut", [16 << 20, 20_000])
+def test_texts_just_under_the_threshold_make_few_rows(make, prose, monkeypatch, cut):
+    # Each two of 300 texts differ a little more than allowed; two pairs of them link.
+    monkeypatch.setattr(ngram_join, "SET_BYTES", cut)
+    rows = {}
+    real = ngram_join.stored
+
+    def counted(df, label):
+        out = real(df, label)
+        rows[label] = max(rows.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "stored", counted)
+    base, pairs = prose(21, 400), []
+    for k in range(300):
+        words = list(base)
+        for at in range(4):
+            words[(k + 97 * at) % 400] = f"n{k}x{at}"
+        pairs.append((k, " ".join(words)))
+    pairs += [(500, pairs[7][1] + " more"), (501, pairs[9][1] + " more")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.link_groups(make(pairs), 3, 95, 100).collect()}
+    assert got == brute(pairs, 3, 95, 100)
+    assert len({c for _, c in got.values()}) > 250
+    # Of 45,451 pairs nearly all pass the sketches; a class is put out once for each list, and part of a list, it is in.
+    assert rows["pairs"] <= 302 and (cut < 10**6 or rows["near"] < 302 * 60)
+
+
+def test_a_forest_joins_what_links_join():
+    draw = random.Random(6)
+    sets = [np.unique(np.array(draw.sample(range(30), draw.randrange(0, 25)), np.uint64)) for _ in range(60)]
+    labels = np.array([draw.randrange(1000, 1030) for _ in sets])
+
+    def joined(edges):
+        root = {int(x): int(x) for x in labels}
+        for a, b in edges:
+            old, new = root[a], root[b]
+            root = {k: new if v == old else v for k, v in root.items()}
+        return sorted(sorted(k for k in root if root[k] == r) for r in set(root.values()))
+
+    for sides in (np.zeros(60, int), np.array([draw.choice((1, 2)) for _ in sets]), np.array([draw.choice((0, 1, 2)) for _ in sets])):
+        links = [
+            (int(labels[i]), int(labels[j]))
+            for i, j in combinations(range(60), 2)
+            if labels[i] != labels[j] and (sides[i] != sides[j] or not sides[i])
+            and len(b := np.intersect1d(sets[i], sets[j])) and 2 * len(b) >= len(np.union1d(sets[i], sets[j]))
+        ]
+        found = ngram_join.forest(labels, sides, sets, 1, 2)
+        assert joined(found) == joined(links) and len(found) < len(set(labels.tolist())) and links
+
+
 @pytest.mark.parametrize(("num", "den"), [(90, 100), (80, 100), (1, 2), (1, 1)])
 def test_bands_hold_every_partner_in_the_next_one(num, den):
     lows = ngram_join.bands(num, den, 3000)
