@@ -499,6 +499,10 @@ def _last_links(whole: DataFrame, texts: DataFrame, num: int, den: int, size: in
     Candidates are verified where they meet, so what is put out grows with the classes and not with their pairs.
     """
     near = stored(whole.mapInArrow(_near(num, den, SET_BYTES), _NEAR), "near")
+    # Near texts share many words, so that many groups have the same classes; one of them is enough.
+    marks = [F.bit_xor(F.xxhash64(F.lit(seed), "id", "label", "side")).alias(f"_{seed}") for seed in (1, 2)]
+    alike = near.groupBy("g").agg(F.count(F.lit(1)).alias("_n"), *marks).groupBy("_n", "_1", "_2").agg(F.min("g").alias("g"))
+    near = stored(near.join(alike.select("g"), "g", "left_semi"), "near-once")
     sets = bloom.thin(texts, near, "id", near.count()).mapInArrow(_sets(size), "id long, hashes binary")
     return near.join(sets, "id").groupBy("g").applyInArrow(_forest(num, den), "a long, b long")
 
