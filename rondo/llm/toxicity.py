@@ -174,16 +174,23 @@ def fit(
     return chosen, np.array(weights)
 
 
+def _scored(
+    batches: Iterator[pa.RecordBatch], chosen: np.ndarray, weights: np.ndarray, text: str
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Pieces of the batches and their scores; short ones keep the copies on their way out small."""
+    found = _chosen_in(chosen)
+    for batch in (whole.slice(at, 1000) for whole in batches for at in range(0, whole.num_rows, 1000)):
+        scores = np.zeros(batch.num_rows)
+        if len(weights):
+            for i, slots in enumerate(_slots(batch.column(text))):
+                raw = weights[:, found(slots)].sum(1) + weights[:, -1]
+                scores[i] = (0.5 * (1 + np.tanh(raw / 2))).mean()
+        yield batch, scores
+
+
 def _scorer(chosen: np.ndarray, weights: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = _chosen_in(chosen)
-        # Short pieces keep the copies on their way out small.
-        for batch in (whole.slice(at, 1000) for whole in batches for at in range(0, whole.num_rows, 1000)):
-            scores = np.zeros(batch.num_rows)
-            if len(weights):
-                for i, slots in enumerate(_slots(batch.column("_text"))):
-                    raw = weights[:, found(slots)].sum(1) + weights[:, -1]
-                    scores[i] = (0.5 * (1 + np.tanh(raw / 2))).mean()
+        for batch, scores in _scored(batches, chosen, weights, "_text"):
             kept = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(scores)], [*batch.schema.names[:-1], "_score"])
 
@@ -210,7 +217,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", toxic: str = "toxic") -> DataFrame:
-    """Documents scored below one half, with all their columns; nothing is shuffled."""
-    model = fit(docs, labels, text, doc_id, toxic)
-    scored = score(docs, model, docs.columns, text)
-    return scored.where("_score < 0.5").select(*docs.columns)
+    """Documents scored below one half, with all their columns; nothing is shuffled, and a text goes to Python once."""
+    chosen, weights = fit(docs, labels, text, doc_id, toxic)
+    own = docs.select(text).columns[0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, scores in _scored(batches, chosen, weights, own):
+            yield batch.filter(pa.array(scores < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -56,6 +56,15 @@ def test_defined_cases(spark, make, texts):
     assert kept.columns == docs.columns and kept.where("doc_id = 2000").count() == 1
 
 
+def test_what_stays_is_what_is_scored_clean_whatever_the_columns(spark, make, texts):
+    pairs, labels = texts
+    docs = make(pairs + [(None, "plain"), (2001, None)]).selectExpr("*", "'a' AS _text", "1.5D AS _score", "array(1) AS kind")
+    scored = {r.doc_id for r in toxicity.toxicity(docs, labelled(spark, labels)).collect() if not r.predicted}
+    kept = toxicity.drop_toxic(docs, labelled(spark, labels))
+    assert kept.schema == docs.schema and {r.doc_id for r in kept.collect()} == scored
+    assert {(r._text, r._score) for r in kept.collect()} == {("a", 1.5)}
+
+
 def test_without_labels_or_documents(spark, make, texts):
     none = labelled(spark, [])
     assert {r.score for r in toxicity.toxicity(make([(1, "a"), (2, None)]), none).collect()} == {0.0}
