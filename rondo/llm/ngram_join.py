@@ -21,7 +21,8 @@ of what belongs together is joined. In the last round all classes that share a w
 with it get their shingle sets, and are verified where they meet: a task puts out a spanning forest of the links it finds, so no
 link between groups is missed and no more rows are made than there are classes. Lists of classes that share a word are cut into blocks,
 and blocks are compared in tasks of their own. Memory is bounded by one shuffle bucket, whose number follows the data (but the
-holders of one sketch word meet in one of them, 16 bytes a class), and two blocks or two parts of sets of ``SET_BYTES``.
+holders of one sketch word meet in one of them, 16 bytes a class), and two blocks or two parts of sets of ``SET_BYTES``. A set is copied to each list its class is in, or to each part of the cluster of all
+classes that such lists connect, whichever is less.
 
 Defined cases: null and empty texts have an empty set, and are linked with nothing, not even each other. Rows that share
 an id but not the text are documents of their own, each compared by its own text; rows that share both are one. Rows with
@@ -370,7 +371,7 @@ def _close_tiles(members: list[dict], others: list[dict], num: int, den: int) ->
         yield at, _close(left[cut], right, sizes[cut], sizes2, num, den) & (labels[cut, None] != labels2[None, :])
 
 
-_NEAR = "g long, side int, id long, label long"
+_NEAR = "g long, side int, id long, label long, n long"
 _GOLD = 0x9E3779B97F4A7C15
 
 
@@ -390,7 +391,7 @@ def _near(num: int, den: int, set_bytes: int):
     cut into parts by id, and each two parts are a group.
     """
 
-    def placed(own: tuple[int, ...], members: list[dict], others: list[dict] | None) -> Iterator[tuple[int, int, int, int]]:
+    def placed(own: tuple[int, ...], members: list[dict], others: list[dict] | None) -> Iterator[tuple[int, ...]]:
         held = 8 * sum(m["n"] for m in members + (others or []))
         parts = held // set_bytes + 1
         group = lru_cache(None)(lambda low, high: _group(*own, low, high))
@@ -398,16 +399,16 @@ def _near(num: int, den: int, set_bytes: int):
             for m in rows:
                 at = _group(m["id"]) % parts if parts > 1 else 0
                 if others is None:
-                    yield group(at, at), 0, m["id"], m["label"]
+                    yield group(at, at), 0, m["id"], m["label"], m["n"]
                 for t in range(parts):
                     if others is not None:
-                        yield group(at, t) if side == 1 else group(t, at), side, m["id"], m["label"]
+                        yield group(at, t) if side == 1 else group(t, at), side, m["id"], m["label"], m["n"]
                     elif t != at:
-                        yield group(min(at, t), max(at, t)), 1 if at < t else 2, m["id"], m["label"]
+                        yield group(min(at, t), max(at, t)), 1 if at < t else 2, m["id"], m["label"], m["n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple[int, int, int, int]] = []
+            out: list[tuple[int, ...]] = []
             for i in range(batch.num_rows):
                 members, others = (batch.column(c)[i].as_py() for c in ("members", "members2"))
                 some = members if others is None else others
@@ -429,9 +430,9 @@ def _near(num: int, den: int, set_bytes: int):
     return run
 
 
-def _numbers(rows: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["g", "side", "id", "label"])
+def _numbers(rows: list[tuple[int, ...]]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 3]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["g", "side", "id", "label", "n"])
 
 
 def _sets(size: int):
@@ -493,6 +494,28 @@ def _forest(num: int, den: int):
     return run
 
 
+def _by_cluster(near: DataFrame, set_bytes: int) -> DataFrame:
+    """The same classes in groups by cluster, a cluster being all classes that groups connect, where that needs fewer copies of their sets.
+
+    A class is in many lists. Compared by cluster, each set is copied once for each ``set_bytes`` that the cluster's sets hold.
+    """
+    first = near.groupBy("g").agg(F.min("id").alias("a"))
+    roots = components(near.select("g", F.col("id").alias("b")).join(first, "g").select("a", "b"))
+    placed = near.join(roots.withColumnRenamed("node", "id"), "id", "left")
+    copies = F.floor(8 * F.sum("n") / set_bytes).cast("int") + 1
+    classes = placed.where("root IS NOT NULL").groupBy("root", "id").agg(F.max("label").alias("label"), F.max("n").alias("n"), F.count(F.lit(1)).alias("_in"))
+    sizes = classes.groupBy("root").agg(copies.alias("_parts"), F.count(F.lit(1)).alias("_c"), F.sum("_in").alias("_r"))
+    cheaper = stored(sizes.where("_parts * _c <= _r").select("root", "_parts"), "clusters")
+    part = F.pmod(F.xxhash64("id"), F.col("_parts").cast("long"))
+    rows = classes.join(cheaper, "root").withColumn("_p", part.cast("int"))
+    rows = rows.withColumn("_t", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    group = F.xxhash64(F.lit(3), "root", F.least("_p", "_t"), F.greatest("_p", "_t"))
+    side = F.when(F.col("_p") == F.col("_t"), 0).when(F.col("_p") < F.col("_t"), 1).otherwise(2)
+    by_cluster = rows.select(group.alias("g"), side.alias("side"), "id", "label", "n")
+    by_list = placed.join(cheaper, "root", "left_anti").select("g", "side", "id", "label", "n")
+    return by_list.unionByName(by_cluster)
+
+
 def _last_links(whole: DataFrame, texts: DataFrame, num: int, den: int, size: int) -> DataFrame:
     """Links (a, b) between groups' labels that join all groups with a link between any two of their classes.
 
@@ -503,6 +526,7 @@ def _last_links(whole: DataFrame, texts: DataFrame, num: int, den: int, size: in
     marks = [F.bit_xor(F.xxhash64(F.lit(seed), "id", "label", "side")).alias(f"_{seed}") for seed in (1, 2)]
     alike = near.groupBy("g").agg(F.count(F.lit(1)).alias("_n"), *marks).groupBy("_n", "_1", "_2").agg(F.min("g").alias("g"))
     near = stored(near.join(alike.select("g"), "g", "left_semi"), "near-once")
+    near = stored(_by_cluster(near, SET_BYTES), "compared")
     sets = bloom.thin(texts, near, "id", near.count()).mapInArrow(_sets(size), "id long, hashes binary")
     return near.join(sets, "id").groupBy("g").applyInArrow(_forest(num, den), "a long, b long")
 
