@@ -11,9 +11,11 @@ second round, over all other blocks, starts from: there most blocks are left ear
 vectors with the same leading dimension, so their values are alike and bounds are tight.
 
 Queries are a stated set, joined with all rows block by block; only a query's own row is left out. Memory is bounded by two
-blocks. Defined cases: vectors that are null, or hold null or non-finite components, take no part. An id names one vector:
-of rows that share an id, the one that sorts first is used; null ids take no part. Only vectors of equal length are compared.
-Queries with fewer than k candidates get all of them. Extra columns are ignored. An empty table gives an empty result.
+blocks. Defined cases: vectors that are null, or hold null or non-finite components, take no part, nor do null ids. Every row
+counts: one that is repeated in full is searched once with its number of copies, and takes as many ranks. Rows that share a
+query's id are one query, whose candidates are those of each of them, and are no candidates of it. Only vectors of equal length
+are compared. Queries with fewer than k candidates get all of them. Extra columns are ignored. An empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -54,13 +56,14 @@ def _products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
 class Block:
     """The vectors of a block with their sorted lists."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, copies: np.ndarray | None = None):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
+        self.copies = np.ones(len(ids), np.int64) if copies is None else copies[order]
         self.lists = np.argsort(-self.vectors, axis=0, kind="stable")  # rows by value, falling, for each dimension
 
     def search(self, ids: np.ndarray, queries: np.ndarray, floor: np.ndarray, k: int) -> Iterator[tuple]:
-        """(query place, ids, scores) of the best k; candidates below a query's floor don't count."""
+        """(query place, ids, scores, copies) of the best k; candidates below a query's floor don't count."""
         n = len(self.ids)
         dimensions = np.arange(self.vectors.shape[1])
         up = queries >= 0
@@ -104,7 +107,7 @@ class Block:
             depth, step = end, step * 2
         for q in range(len(ids)):
             if len(places[q]):
-                yield q, self.ids[places[q]], scores[q]
+                yield q, self.ids[places[q]], scores[q], self.copies[places[q]]
 
 
 def _matrix(values: pa.Scalar, rows: int) -> np.ndarray:
@@ -112,28 +115,29 @@ def _matrix(values: pa.Scalar, rows: int) -> np.ndarray:
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Vectors of one block, in order, as one row: block, ids, vectors, floors, homes."""
-    names, held, at = ["block", "ids", "vectors", "floors", "homes"], [], None
+    """Vectors of one block, in order, as one row: block, ids, vectors, copies, floors, homes."""
+    names, held, at = ["block", "ids", "vectors", "copies", "floors", "homes"], [], None
 
     def row() -> pa.RecordBatch:
-        kinds = np.int64, np.float64, np.float64, np.int64
+        kinds = np.int64, np.float64, np.int64, np.float64, np.int64
         packed = [pa.array([np.array(c, k).tobytes()], pa.binary()) for c, k in zip(zip(*held), kinds)]
         return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), *packed], names)
 
     for batch in batches:
-        for block, vec_id, vector, floor, home in zip(*(batch.column(c).to_pylist() for c in ("block", "vec_id", "v", "floor", "home"))):
+        columns = (batch.column(c).to_pylist() for c in ("block", "vec_id", "v", "copies", "floor", "home"))
+        for block, vec_id, vector, copies, floor, home in zip(*columns):
             if held and (block != at or len(held) >= 2 * BLOCK):
                 yield row()
                 held = []
             at = block
-            held.append((vec_id, vector, -np.inf if floor is None else floor, _NOWHERE if home is None else home))
+            held.append((vec_id, vector, copies, -np.inf if floor is None else floor, _NOWHERE if home is None else home))
     if held:
         yield row()
 
 
 #: The home of a query that no block is left out for.
 _NOWHERE = -(1 << 63)
-_PACKED = "block long, ids binary, vectors binary, floors binary, homes binary"
+_PACKED = "block long, ids binary, vectors binary, copies binary, floors binary, homes binary"
 
 
 def _packed(rows: DataFrame, blocks: int) -> DataFrame:
@@ -150,19 +154,21 @@ def _walk(k: int):
         key, block = None, None
         for batch in batches:
             for i in range(batch.num_rows):
-                columns = ("ids", "vectors", "q_ids", "q_vectors", "floors", "homes")
-                ids, vectors, q_ids, q_vectors, floors, homes = (batch.column(c)[i] for c in columns)
+                columns = ("ids", "vectors", "copies", "q_ids", "q_vectors", "q_copies", "floors", "homes")
+                ids, vectors, copies, q_ids, q_vectors, q_copies, floors, homes = (batch.column(c)[i] for c in columns)
                 own = np.frombuffer(ids.as_py(), np.int64)
                 if key is None or key != (own.tobytes(), vectors.as_py()):
                     key = own.tobytes(), vectors.as_py()
-                    block = Block(own, _matrix(vectors, len(own)))
+                    block = Block(own, _matrix(vectors, len(own)), np.frombuffer(copies.as_py(), np.int64))
                 asked = np.frombuffer(q_ids.as_py(), np.int64)
                 here = np.frombuffer(homes.as_py(), np.int64) == batch.column("block")[i].as_py()
                 floor = np.where(here, np.inf, np.frombuffer(floors.as_py(), np.float64))
-                for q, found, scores in block.search(asked, _matrix(q_vectors, len(asked)), floor, k):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(found), asked[q])), pa.array(found), pa.array(scores)], ["query_id", "vec_id", "score"]
-                    )
+                times = np.frombuffer(q_copies.as_py(), np.int64)
+                for q, found, scores, same in block.search(asked, _matrix(q_vectors, len(asked)), floor, k):
+                    # More than k copies of a row take all k ranks, however many they are.
+                    ranks = np.minimum(np.minimum(same, k) * min(times[q], k), k)
+                    out = [np.full(len(found), asked[q]), found, scores, ranks]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], ["query_id", "vec_id", "score", "copies"])
 
     return run
 
@@ -177,7 +183,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, vector: str = "embe
     rows = vectors.withColumn("_query", F.coalesce(is_query, F.lit(False)))
     rows = rows.select(F.col(vec_id).cast("long").alias("vec_id"), quantised(F.col(vector)).alias("v"), "_query")
     rows = rows.where("vec_id IS NOT NULL AND v IS NOT NULL")
-    rows = rows.groupBy("vec_id", "v").agg(F.max("_query").alias("_query"))
+    rows = rows.groupBy("vec_id", "v").agg(F.max("_query").alias("_query"), F.count(F.lit(1)).alias("copies"))
     # Vectors with the same length and leading dimension are alike; of those, a hash makes blocks of a bounded size.
     sizes = F.transform("v", F.abs)
     lead = F.coalesce(F.array_position(sizes, F.array_max(sizes)), F.lit(0)).cast("int")
@@ -185,7 +191,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, vector: str = "embe
     counts = rows.groupBy("dim", "lead").count()
     rows = rows.join(counts, ["dim", "lead"])
     part = F.pmod(F.xxhash64("vec_id", "v"), F.floor((F.col("count") - 1) / BLOCK) + 1)
-    rows = stored(rows.select("vec_id", "v", "_query", "dim", F.xxhash64("dim", "lead", part).alias("block")), "blocks")
+    rows = stored(rows.select("vec_id", "v", "copies", "_query", "dim", F.xxhash64("dim", "lead", part).alias("block")), "blocks")
     total = rows.count()
     tasks = max(1, -(-total // BLOCK))
     bare = {"floor": F.lit(None).cast("double"), "home": F.lit(None).cast("long")}
@@ -200,17 +206,19 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, vector: str = "embe
     groups = max(1, -(-asked.count() // QUERIES))
     second = asked.withColumn("home", F.col("block")).join(floors, "vec_id", "left")
     second = second.withColumn("group", F.xxhash64("dim", F.pmod(F.xxhash64("vec_id", "v"), F.lit(groups))))
-    packed = _packed(second.select(F.col("group").alias("block"), "vec_id", "v", "floor", "home"), max(1, min(tasks, groups)))
+    packed = _packed(second.select(F.col("group").alias("block"), "vec_id", "v", "copies", "floor", "home"), max(1, min(tasks, groups)))
     meets = second.select("group", "dim").distinct().join(dims, "dim").select("group", "block")
     packed = stored(packed, "asked").withColumnRenamed("block", "group").join(meets, "group").drop("group")
     rest = _joined(whole, packed).mapInArrow(_walk(k), _FOUND)
     best = _best(first.unionByName(rest), k)
+    best = _best(best.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))), k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
-_FOUND = "query_id long, vec_id long, score long"
+_FOUND = "query_id long, vec_id long, score long, copies long"
 
 
 def _joined(whole: DataFrame, asked: DataFrame) -> DataFrame:
-    asked = asked.select("block", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), "floors", "homes")
-    return whole.join(asked, "block").select("block", "ids", "vectors", "q_ids", "q_vectors", "floors", "homes")
+    names = "ids", "vectors", "copies"
+    asked = asked.select("block", *(F.col(c).alias(f"q_{c}") for c in names), "floors", "homes")
+    return whole.join(asked, "block").select("block", *names, *(f"q_{c}" for c in names), "floors", "homes")

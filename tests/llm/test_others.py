@@ -6,6 +6,7 @@ import math
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 from rondo.llm import mixing, quality, sharding, token_counts, topk_search, url_filter
+from rondo.llm.queries import ORACLES, QUERIES
 
 ODD = [(None, "a"), (None, None), (3, ""), (3, ""), (4, "b " * 50_000), (5, "é☃")]
 
@@ -198,7 +200,9 @@ def test_topk_equals_brute_force(spark, monkeypatch):
     exact = {i: [math.floor(256 * float(np.float32(x))) for x in v] for i, v in rows}
     want = {}
     for q in (i for i in exact if i % 10 == 0):
-        scored = sorted((-sum(a * b for a, b in zip(exact[q], exact[c])), c) for c in exact if c != q)[:5]
+        copies = {0: 2}  # the row of id 0 is there twice, as a query and as a candidate
+        scores = [(-sum(a * b for a, b in zip(exact[q], exact[c])), c) for c in exact if c != q for _ in range(copies.get(c, 1))]
+        scored = sorted(scores * copies.get(q, 1))[:5]
         want.update({(q, n): (c, -s) for n, (s, c) in enumerate(scored, 1)})
     assert got == want
     assert topk_search.search(vectors.limit(0), F.col("vec_id") % 10 == 0).count() == 0
@@ -217,6 +221,18 @@ def test_topk_takes_every_vector_of_an_id(spark, monkeypatch):
     assert [tuple(r) for r in got] == want
 
 
+def test_topk_equals_its_sql_on_repeated_rows(spark, tmp_path):
+    draw = random.Random(10)
+    rows = [(i, [draw.choice((-0.5, 0.25, 1.0)) for _ in range(3)]) for i in range(120)]
+    rows = [r for r in rows for _ in range(draw.choice((1, 1, 2, 9)))] + [(7, [0.5] * 3), (50, [-1.0] * 3), (60, None)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    duck = duckdb.connect()
+    duck.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    got = QUERIES["op1_threshold_search"](spark, str(tmp_path))
+    want = duck.sql(ORACLES["op1_threshold_search"])
+    assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+
+
 def test_topk_with_very_large_components(spark):
     rows = [(0, [1e30, 1.0]), (1, [-1e30, 1.0]), (2, [1.0, 2.0])]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
