@@ -4,9 +4,15 @@ Documents longer than a sequence are cut; full pieces fill sequences of their ow
 of each length matters, so the search runs on a table of at most ``capacity`` counts, whatever the size of the corpus,
 and its answer is a list of patterns: a filling and how many sequences use it. Best-fit decreasing gives the first
 solution. If it needs more sequences than the lower bound, branch and bound looks for better ones: around the largest
-piece left it enumerates the fillings that no other one dominates, uses each as often as the counts allow, and gives up
-branches that have wasted more than a better solution could. Spark then numbers the pieces of each length and deals them
-to the patterns' places.
+piece left it enumerates the fillings that no other one dominates, and gives up branches that have wasted more than a better
+solution could. Branches are taken in the order of their departures from the first choice, which is the filling with the least
+waste, used as often as the counts allow: each next filling is one departure, and so is each halving of the uses, down to one.
+Spark then numbers the pieces of each length and deals them to the patterns' places.
+
+The search is bounded by ``nodes`` alone. A node costs 1, again for every 100 lengths it has left, and again for every 400 steps
+its enumeration of fillings may take; where all branches are done and an enumeration was cut short, the search starts anew with
+four times the steps. Given nodes enough it ends with the fewest sequences there can be; stopped before, it may need more than
+that, never lose a piece. ``lower_bound`` tells how far it can be from the fewest.
 
 Defined cases: a null or empty text is its end token alone. Repeated rows and ids are pieces like any other. Extra
 columns are ignored. An empty table gives an empty result.
@@ -14,6 +20,8 @@ columns are ignored. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
+import heapq
 import os
 import unicodedata
 import zlib
@@ -21,6 +29,8 @@ from array import array
 from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
+from itertools import count
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -59,12 +69,12 @@ def _segments(text: str) -> Iterator[str]:
 class Tokens(dict):
     """The token ids of words as packed bytes, each word encoded when it is first asked for."""
 
-    def __init__(self, path: str):
+    def __init__(self, vocabulary: str):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_str(vocabulary)
 
     def __missing__(self, word: str) -> bytes:
         """Latin words, with signs after them or not, skip the tokenizer's slow outer layers."""
@@ -82,19 +92,25 @@ class Tokens(dict):
         return ids
 
 
-#: One per tokenizer and Python worker, which keeps it from task to task.
+#: The last tokenizer of a Python worker, which keeps it from task to task, under its checksum.
 _tokens: dict[str, Tokens] = {}
 
 
-def _tokenise(path: str, capacity: int):
+def known_tokens(vocabulary: str, checksum: str) -> Tokens:
+    if checksum not in _tokens:
+        _tokens.clear()
+        _tokens[checksum] = Tokens(vocabulary)
+    return _tokens[checksum]
+
+
+def _tokenise(vocabulary: str, capacity: int):
+    checksum = hashlib.sha256(vocabulary.encode()).hexdigest()
     schema = pa.schema(
         [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _tokens:
-            _tokens[path] = Tokens(path)
-        known = _tokens[path]
+        known = known_tokens(vocabulary, checksum)
 
         def encoded(text: str) -> Iterator[bytes]:
             # The tokenizer drops white space and never looks across it, so words can be encoded one by one.
@@ -175,11 +191,12 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     return best
 
 
-def fillings(largest: int, counts: dict[int, int], capacity: int, limit: int) -> list[tuple[int, Counter]]:
-    """(waste, other pieces) around a piece of the largest length: those that no other filling dominates, best first.
+def fillings(largest: int, counts: dict[int, int], capacity: int, limit: int) -> tuple[list[tuple[int, Counter]], bool]:
+    """(waste, other pieces) around a piece of the largest length, best first, and whether they are all there are.
 
-    A filling is dominated if one more piece fits, or one of its pieces, or two together, can be exchanged for a larger
-    one. At most ``limit`` steps are taken; a filling without waste ends the search.
+    Those that another filling dominates are left out: one more piece fits, or one of its pieces, or two together, can be
+    exchanged for a larger one. At most ``limit`` steps are taken; a filling without waste ends the search. The filling that
+    takes the largest pieces that fit is always there.
     """
     lengths = sorted((x for x, n in counts.items() if n), reverse=True)
     found: list[tuple[int, Counter]] = []
@@ -215,45 +232,63 @@ def fillings(largest: int, counts: dict[int, int], capacity: int, limit: int) ->
         return False
 
     extend(0, capacity - largest, [], Counter({largest: 1}))
-    return sorted(found, key=lambda f: (f[0], sum(f[1].values())))
+    room, greedy = capacity - largest, Counter()
+    for x in lengths:
+        if n := min(room // x, counts[x] - (x == largest)):
+            greedy[x], room = n, room - n * x
+    if steps > limit and all(others != greedy for _, others in found):
+        found.append((room, greedy))
+    return sorted(found, key=lambda f: (f[0], sum(f[1].values()))), steps <= limit
 
 
 def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 3000, steps: int = 400) -> list[Pattern]:
-    """The best packing found: best-fit decreasing, or better ones from branch and bound.
-
-    ``nodes`` bounds the search; a node counts once and again for every 100 lengths it has left.
-    """
+    """The best packing found: best-fit decreasing, or better ones from branch and bound."""
     counts = {int(x): int(n) for x, n in counts.items() if n}
     best = best_fit(counts, capacity)
     least = lower_bound(counts, capacity)
     total = sum(x * n for x, n in counts.items())
     fewest = sum(n for n, _ in best)
-    # Depth first, each entry a state still to look at: what is left, the patterns so far, sequences and waste so far.
-    stack = [(counts, [], 0, 0)] if fewest > least else []
-    while stack and nodes > 0 and fewest > least:
-        left, patterns, used, waste = stack.pop()
-        nodes -= 1 + len(left) // 100
-        if waste > (fewest - 1) * capacity - total:
-            continue
-        if not left:
-            best, fewest = patterns, used
-            continue
-        quick = best_fit(left, capacity)
-        if used + sum(n for n, _ in quick) < fewest:
-            best = patterns + quick
-            fewest = sum(n for n, _ in best)
-        if used + lower_bound(left, capacity) >= fewest:
-            continue
-        largest = max(left)
-        children = []
-        for gap, others in fillings(largest, left, capacity, steps)[:4]:
-            filling = Counter(others)
-            filling[largest] += 1
-            times = min(left[x] // n for x, n in filling.items())
-            rest = {x: n - times * filling[x] for x, n in left.items() if n > times * filling[x]}
-            pattern = (times, tuple(sorted(filling.items(), reverse=True)))
-            children.append((rest, [*patterns, pattern], used + times, waste + times * gap))
-        stack.extend(reversed(children))
+    per_node, whole = steps, False
+    while not whole and nodes > 0 and fewest > least:
+        whole = True  # unless an enumeration is cut short
+        seen: dict[frozenset, int] = {}  # sequences with which a state was reached
+        # By departures, then depth: the state before, its fillings, which of them, how often its uses are halved.
+        order = count()
+        start = {"left": counts, "patterns": [], "used": 0, "waste": 0}
+        queue: list[tuple] = [(0, 0, next(order), start, None, 0)]
+        while queue and nodes > 0 and fewest > least:
+            departures, depth, _, state, at, halved = heapq.heappop(queue)
+            if at is not None:
+                gap, filling = state["fillings"][at]
+                most = min(state["left"][x] // n for x, n in filling.items())
+                if halved == 0 and at + 1 < len(state["fillings"]):
+                    heapq.heappush(queue, (departures + 1, depth, next(order), state, at + 1, 0))
+                if most >> (halved + 1):
+                    heapq.heappush(queue, (departures + 1, depth, next(order), state, at, halved + 1))
+                times = most >> halved
+                left = {x: n - times * filling[x] for x, n in state["left"].items() if n > times * filling[x]}
+                patterns = [*state["patterns"], (times, tuple(sorted(filling.items(), reverse=True)))]
+                state = {"left": left, "patterns": patterns, "used": state["used"] + times, "waste": state["waste"] + times * gap}
+            left, used = state["left"], state["used"]
+            nodes -= 1 + len(left) // 100 + (per_node - 1) // 400
+            if state["waste"] > (fewest - 1) * capacity - total:
+                continue
+            key = frozenset(left.items())
+            if seen.get(key, used + 1) <= used:
+                continue
+            seen[key] = used
+            quick = best_fit(left, capacity)
+            if used + sum(n for n, _ in quick) < fewest:
+                best = state["patterns"] + quick
+                fewest = sum(n for n, _ in best)
+            if not left or used + lower_bound(left, capacity) >= fewest:
+                continue
+            largest = max(left)
+            around, all_of_them = fillings(largest, left, capacity, per_node)
+            whole &= all_of_them
+            state["fillings"] = [(gap, others + Counter({largest: 1})) for gap, others in around]
+            heapq.heappush(queue, (departures, depth - 1, next(order), state, 0, 0))
+        per_node *= 4
     return best
 
 
@@ -316,7 +351,10 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
 def pack_documents(
     docs: DataFrame, tokenizer: str, capacity: int = 4096, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+
+    The driver reads the file ``tokenizer``; workers get its text with their tasks.
+    """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     shape = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    return pack(stored(rows.mapInArrow(_tokenise(tokenizer, capacity), shape), "pieces"), capacity)
+    return pack(stored(rows.mapInArrow(_tokenise(Path(tokenizer).read_text("utf-8"), capacity), shape), "pieces"), capacity)

@@ -1,13 +1,18 @@
-"""Intermediate tables in the shared scratch folder, and the package's place for Python workers."""
+"""Intermediate tables in the shared scratch folder, and the package's code for Python workers."""
 
 from __future__ import annotations
 
-import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from rondo.session import scratch_path
 
+#: Applications whose workers have the package.
+_shipped: set[str] = set()
+
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: the lineage ends there, and every executor sees it."""
@@ -17,9 +22,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def share_code(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver found it, where it isn't installed for them."""
-    home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    environment = spark.sparkContext.environment
-    known = environment.get("PYTHONPATH", "")
-    if home not in known.split(os.pathsep):
-        environment["PYTHONPATH"] = os.pathsep.join(x for x in (known, home) if x)
+    """Ship this package to the Python workers, once a session: they need not see the folder the driver has it in."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    # Spark copies the file from the driver to every executor, also to those that come later.
+    archive = Path(tempfile.mkdtemp(prefix="code-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)

@@ -100,8 +100,22 @@ def test_bin_completion_is_optimal_on_small_sets():
 
 def test_fillings_are_undominated():
     counts = {6: 1, 5: 1, 4: 2, 3: 1, 2: 2}
-    found = packing.fillings(6, counts, 10, 1000)
-    assert found[0] == (0, Counter({4: 1}))
+    found, whole = packing.fillings(6, counts, 10, 1000)
+    assert found[0] == (0, Counter({4: 1})) and whole
+    found, whole = packing.fillings(6, counts, 10, 1)
+    assert found == [(0, Counter({4: 1}))] and not whole
+
+
+def test_search_goes_beyond_best_fit_and_the_first_choices():
+    draw = random.Random(1)
+    gains, rounds = 0, 40
+    for _ in range(rounds):
+        items = [draw.randint(250, 550) for _ in range(40)]
+        counts = Counter(items)
+        few, many = (sum(n for n, _ in packing.bin_completion(counts, 1000, nodes=n)) for n in (1, 3000))
+        assert packing.lower_bound(counts, 1000) <= many <= few
+        gains += many < few
+    assert gains > rounds // 4
 
 
 def test_counts_of_any_size():
