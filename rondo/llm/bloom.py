@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rondo.llm.store import unused
+
 MAX_WORDS = 1 << 22
 
 
@@ -55,10 +57,12 @@ def repeated(df: DataFrame, hashed: Column, words: int) -> DataFrame:
 
 def probe(df: DataFrame, hashed: Column, words: int, found: DataFrame, name: str = "_maybe") -> DataFrame:
     """Add a boolean column: False if the row's hash is surely not in the filter. Rows don't move."""
-    keyed = df.withColumn("_hash", hashed).withColumn("_word", _word(F.col("_hash"), words))
-    mask = _mask(F.col("_hash"))
-    hit = F.coalesce(F.col("_bits").bitwiseAND(mask) == mask, F.lit(False))
-    return keyed.join(F.broadcast(found), "_word", "left").withColumn(name, hit).drop("_hash", "_word", "_bits")
+    own, word, bits = (unused(c, df.columns) for c in ("_hash", "_word", "_bits"))
+    keyed = df.withColumn(own, hashed).withColumn(word, _word(F.col(own), words))
+    mask = _mask(F.col(own))
+    hit = F.coalesce(F.col(bits).bitwiseAND(mask) == mask, F.lit(False))
+    found = found.select(F.col("_word").alias(word), F.col("_bits").alias(bits))
+    return keyed.join(F.broadcast(found), word, "left").withColumn(name, hit).drop(own, word, bits)
 
 
 def _id_hash(name: str) -> Column:
@@ -67,8 +71,8 @@ def _id_hash(name: str) -> Column:
 
 def thin(df: DataFrame, ids: DataFrame, name: str, count: int) -> DataFrame:
     """Rows of ``df`` whose id may be in ``ids``, a column of that name; nothing is shuffled but the filter."""
-    words = words_for(count)
-    return probe(df, _id_hash(name), words, members(ids, _id_hash(name), words)).where("_maybe").drop("_maybe")
+    words, maybe = words_for(count), unused("_maybe", df.columns)
+    return probe(df, _id_hash(name), words, members(ids, _id_hash(name), words), maybe).where(F.col(maybe)).drop(maybe)
 
 
 def semi_join(df: DataFrame, ids: DataFrame, name: str, count: int) -> DataFrame:
@@ -78,7 +82,7 @@ def semi_join(df: DataFrame, ids: DataFrame, name: str, count: int) -> DataFrame
 
 def anti_join(df: DataFrame, ids: DataFrame, name: str, count: int) -> DataFrame:
     """Rows of ``df`` whose id is not in ``ids`` (a null id never is); most rows pass without a shuffle."""
-    words = words_for(count)
-    probed = probe(df, _id_hash(name), words, members(ids, _id_hash(name), words))
-    doubtful = probed.where("_maybe").drop("_maybe").join(ids.select(name).distinct(), name, "left_anti")
-    return probed.where("NOT _maybe").drop("_maybe").unionByName(doubtful)
+    words, maybe = words_for(count), unused("_maybe", df.columns)
+    probed = probe(df, _id_hash(name), words, members(ids, _id_hash(name), words), maybe)
+    doubtful = probed.where(F.col(maybe)).drop(maybe).join(ids.select(name).distinct(), name, "left_anti")
+    return probed.where(~F.col(maybe)).drop(maybe).unionByName(doubtful)

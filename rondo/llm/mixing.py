@@ -14,7 +14,7 @@ it has of all tokens, and the named shares are scaled to the rest. A target shar
 named ones.
 
 Defined cases: a null category is "other". Null and empty texts have one token, so that they are drawn like others. Repeated rows
-share their draw. Extra columns pass through ``mix``. An empty table gives an empty result.
+share their draw. Extra columns, whatever their names, pass through ``mix``. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -147,24 +147,25 @@ def _category(column: Column, named: Mapping[str, float]) -> Column:
 
 def calibrated(
     docs: DataFrame, targets: Targets, columns: Mapping[str, Column], keep: float, text: str = "text"
-) -> tuple[DataFrame, dict]:
-    """``docs`` with _tokens, _cell and _chance, and the cells (key: tokens, chance). ``keep``: share of all tokens to stay."""
+) -> tuple[Column, dict]:
+    """A document's cell, and the cells by it: tokens, chance. ``keep``: share of all tokens to stay."""
     cell = F.concat_ws("\x1f", *(_category(columns[c], targets[c]) for c in targets))
-    rows = docs.withColumn("_cell", cell).withColumn("_tokens", tokens(F.col(text)))
     names = [[*(n for n in targets[c] if n != OTHER), OTHER] for c in targets]
     sums = np.zeros([len(n) for n in names])
     # At most one row a cell.
-    for key, total in rows.groupBy("_cell").agg(F.sum("_tokens")).collect():
+    for key, total in docs.select(cell.alias("cell"), tokens(F.col(text)).alias("tokens")).groupBy("cell").agg(F.sum("tokens")).collect():
         sums[tuple(n.index(part) for n, part in zip(names, key.split("\x1f")))] = total
     goals = goals_of(sums, targets, names)
     chances = probabilities(rake(sums, goals), sums, keep * sums.sum() if sums.sum() else None, goals=goals)
     cells = {
         "\x1f".join(own[i] for own, i in zip(names, at)): (float(sums[at]), float(chances[at])) for at in np.ndindex(sums.shape) if sums[at]
     }
-    if not cells:
-        return rows.withColumn("_chance", F.lit(0.0)), cells
-    chance = F.create_map(*(F.lit(x) for key, (_, p) in cells.items() for x in (key, p)))
-    return rows.withColumn("_chance", F.element_at(chance, F.col("_cell"))), cells
+    return cell, cells
+
+
+def _chance(cell: Column, cells: dict) -> Column:
+    chances = [F.lit(x) for key, (_, p) in cells.items() for x in (key, p)]
+    return F.element_at(F.create_map(*chances), cell) if chances else F.lit(0.0)
 
 
 def marginals(cells: dict, targets: Targets) -> dict[str, dict[str, tuple[float | None, float, float]]]:
@@ -195,8 +196,8 @@ def mix(
     doc_id: str = "doc_id",
 ) -> DataFrame:
     """The drawn documents with all their columns; nothing is shuffled but the sums of the cells."""
-    rows, _ = calibrated(docs, targets, columns, keep, text)
-    return rows.where(draw(doc_id, text, seed) < F.col("_chance")).select(*docs.columns)
+    cell, cells = calibrated(docs, targets, columns, keep, text)
+    return docs.where(draw(doc_id, text, seed) < _chance(cell, cells))
 
 
 def plan(
@@ -209,14 +210,12 @@ def plan(
     doc_id: str = "doc_id",
 ) -> DataFrame:
     """Every document with its cell, tokens, probability and whether it is drawn."""
-    rows, _ = calibrated(docs, targets, columns, keep, text)
-    return rows.select(
-        F.col(doc_id).alias("doc_id"),
-        F.translate("_cell", "\x1f", "/").alias("cell"),
-        F.col("_tokens").alias("tokens"),
-        F.col("_chance").alias("probability"),
-        (draw(doc_id, text, seed) < F.col("_chance")).alias("drawn"),
-    )
+    cell, cells = calibrated(docs, targets, columns, keep, text)
+    rows = docs.select(
+        F.col(doc_id).alias("doc_id"), cell.alias("cell"), tokens(F.col(text)).alias("tokens"), draw(doc_id, text, seed).alias("draw")
+    ).withColumn("probability", _chance(F.col("cell"), cells))
+    drawn = (F.col("draw") < F.col("probability")).alias("drawn")
+    return rows.select("doc_id", F.translate("cell", "\x1f", "/").alias("cell"), "tokens", "probability", drawn)
 
 
 #: Production targets: every source alike, languages and topics as given.

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from rondo.llm import bloom, exact_dedup
 from rondo.llm.components import components
-from rondo.llm.store import stored
+from rondo.llm.store import stored, unused
 from rondo.llm.words import mix, shingle_sets
 
 _U = np.uint64
@@ -733,7 +733,7 @@ def drop_near_copies(
 ) -> DataFrame:
     """One document of each group stays, the one with the smallest id. Rows with a null id stay.
 
-    Of a group's texts that share the smallest id, one stays.
+    Of a group's texts that share the smallest id, one stays. Columns may have any names.
     """
     groups, fresh = _groups(docs, shingle, num, den, text, doc_id)
     gone = stored(groups.where("NOT stays").select(F.col("doc_id").alias(doc_id), "text_sha256"), "gone")
@@ -742,9 +742,10 @@ def drop_near_copies(
     # An id may name texts that go and others that stay; only rows whose id is among those that go are shuffled.
     words = bloom.words_for(gone.count())
     hashed = F.xxhash64(F.lit(7), F.col(doc_id))
-    probed = bloom.probe(docs, hashed, words, bloom.members(gone, hashed, words))
+    maybe, own = unused("_maybe", docs.columns), unused("_digest", docs.columns)
+    probed = bloom.probe(docs, hashed, words, bloom.members(gone, hashed, words), maybe)
     digest = F.sha2(exact_dedup.normalised(F.col(text)).cast("binary"), 256)
-    some = probed.where("_maybe").drop("_maybe").withColumn("_digest", digest)
-    listed = gone.select(doc_id, F.col("text_sha256").alias("_digest")).distinct()
-    some = some.join(listed, [doc_id, "_digest"], "left_anti").select(*docs.columns)
-    return probed.where("NOT _maybe").select(*docs.columns).unionByName(some)
+    some = probed.where(F.col(maybe)).drop(maybe).withColumn(own, digest)
+    listed = gone.select(doc_id, F.col("text_sha256").alias(own)).distinct()
+    some = some.join(listed, [doc_id, own], "left_anti").select(*docs.columns)
+    return probed.where(~F.col(maybe)).select(*docs.columns).unionByName(some)

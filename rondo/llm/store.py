@@ -21,6 +21,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, with underscores before it until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def share_code(spark: SparkSession) -> None:
     """Ship this package to the Python workers, once a session: they need not see the folder the driver has it in."""
     context = spark.sparkContext

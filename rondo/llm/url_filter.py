@@ -5,6 +5,9 @@ or digit stands directly before or after it. A URL is blocked on one strict term
 terms add up to ``limit``. Rules (host, path) go first: a rule fits its host and all subdomains of it if the URL's path
 starts with the rule's; the longest fitting rule decides.
 
+The vocabulary is a parameter: the short list below, or a version of a table of terms (``read_vocabulary``), of up to
+``MOST`` terms, which is what bounds the automaton; a larger one is refused, never cut. A worker builds it once.
+
 Defined cases: a URL that is null or has no ``://`` has an empty host and path and no terms, and is allowed. A port or a user
 name is part of the host. Repeated rows and ids are judged one by one. Extra columns are ignored. An empty table gives an
 empty result.
@@ -12,10 +15,11 @@ empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+import hashlib
+from collections.abc import Iterable, Iterator, Mapping
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 STRICT = ("casino", "cheap-pills", "escort", "hardcore", "malware", "phishing", "porn", "spam-farm", "torrent", "viagra", "xxx")
@@ -38,23 +42,64 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.translate(host, upper, upper.lower()), path
 
 
-def _terms(strict: tuple[str, ...], soft: Mapping[str, int]):
-    """Strict hits and the weight of distinct soft hits of each URL."""
+#: Terms of a vocabulary, at most: their automaton takes some 100 MB of a worker.
+MOST = 500_000
+VOCABULARY = "version int, term string, kind string, weight int"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def vocabulary_rows(spark: SparkSession, strict: Iterable[str], soft: Mapping[str, int], version: int) -> DataFrame:
+    """A version of a vocabulary as rows to append to its table."""
+    rows = [(version, t, "strict", None) for t in strict] + [(version, t, "soft", w) for t, w in soft.items()]
+    return spark.createDataFrame(rows, VOCABULARY)
+
+
+def read_vocabulary(terms: DataFrame, version: int | None = None) -> tuple[tuple[str, ...], dict[str, int]]:
+    """The strict terms and the soft ones with their weights, of the newest version or the one asked for.
+
+    Terms are lower-cased. A strict term is not soft as well; of a soft term given twice the larger weight counts, and a
+    weight that is null is 1. Null and empty terms and other kinds are left out. A version without rows has no terms.
+    """
+    if version is None:
+        version = terms.agg(F.max("version")).first()[0]
+    own = terms.where(F.col("version") == F.lit(version)).select(F.lower("term").alias("term"), "kind", "weight")
+    own = own.where("term <> '' AND kind IN ('strict', 'soft')")
+    own = own.groupBy("term").agg(F.bool_or(F.col("kind") == "strict").alias("strict"), F.max(F.coalesce("weight", F.lit(1))).alias("weight"))
+    rows = own.orderBy("term").limit(MOST + 1).collect()
+    if len(rows) > MOST:
+        raise ValueError(f"a vocabulary has at most {MOST} terms")
+    return tuple(r.term for r in rows if r.strict), {r.term: r.weight for r in rows if not r.strict}
+
+
+#: The last automaton of a Python worker, under the checksum of its terms.
+_automata: dict[str, object] = {}
+
+
+def known_automaton(terms: frozenset[str], checksum: str):
+    if checksum not in _automata:
         import ahocorasick
 
         automaton = ahocorasick.Automaton()
-        for term in {*strict, *soft}:
+        for term in terms:
             automaton.add_word(term, term)
         automaton.make_automaton()
-        hard = set(strict)
+        _automata.clear()
+        _automata[checksum] = automaton
+    return _automata[checksum]
+
+
+def _terms(strict: tuple[str, ...], soft: Mapping[str, int]):
+    """Strict hits and the weight of distinct soft hits of each URL."""
+    hard, terms = frozenset(strict), frozenset({*strict, *soft})
+    checksum = hashlib.sha256("\n".join(sorted(terms)).encode()).hexdigest()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = known_automaton(terms, checksum) if terms else None
         for batch in batches:
             strict_hits, weights = [], []
             for url in batch.column("_text").to_pylist():
                 url = url or ""
                 found = set()
-                for end, term in automaton.iter(url):
+                for end, term in automaton.iter(url) if terms else ():
                     start = end - len(term)
                     if (start < 0 or url[start] not in INSIDE) and (end + 1 == len(url) or url[end + 1] not in INSIDE):
                         found.add(term)
