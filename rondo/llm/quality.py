@@ -4,8 +4,8 @@ All grades share one weight vector over hashed text features; ordered thresholds
 P(grade > k) = sigmoid(score - threshold[k]). That gives each text an expected grade and, for selection, the probability
 of a grade of at least ``least``.
 
-Features are hashed words, shapes of word endings, and the share of words that repeat the word or the word run before,
-all as shares of the text's words, so length alone says nothing.
+Features are hashed words and shapes of word endings, as the root of their share of the text's words, and four times the
+share of words that repeat the word or the word run before, so length alone says nothing.
 
 The model is fitted on at most ``max_rated`` rated texts, taken in the order of a hash of the id; all texts are scored
 whole. Defined cases: null and empty texts have no features and are scored by the thresholds alone. Null and repeated ids are
