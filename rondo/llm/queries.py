@@ -23,7 +23,7 @@ from rondo.llm import (
     toxicity,
     url_filter,
 )
-from rondo.llm.store import share_code
+from rondo.llm.store import share_code, small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +64,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose sets of 3-word shingles overlap by 90 % or more."""
+    small_batches(spark)
     return ngram_join.link_groups(_table(spark, sf_dir, "documents"), shingle=3, num=90, den=100)
 
 

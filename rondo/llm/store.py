@@ -12,6 +12,8 @@ from rondo.session import scratch_path
 
 #: Applications whose workers have the package.
 _shipped: set[str] = set()
+#: Rows of an Arrow batch; of texts of some kB it holds some MB.
+BATCH_ROWS = 2000
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -42,3 +44,13 @@ def share_code(spark: SparkSession) -> None:
             out.write(file, file.relative_to(package.parent))
     context.addPyFile(str(archive))
     _shipped.add(context.applicationId)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to Python ``BATCH_ROWS`` at a time, unless the session names a number of its own.
+
+    A worker's memory, and that of its executor's buffers, follows the batch. For applications: operators leave settings alone.
+    """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows, None) is None:
+        spark.conf.set(rows, str(BATCH_ROWS))
