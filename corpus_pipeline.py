@@ -9,12 +9,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from rondo.llm import exact_dedup, mixing, ngram_join, packing, toxicity
-from rondo.llm.store import share_code, stored
+from rondo.llm.store import share_code, small_batches, stored
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored toxic go."""
     share_code(spark)
+    small_batches(spark)
     return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -26,6 +27,7 @@ def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document stays of each group linked by 0.8 or more of their shingles of five words."""
     share_code(spark)
+    small_batches(spark)
     return ngram_join.drop_near_copies(docs, shingle=5, num=80, den=100)
 
 
@@ -37,6 +39,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece's place in sequences of 4096 tokens."""
     share_code(spark)
+    small_batches(spark)
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
