@@ -9,7 +9,7 @@ from rondo.operators.quality import count_rows
 from rondo.operators.reduce import distinct_rows, first_per_key, last_per_key
 from rondo.operators.upsert import upsert_ignore, upsert_last_write, upsert_update
 from rondo.plans.query_tables import events_denormalised, user_songs
-from rondo.plans.star import ARTIST, TITLE, match_catalogue, next_song
+from rondo.plans.star import ARTIST, TITLE, distinct_matches, next_song
 from rondo.queries.base import query
 from rondo.sources.views import staging_events, staging_songs
 
@@ -35,10 +35,7 @@ def distinct_users(spark: SparkSession, sf: str) -> DataFrame:
 def distinct_after_join(spark: SparkSession, sf: str) -> DataFrame:
     kept = ["ts", "userId", "level", "sessionId"]
     plays = next_song(staging_events(spark, sf, [*kept, "page", "song", "artist"]))
-    matched = match_catalogue(
-        plays, staging_songs(spark, sf), (TITLE, ARTIST), "inner", distinct_songs=True
-    )
-    return matched.select(*kept, "song_id", "artist_id").distinct()
+    return distinct_matches(plays.drop("page"), staging_songs(spark, sf), (TITLE, ARTIST))
 
 
 @query("count_rows", "SELECT count(*) AS n_rows FROM staging_events")

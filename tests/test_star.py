@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from rondo.plans import star
 from rondo.schemas import LOG_WITH_ID, SONG, STAR
@@ -131,3 +132,47 @@ def test_builders_do_not_depend_on_partitioning(spark, rows):
         assert rows(star.users_upsert(e)) == rows(star.users_upsert(events))
         assert rows(star.songs_dim(s)) == rows(star.songs_dim(songs))
         assert rows(star.songplays_lookup(e, s)) == rows(star.songplays_lookup(events, songs))
+
+
+def test_matches_are_distinct_where_ids_have_several_titles(spark, rows, skew):
+    events = log(
+        spark, {}, {"itemInSession": 9}, {"song": "Sun (live)"}, {"song": "Moon"}, {"song": None}, {"userId": "a|b\\", "level": None}, {"ts": None}
+    )
+    songs = catalogue(
+        spark, {}, {"title": "Sun (live)"}, {"title": "Sun (live)", "song_id": "SO2"}, {"title": None, "song_id": "SO3"},
+        {"song_id": None}, {"song_id": None, "title": "Moon"}, {"title": "Moon", "artist_name": "Bo", "song_id": "SO4"},
+    )
+    for build, on in ((star.songplays_inner, (star.TITLE, star.ARTIST)), (star.songplays_title_join, (star.TITLE,))):
+        plain = star.match_catalogue(star.next_song(events), songs, on, "inner").select(*star._LOGGED, *star.IDS).distinct()
+        key = star.natural_key(*[F.col(c) for c in [*star._LOGGED[:3], *star.IDS, *star._LOGGED[3:]]])
+        want = plain.select(*star._play_columns(star.ms_to_timestamp("ts"), key))
+        got = build(events, songs, **skew)
+        assert got.columns[:9] == STAR["songplays"].names
+        assert rows(got, *want.columns) == rows(want)
+
+
+def test_nothing_is_shuffled_after_the_rows_are_multiplied(spark):
+    """A title of 200 plays and 300 songs: the 60,000 matches go through no exchange and no aggregate."""
+    events = log(spark, *[{"ts": 1_541_105_830_000 + i} for i in range(200)])
+    songs = catalogue(spark, *[{"song_id": f"SO{i}", "artist_id": f"AR{i}"} for i in range(300)])
+    for build in (star.songplays_inner, star.songplays_title_join):
+        plays = build(events, songs)
+        assert plays.count() == 60_000
+        plays.collect()
+        assert 0 < max(shuffled(plays)) <= 300
+
+
+def shuffled(df):
+    """Rows written by each shuffle of a frame's last run."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        plan = todo.pop()
+        if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            todo.append(plan.executedPlan())
+        elif plan.getClass().getSimpleName().endswith("QueryStageExec"):
+            todo.append(plan.plan())
+        elif plan.getClass().getSimpleName() == "ShuffleExchangeExec":
+            found.append(plan.metrics().apply("shuffleRecordsWritten").value())
+        kids = plan.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    return found
