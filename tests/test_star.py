@@ -176,3 +176,24 @@ def shuffled(df):
         kids = plan.children()
         todo += [kids.apply(i) for i in range(kids.size())]
     return found
+
+
+def test_title_plays_are_written_where_they_are_made(spark, rows, tmp_path, monkeypatch):
+    december = 1_543_700_000_000
+    titles = ["Sun", "Moon", "Sun (live)", "Rain"]
+    events = log(
+        spark, *[{"ts": ts + i, "song": titles[i % 4]} for ts in (1_541_105_830_000, december) for i in range(200)], {"ts": None}, {"ts": None, "song": "Moon"}
+    )
+    songs = catalogue(spark, *[{"title": titles[i % 4], "song_id": f"SO{i}"} for i in range(400)], {"song_id": "SO4", "title": "Moon"}, {"title": None})
+    placed, write = [], star.write_in_place
+    monkeypatch.setattr(star, "write_in_place", lambda df, *rest: (placed.append(df), write(df, *rest)))
+    path = str(tmp_path / "plays")
+    star.write_title_plays(events, songs, path)
+    want = star.songplays_title_join(events, songs)
+    assert sorted(spark.read.parquet(path).columns) == sorted(want.columns)
+    assert rows(spark.read.parquet(path), *want.columns) == rows(want)
+    assert placed[0].count() > 39_000
+    tasks = placed[0].rdd.glom().map(lambda part: [(r.year, r.month) for r in part]).collect()
+    assert all(t == sorted(t) for t in tasks) and any(len(set(t)) == 2 for t in tasks)
+    placed[0].collect()
+    assert 0 < max(shuffled(placed[0])) <= 1000
