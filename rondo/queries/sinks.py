@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -197,22 +198,24 @@ BUCKETS = 16
 PLAYS_PER_KEY = 100_000
 
 
-def _bucketed(spark: SparkSession, tables: dict[str, DataFrame], by: dict[str, str], hot: DataFrame) -> tuple[str, dict[str, DataFrame]]:
-    """The tables stored in buckets of one column each, in a namespace of its own."""
-    name, location = f"plays_{uuid.uuid4().hex[:12]}", scratch_path(spark, "buckets")
-    create_namespace(spark, name, f"{location}/_default")
-    for table, df in tables.items():
-        key = by[table]
-        cut = hot if key in hot.columns else None
-        write_bucketed(df, f"{name}.{table}", [key], BUCKETS, [key], f"{location}/{table}", cut)
-    return name, {table: spark.table(f"{name}.{table}") for table in tables}
-
-
-def _joined(spark: SparkSession, plays: DataFrame, other: DataFrame, key: str, how: str) -> DataFrame:
-    """Plays joined with a dimension, both stored in buckets of the key; the result is stored before the tables go."""
-    hot = hot_keys(plays, [key], PLAYS_PER_KEY, nulls=True)
-    name, stored = _bucketed(spark, {"songplays": plays, "dimension": other}, {"songplays": key, "dimension": f"_{key}"}, hot)
-    joined = co_located_join(stored["songplays"], stored["dimension"], [(key, f"_{key}")], how, hot.na.drop(), right_unique=True)
+def _bucketed(spark: SparkSession, name: str, table: str, df: DataFrame, key: str, hot: DataFrame | None = None) -> DataFrame:
+    """A table of a namespace, stored in buckets of one column."""
+    write_bucketed(df, f"{name}.{table}", [key], BUCKETS, [key], scratch_path(spark, "buckets"), hot)
+    return spark.table(f"{name}.{table}")
+
+
+def _joined(spark: SparkSession, plays: DataFrame, other: Callable[[DataFrame], DataFrame], key: str, how: str) -> DataFrame:
+    """Plays joined with a dimension, both stored in buckets of the key; the result is stored before the tables go.
+
+    Plays are built twice: for the list of hot keys, which is stored, and for their table, from which ``other`` makes the dimension.
+    """
+    write_plain(hot_keys(plays, [key], PLAYS_PER_KEY, nulls=True), listed := scratch_path(spark, "hot"))
+    hot = read_table(spark, listed)
+    name = f"plays_{uuid.uuid4().hex[:12]}"
+    create_namespace(spark, name, scratch_path(spark, "database"))
+    stored = _bucketed(spark, name, "songplays", plays, key, hot)
+    dimension = _bucketed(spark, name, "dimension", other(stored), f"_{key}")
+    joined = co_located_join(stored, dimension, [(key, f"_{key}")], how, hot.na.drop(), right_unique=True)
     path = scratch_path(spark, "joined")
     write_plain(joined.drop(f"_{key}"), path)
     drop_namespace(spark, name)
@@ -224,7 +227,7 @@ def cluster_bucketed_songs(spark: SparkSession, sf: str) -> DataFrame:
     """Plays and songs stored in buckets of the song, joined where they lie; plays of no known song stay."""
     plays = star.songplays_left_md5(staging_events(spark, sf, [c for c in PLAY if c != "itemInSession"]), staging_songs(spark, sf))
     songs = star.songs_distinct(staging_songs(spark, sf)).selectExpr("song_id AS _song_id", "title", "duration")
-    return _joined(spark, plays, songs, "song_id", "left")
+    return _joined(spark, plays, lambda stored: songs, "song_id", "left")
 
 
 @query(
@@ -236,5 +239,9 @@ def cluster_bucketed_songs(spark: SparkSession, sf: str) -> DataFrame:
 def cluster_bucketed_time(spark: SparkSession, sf: str) -> DataFrame:
     """Plays and the calendar stored in buckets of the start time, joined where they lie."""
     plays = star.songplays_left_md5(staging_events(spark, sf, [c for c in PLAY if c != "itemInSession"]), staging_songs(spark, sf))
-    time = star.time_from_songplays(plays, distinct=True, weekday_style="full")
-    return _joined(spark, plays, time.selectExpr("start_time AS _start_time", "hour", "week", "weekday"), "start_time", "inner")
+
+    def calendar(stored: DataFrame) -> DataFrame:
+        time = star.time_from_songplays(stored, distinct=True, weekday_style="full")
+        return time.selectExpr("start_time AS _start_time", "hour", "week", "weekday")
+
+    return _joined(spark, plays, calendar, "start_time", "inner")

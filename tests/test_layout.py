@@ -10,6 +10,7 @@ from rondo.operators.joins import hot_keys
 from rondo.operators.layout import co_located_join, create_namespace, drop_namespace, write_bucketed
 from rondo.operators.published import Parts, Published
 from rondo.plans.pipeline import keyed_store, load_keyed
+from rondo.queries import sinks as sink_queries
 from rondo.schemas import LOG_WITH_ID, SONG, TABLE_ORDER
 
 
@@ -206,3 +207,17 @@ def test_a_keyed_run_that_dies_leaves_the_former_star(spark, tmp_path, monkeypat
     after = contents()
     assert len(after["songplays"]) == len(after["time"]) == 15 and after["songs"] == before["songs"]
     assert all("paid" in row for row in after["users"])
+
+
+def test_plays_are_built_once_for_the_hot_keys_and_once_for_their_table(spark, monkeypatch):
+    """Neither the list of hot keys nor the calendar reads the raw tables again: each such read broadcasts them anew."""
+    read, write = {}, sink_queries.write_bucketed
+
+    def noted(df, table, by, buckets, sort=(), location=None, hot=None):
+        read[table.split(".")[1]] = df.inputFiles(), hot.inputFiles() if hot is not None else []
+        write(df, table, by, buckets, sort, location, hot)
+
+    monkeypatch.setattr(sink_queries, "write_bucketed", noted)
+    sink_queries.cluster_bucketed_time(spark, "/root/testdata/sf0.001").collect()
+    assert read["songplays"][1] and all("/hot-" in f for f in read["songplays"][1])
+    assert read["dimension"][0] and all("/buckets-" in f for f in read["dimension"][0])
