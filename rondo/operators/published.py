@@ -107,12 +107,12 @@ class Load:
         df.write.parquet(path)
         return self.store.spark.read.schema(df.schema).parquet(path)
 
-    def _write(self, name: str, rows: DataFrame) -> dict[str, str]:
-        """Store rows with their part; the folders written, by part."""
+    def _write(self, name: str, rows: DataFrame, parts: list[str]) -> dict[str, str]:
+        """Store rows of the given parts; the folders written, by part. Without parts there are no rows."""
         path = f"{self.store.root}/{name}/{self.folder}"
-        rows.hint("rebalance", PART).write.partitionBy(PART).parquet(path)
-        # Part names are few and go to the driver; the folder of a part is found by its name, as the writer made it.
-        parts = [r[0] for r in rows.select(PART).distinct().collect()]
+        if parts:
+            rows.hint("rebalance", PART).write.partitionBy(PART).parquet(path)
+        # The folder of a part is found by its name, as the writer made it.
         return {part: f"{name}/{self.folder}/{PART}={part}" for part in parts}
 
     def _set(self, name: str, parts: Mapping[str, list[str]]) -> None:
@@ -130,6 +130,7 @@ class Load:
         return rows.select(*schema.names).withColumn(PART, parts.column())
 
     def _touched(self, rows: DataFrame) -> list[str]:
+        """The parts that stored rows fall into: names, few enough for the driver."""
         return [r[0] for r in rows.select(PART).distinct().collect()]
 
     def read(self, name: str) -> DataFrame:
@@ -138,7 +139,8 @@ class Load:
 
     def replace(self, name: str, rows: DataFrame) -> None:
         """All rows of the table."""
-        written = self._write(name, self._taken(name, rows))
+        settled = self._taken(name, rows)
+        written = self._write(name, settled, self._touched(settled))
         self.after["tables"][name] = {part: [folder] for part, folder in written.items()}
 
     def append(self, name: str, rows: DataFrame, fold: Callable[[DataFrame], DataFrame] | None = None) -> None:
@@ -146,17 +148,19 @@ class Load:
 
         A part of too many folders is written as one, and ``fold`` then reduces its rows, as by merging the states of a key.
         """
-        self._append(name, self._taken(name, rows), fold)
+        settled = self._taken(name, rows)
+        self._append(name, settled, self._touched(settled), fold)
 
-    def _append(self, name: str, settled: DataFrame, fold: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    def _append(self, name: str, settled: DataFrame, parts: list[str], fold: Callable[[DataFrame], DataFrame] | None = None) -> None:
         stored = self._stored(name)
-        full = [p for p in self._touched(settled) if len(stored.get(p, [])) >= MOST_FOLDERS]
+        full = [p for p in parts if len(stored.get(p, [])) >= MOST_FOLDERS]
         if full:
             whole = settled.where(F.col(PART).isin(full)).unionByName(self._cut(name, self.store.read(name, full, self.before)))
             if fold is not None:
                 whole = self._cut(name, fold(whole.drop(PART)))
             settled = settled.where(~F.col(PART).isin(full)).unionByName(whole)
-        written = self._write(name, settled)
+            parts = self._touched(settled)
+        written = self._write(name, settled, parts)
         self._set(name, {p: [f] if p in full else [*stored.get(p, []), f] for p, f in written.items()})
 
     def append_numbered(self, name: str, rows: DataFrame, order: list[str], column: str) -> None:
@@ -168,17 +172,21 @@ class Load:
         start = self.before["marks"].get(mark, 0)
         numbered = self._taken(name, identity_ids(rows, order, column, start))
         self.mark(mark, start + numbered.count())
-        self._append(name, numbered)
+        self._append(name, numbered, self._touched(numbered))
 
     def insert_ignore(self, name: str, first: DataFrame, keys: list[str]) -> DataFrame:
         """Add the rows whose key isn't stored; ``first`` has one row a key, and a key's rows always fall into one part.
 
-        Only the parts that the new rows fall into are read. Returns the rows added.
+        Only the parts that the new rows fall into are read; where nothing is stored in them, all rows are new. Returns the rows
+        added.
         """
-        settled = self._taken(name, first)
-        old = self.store.read(name, self._touched(settled), self.before)
-        fresh = self._settled(without_keys(settled, old, keys))
-        self._append(name, fresh)
+        fresh = self._taken(name, first)
+        parts = self._touched(fresh)
+        known = [p for p in parts if self._stored(name).get(p)]
+        if known:
+            fresh = self._settled(without_keys(fresh, self.store.read(name, known, self.before), keys))
+            parts = self._touched(fresh)
+        self._append(name, fresh, parts)
         return fresh.drop(PART)
 
     def upsert(self, name: str, new: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
@@ -196,7 +204,8 @@ class Load:
         differ = sides.groupBy(PART, *schema.names).agg(F.sum("_side").alias("_n")).where("_n != 0")
         changed = [r[0] for r in differ.select(PART).distinct().collect()]
         if changed:
-            written = self._write(name, merged.where(F.col(PART).isin(changed)))
+            rows = merged.where(F.col(PART).isin(changed))
+            written = self._write(name, rows, self._touched(rows))
             self._set(name, {p: [written[p]] if p in written else [] for p in changed})
 
     def mark(self, name: str, value: int) -> None:

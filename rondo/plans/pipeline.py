@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from rondo.operators.layout import create_tables
 from rondo.operators.quality import check_registry, require_non_empty
 from rondo.operators.published import Parts, Published
-from rondo.operators.reduce import first_per_key
 from rondo.operators.sinks import append_rows, load_rows, write_partitioned, write_plain
 from rondo.operators.upsert import upsert_update
 from rondo.plans import star
@@ -141,9 +140,9 @@ def load_keyed(store: Published, events: DataFrame, songs: DataFrame) -> int:
     load.insert_ignore("songs", star.songs_dim(songs), PRIMARY_KEYS["songs"])
     load.insert_ignore("artists", star.artists_dim(songs), PRIMARY_KEYS["artists"])
     load.upsert("users", star.users_upsert(events), _newer_level)
+    # The id is made of the columns of which the first play is kept, so it doesn't repeat.
     plays = star.songplays_lookup(events, songs, keep_first=["event_id"])
-    order = [c for c in plays.columns if c not in PRIMARY_KEYS["songplays"]]
-    fresh = load.insert_ignore("songplays", first_per_key(plays, PRIMARY_KEYS["songplays"], order), PRIMARY_KEYS["songplays"])
+    fresh = load.insert_ignore("songplays", plays, PRIMARY_KEYS["songplays"])
     times = _time_as_text(star.time_from_songplays(fresh, distinct=True))
     load.insert_ignore("time", times, PRIMARY_KEYS["time"])
     return load.publish()

@@ -221,3 +221,23 @@ def test_plays_are_built_once_for_the_hot_keys_and_once_for_their_table(spark, m
     sink_queries.cluster_bucketed_time(spark, "/root/testdata/sf0.001").collect()
     assert read["songplays"][1] and all("/hot-" in f for f in read["songplays"][1])
     assert read["dimension"][0] and all("/buckets-" in f for f in read["dimension"][0])
+
+
+def test_a_first_load_stores_rows_once_and_a_repeated_one_writes_none(spark, tmp_path, monkeypatch):
+    stored, path = [], published.scratch_path
+    monkeypatch.setattr(published, "scratch_path", lambda spark, label: (stored.append(label), path(spark, label))[1])
+    root = str(tmp_path / "out")
+    shapes = {"songs": (StructType([SONG["song_id"], SONG["title"]]), Parts(("song_id",), 4))}
+    rows = spark.createDataFrame([("SO1", "Sun"), ("SO2", "Moon"), (None, "Rain")], "song_id string, title string")
+    for n, folders in ((1, 1), (2, 1)):
+        load = Published(spark, root, shapes).begin()
+        fresh = load.insert_ignore("songs", rows, ["song_id"])
+        assert fresh.count() == (3 if n == 1 else 0)
+        load.publish()
+        assert len(list((tmp_path / "out" / "songs").iterdir())) == folders
+        assert len(stored) == (1 if n == 1 else 3)
+    more = rows.unionByName(spark.createDataFrame([("SO3", "Snow")], rows.schema))
+    load = Published(spark, root, shapes).begin()
+    assert [r.song_id for r in load.insert_ignore("songs", more, ["song_id"]).collect()] == ["SO3"]
+    load.publish()
+    assert Published(spark, root, shapes).read("songs").count() == 4
