@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from rondo.operators import numbering
 from rondo.operators.numbering import identity_ids, number_within
 
 
@@ -25,3 +26,13 @@ def test_identity_is_consecutive_in_order(spark):
     got = identity_ids(df, ["v", "k"], "id", start=0).collect()
     ordered = sorted(got, key=lambda r: (r.v, r.k))
     assert [r.id for r in ordered] == list(range(5000))
+
+
+def test_ranges_grow_in_number_not_in_size(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(numbering, "ROWS_PER_RANGE", 100, raising=False)
+    monkeypatch.setattr(numbering, "scratch_path", lambda *_: str(tmp_path / "placed"))
+    rows = spark.range(3000).select((F.col("id") * 7919 % 3001).alias("v"))
+    got = identity_ids(rows, ["v"], "n")
+    ranges = spark.read.parquet(str(tmp_path / "placed")).groupBy("_part").count().collect()
+    assert len(ranges) >= 25 and max(r["count"] for r in ranges) < 400
+    assert [r.n for r in got.orderBy("v").collect()] == list(range(3000))
