@@ -13,7 +13,7 @@ from rondo.operators.numbering import identity_ids
 from rondo.operators.published import Parts, Published
 from rondo.operators.quality import unique_ids
 from rondo.plans.query_tables import events_denormalised
-from rondo.plans.star import LENGTH, lookup_first_match, match_catalogue, next_song
+from rondo.plans.star import LENGTH, lookup_first_match, match_catalogue, match_every, next_song
 from rondo.queries.base import query
 from rondo.schemas import DENORMALISED, LOG
 from rondo.session import scratch_path
@@ -123,7 +123,8 @@ def filter_conjunction(spark: SparkSession, sf: str) -> DataFrame:
 def filter_in_join_on(spark: SparkSession, sf: str) -> DataFrame:
     """A one-sided condition of an inner join is a filter before it."""
     events = staging_events(spark, sf, ["event_id", "ts", "song", "artist", "level"])
-    matched = match_catalogue(events.filter("level = 'paid'"), staging_songs(spark, sf), SONG_KEYS, "inner")
+    paid = events.filter("level = 'paid'").drop("level")
+    matched = match_every(paid, staging_songs(spark, sf), SONG_KEYS)
     return matched.select("event_id", "ts", "song_id", "artist_id")
 
 
