@@ -162,6 +162,18 @@ def test_nothing_is_shuffled_after_the_rows_are_multiplied(spark):
         assert 0 < max(shuffled(plays)) <= 300
 
 
+def test_title_plays_of_a_title_follow_each_other(spark):
+    """Also where the catalogue is small: each play of a title is followed by the next one, with the title's songs in one order."""
+    events = log(spark, *[{"ts": 1_541_105_830_000 + i, "song": f"T{i % 20}"} for i in range(400)])
+    songs = catalogue(spark, *[{"title": f"T{i % 20}", "song_id": f"SO{i}"} for i in range(200)])
+    tasks = star.songplays_title_join(events, songs).rdd.glom().map(lambda part: [int(r.song_id[2:]) for r in part]).collect()
+    assert sum(map(len, tasks)) == 4000
+    for ids in tasks:
+        plays = [ids[i : i + 10] for i in range(0, len(ids), 10)]
+        new = [play for last, play in zip([None, *plays], plays) if play != last]
+        assert len(new) == len({i % 20 for i in ids}) and all(len({i % 20 for i in play}) == 1 for play in new)
+
+
 def shuffled(df):
     """Rows written by each shuffle of a frame's last run."""
     found, todo = [], [df._jdf.queryExecution().executedPlan()]
