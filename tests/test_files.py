@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rondo.operators.layout import cluster_rows, create_namespace, create_tables, drop_namespace, drop_tables
-from rondo.operators.sinks import append_rows, load_rows, reload_rows, write_csv, write_partitioned, write_plain
+from rondo.operators.sinks import append_rows, load_rows, reload_rows, write_csv, write_in_place, write_partitioned, write_plain
 from rondo.plans.query_tables import (
     events_denormalised,
     listeners_of_song,
@@ -127,6 +127,29 @@ def test_partitioned_write_modes(spark, rows, tmp_path):
         write_plain(songs, str(tmp_path / "plain"))
 
 
+def test_hashes_written_in_place_take_little_more_than_their_bits(spark, tmp_path):
+    """32 hex digits hold 16 bytes; numbers, nulls, empty and long texts come back as they were, by either of Spark's readers."""
+    path, n = str(tmp_path / "hashes"), 200_000
+    df = spark.range(n).selectExpr("md5(cast(id AS string)) AS hash", "2018 + id div 100000 AS year")
+    write_in_place(df, path, ["year"])
+    assert sum(f.stat().st_size for f in (tmp_path / "hashes").rglob("*.parquet")) < 17 * n
+    assert spark.read.parquet(path).select("hash", "year").exceptAll(df.selectExpr("hash", "cast(year AS int)")).count() == 0
+    text = "CASE WHEN id % 7 = 0 THEN NULL WHEN id % 5 = 0 THEN '' WHEN id % 999 = 1 THEN repeat(md5(cast(id AS string)), 300) ELSE md5(cast(id AS string)) END"
+    odd = spark.range(n).selectExpr(
+        "if(id % 3 = 0, NULL, id * 7919 - 500) AS n", "cast(hash(id) AS int) AS i", "id / 3 AS d", "id % 2 = 0 AS b",
+        f"{text} AS t", "timestampadd(MILLISECOND, id * 77777, timestamp_ntz'2018-01-01 00:00:00') AS at", "if(id % 50 = 0, NULL, 1) AS part",
+    )
+    write_in_place(odd, str(tmp_path / "odd"), ["part"])
+    want = odd.agg(F.count("*"), F.sum(F.xxhash64(*odd.columns).cast("decimal(38,0)"))).collect()
+    for vectorized in ("true", "false"):
+        spark.conf.set("spark.sql.parquet.enableVectorizedReader", vectorized)
+        try:
+            back = spark.read.parquet(str(tmp_path / "odd"))
+            assert back.agg(F.count("*"), F.sum(F.xxhash64(*odd.columns).cast("decimal(38,0)"))).collect() == want
+        finally:
+            spark.conf.unset("spark.sql.parquet.enableVectorizedReader")
+
+
 def test_tables_by_name(spark, rows, tmp_path):
     create_namespace(spark, "t_names", str(tmp_path / "db"))
     create_tables(spark, "t_names", {"users": STAR["users"], "songs": STAR["songs"]})
